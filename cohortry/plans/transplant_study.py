@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
@@ -22,10 +23,10 @@ from cohortry.operators.membership import (
 )
 from cohortry.operators.spacing import spaced_specialty_visits
 from cohortry.sources import Cdm, ResultStore, TableStore, codes_where, load_codeset
+from cohortry.sources.lazy import OpenedOnUse
 
 
-@dataclass(frozen=True)
-class StudyCodes:
+class StudyCodes(OpenedOnUse[Codes]):
     """The code lists of the study; ``disease`` carries category and rule columns."""
 
     nephrology: Codes
@@ -40,31 +41,45 @@ class StudyCodes:
     sle_included: Codes
     sle_excluded: Codes
     sle_drugs: Codes
-    transplant_source: Codes = defaults.TRANSPLANT_SOURCE_CONCEPTS
-    sle_biopsy: Codes = defaults.KIDNEY_BIOPSY
-    sle_biopsy_guidance: Codes = defaults.GUIDED_BIOPSY
+    transplant_source: Codes
+    sle_biopsy: Codes
+    sle_biopsy_guidance: Codes
 
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str) -> StudyCodes:
         """Read the lists from CSV files of their customary names."""
 
-        def load(name: str, col_types: str | None = None) -> DataFrame:
-            return load_codeset(spark, folder, name, col_types)
-
-        return cls(
-            nephrology=load("nephrology_specialty"),
-            rheumatology_nephrology=load("codeset_rheum_nephr_spec"),
-            in_person=load("in_person"),
-            in_person_expanded=load("in_person_exp"),
-            disease=load("glomerular_disease", "icccicii"),
-            biopsy=load("kidney_biopsy_proc"),
-            biopsy_guidance=load("biopsy_proc"),
-            transplant_procedures=load("kidney_transplant_proc"),
-            transplant_broad=load("kidney_transplant_broad", "icccc"),
-            sle_included=load("codeset_sle_incl"),
-            sle_excluded=load("codeset_sle_excl"),
-            sle_drugs=load("codeset_hydroxychloroquine"),
-        )
+        def open_list(name: str) -> Codes:
+            if name in LITERAL_LISTS:
+                return LITERAL_LISTS[name]
+            file, col_types = LIST_FILES[name]
+            return load_codeset(spark, folder, file, col_types)
+
+        return cls(open_list)
+
+
+# File name and column types of each code list.
+LIST_FILES: dict[str, tuple[str, str | None]] = {
+    "nephrology": ("nephrology_specialty", None),
+    "rheumatology_nephrology": ("codeset_rheum_nephr_spec", None),
+    "in_person": ("in_person", None),
+    "in_person_expanded": ("in_person_exp", None),
+    "disease": ("glomerular_disease", "icccicii"),
+    "biopsy": ("kidney_biopsy_proc", None),
+    "biopsy_guidance": ("biopsy_proc", None),
+    "transplant_procedures": ("kidney_transplant_proc", None),
+    "transplant_broad": ("kidney_transplant_broad", "icccc"),
+    "sle_included": ("codeset_sle_incl", None),
+    "sle_excluded": ("codeset_sle_excl", None),
+    "sle_drugs": ("codeset_hydroxychloroquine", None),
+}
+
+# Lists the study states as literal concept ids.
+LITERAL_LISTS: dict[str, Codes] = {
+    "transplant_source": defaults.TRANSPLANT_SOURCE_CONCEPTS,
+    "sle_biopsy": defaults.KIDNEY_BIOPSY,
+    "sle_biopsy_guidance": defaults.GUIDED_BIOPSY,
+}
 
 
 @dataclass(frozen=True)
@@ -87,12 +102,25 @@ class StudyParameters:
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
+@dataclass(frozen=True)
+class Step:
+    """A step of the study and the steps it builds on.
+
+    ``build`` receives the study and the tables of ``inputs``, and reads each of
+    these ``passes`` times. A step that is ``cheap`` to derive is never stored.
+    """
+
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+    passes: int = 1
+    cheap: bool = False
+
+
 class TransplantStudy:
     """The steps of the study, each a lazy DataFrame built on first use.
 
-    Steps named in ``kept``, by default those several others build on, are passed
-    through ``keep``, which may write them to storage and return the stored table.
-    Without ``keep`` every step stays lazy.
+    Steps named in ``kept`` are passed through ``keep``, which may write them to
+    storage and return the stored table. Without ``keep`` every step stays lazy.
     """
 
     def __init__(
@@ -101,23 +129,22 @@ class TransplantStudy:
         codes: StudyCodes,
         parameters: StudyParameters = StudyParameters(),
         keep: Keep | None = None,
-        kept: Collection[str] | None = None,
+        kept: Collection[str] = (),
     ) -> None:
         self.cdm = cdm
         self.codes = codes
         self.parameters = parameters
-        self._keep = keep or (lambda df, name: df)
-        self._kept = SHARED_STEPS if kept is None else kept
+        self._keep = keep
+        self._kept = kept if keep else ()
         self._tables: dict[str, DataFrame] = {}
 
     def plan(self, name: str) -> DataFrame:
-        """The lazy definition of a step."""
-        if name not in STEPS:
-            raise KeyError(f"unknown study step {name!r}")
-        return STEPS[name](self)
+        """The lazy definition of a step, on its inputs as they are kept."""
+        step = STEPS[name]
+        return step.build(self, *(self.table(i) for i in step.inputs))
 
     def table(self, name: str) -> DataFrame:
-        """A step as input of others: built once, and kept if it is to be."""
+        """A step, built once, and kept if it is to be."""
         if name not in self._tables:
             df = self.plan(name)
             self._tables[name] = self._keep(df, name) if name in self._kept else df
@@ -125,7 +152,21 @@ class TransplantStudy:
 
     def attrition(self) -> DataFrame:
         """Persons left after each step, in one aggregation."""
-        return attrition({name: self.table(step) for name, step in ATTRITION.items()})
+        return attrition({name: self.table(name) for name in ATTRITION})
+
+
+def worth_keeping(*wanted: str) -> frozenset[str]:
+    """Steps read more than once, and not cheap, when the wanted steps are computed.
+
+    Reading a cheap step means reading its inputs.
+    """
+    reads = Counter(wanted)
+    for name in reversed(STEPS):  # every step comes after its inputs
+        step = STEPS[name]
+        times = reads[name] if step.cheap else min(reads[name], 1)
+        for i in step.inputs:
+            reads[i] += times * step.passes
+    return frozenset(n for n in STEPS if reads[n] > 1 and not STEPS[n].cheap)
 
 
 def _nephrology_visits(s: TransplantStudy, visit_types: Codes) -> DataFrame:
@@ -162,22 +203,22 @@ def _glomerular_disease_cohort(s: TransplantStudy) -> DataFrame:
     )
 
 
-def _nephrotic_subcohort(s: TransplantStudy) -> DataFrame:
+def _nephrotic_subcohort(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
     return dominant_category_subcohort(
-        s.table("glomerular_disease_cohort"),
+        cohort,
         s.cdm.condition_occurrence,
         codes_where(s.codes.disease, "codeset_category_code", 1),
         codes_where(s.codes.disease, "codeset_category_code", 2),
     )
 
 
-def _nephrotic_kt(s: TransplantStudy) -> DataFrame:
+def _nephrotic_kt(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
     p = s.parameters
     return transplant_events(
         s.cdm.condition_occurrence,
         s.cdm.procedure_occurrence,
         s.cdm.person,
-        s.table("nephrotic_subcohort"),
+        cohort,
         s.codes.transplant_broad,
         age_bound_years=p.age_bound_years,
         first_day=p.first_day,
@@ -185,11 +226,11 @@ def _nephrotic_kt(s: TransplantStudy) -> DataFrame:
     )
 
 
-def _nephrotic_kt_src(s: TransplantStudy) -> DataFrame:
+def _nephrotic_kt_src(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
     rows = in_codes(
         s.cdm.condition_occurrence, "condition_source_concept_id", s.codes.transplant_source
     )
-    return of_persons(rows, s.table("nephrotic_subcohort"))
+    return of_persons(rows, cohort)
 
 
 def _sle_conditions(s: TransplantStudy) -> DataFrame:
@@ -198,9 +239,9 @@ def _sle_conditions(s: TransplantStudy) -> DataFrame:
     )
 
 
-def _sle_conditions_w_elig_visits(s: TransplantStudy) -> DataFrame:
+def _sle_conditions_w_elig_visits(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
     return conditions_with_eligible_visits(
-        s.table("sle_conditions"),
+        conditions,
         s.cdm.visit_occurrence,
         s.cdm.provider,
         s.cdm.care_site,
@@ -210,11 +251,11 @@ def _sle_conditions_w_elig_visits(s: TransplantStudy) -> DataFrame:
     )
 
 
-def _sle_cohort(s: TransplantStudy) -> DataFrame:
+def _sle_cohort(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
     p = s.parameters
     return sle_cohort(
         s.cdm,
-        s.table("sle_conditions_w_elig_visits"),
+        conditions,
         s.codes.sle_drugs,
         biopsy_codes=s.codes.sle_biopsy,
         guidance_codes=s.codes.sle_biopsy_guidance,
@@ -224,46 +265,52 @@ def _sle_cohort(s: TransplantStudy) -> DataFrame:
     )
 
 
-def _seen_by_nephrology(step: str) -> Callable[[TransplantStudy], DataFrame]:
-    return lambda s: of_persons(s.table(step), s.table("nephrology_visit_cohort"))
+def _final_cohort(
+    s: TransplantStudy, coded: DataFrame, source_coded: DataFrame, seen: DataFrame
+) -> DataFrame:
+    return of_persons(coded.union(source_coded).distinct(), seen)
 
 
-def _cohort_of(step: str) -> Callable[[TransplantStudy], DataFrame]:
-    return lambda s: cohort_of(s.table(step))
+def _cohort_of(rows: str, cheap: bool = True) -> Step:
+    return Step((rows,), lambda s, rows: cohort_of(rows), cheap=cheap)
 
 
-def _without_sle(step: str) -> Callable[[TransplantStudy], DataFrame]:
-    return lambda s: without_persons(s.table(step), s.table("sle_cohort"))
+def _seen_by_nephrology(cohort: str) -> Step:
+    inputs = (cohort, "nephrology_visit_cohort")
+    return Step(inputs, lambda s, cohort, seen: of_persons(cohort, seen))
 
 
-def _final_cohort(s: TransplantStudy) -> DataFrame:
-    either = s.table("nephrotic_kt_no_sle").union(s.table("nephrotic_kt_src_no_sle")).distinct()
-    return of_persons(either, s.table("nephrology_visit_cohort_exp"))
+def _without_sle(cohort: str) -> Step:
+    inputs = (cohort, "sle_cohort")
+    return Step(inputs, lambda s, cohort, sle: without_persons(cohort, sle))
 
 
-STEPS: dict[str, Callable[[TransplantStudy], DataFrame]] = {
-    "nephrology_visits": lambda s: _nephrology_visits(s, s.codes.in_person),
-    "nephrology_visit_cohort": _cohort_of("nephrology_visits"),
-    "nephrology_visits_exp": lambda s: _nephrology_visits(s, s.codes.in_person_expanded),
-    "nephrology_visit_cohort_exp": _cohort_of("nephrology_visits_exp"),
-    "glomerular_disease_cohort": _glomerular_disease_cohort,
+STEPS: dict[str, Step] = {
+    "nephrology_visits": Step((), lambda s: _nephrology_visits(s, s.codes.in_person)),
+    "nephrology_visit_cohort": _cohort_of("nephrology_visits", cheap=False),
+    "nephrology_visits_exp": Step((), lambda s: _nephrology_visits(s, s.codes.in_person_expanded)),
+    "nephrology_visit_cohort_exp": _cohort_of("nephrology_visits_exp", cheap=False),
+    "glomerular_disease_cohort": Step((), _glomerular_disease_cohort),
     "glomerular_disease_cohort_w_neph": _seen_by_nephrology("glomerular_disease_cohort"),
-    "nephrotic_subcohort": _nephrotic_subcohort,
+    "nephrotic_subcohort": Step(("glomerular_disease_cohort",), _nephrotic_subcohort),
     "nephrotic_subcohort_w_neph": _seen_by_nephrology("nephrotic_subcohort"),
-    "nephrotic_kt": _nephrotic_kt,
+    "nephrotic_kt": Step(("nephrotic_subcohort",), _nephrotic_kt),
     "nephrotic_kt_cohort": _cohort_of("nephrotic_kt"),
     "nephrotic_kt_cohort_w_neph": _seen_by_nephrology("nephrotic_kt_cohort"),
-    "nephrotic_kt_src": _nephrotic_kt_src,
+    "nephrotic_kt_src": Step(("nephrotic_subcohort",), _nephrotic_kt_src),
     "nephrotic_kt_src_cohort": _cohort_of("nephrotic_kt_src"),
     "nephrotic_kt_src_cohort_w_neph": _seen_by_nephrology("nephrotic_kt_src_cohort"),
-    "sle_conditions": _sle_conditions,
+    "sle_conditions": Step((), _sle_conditions),
     "sle_i_e_pats": _cohort_of("sle_conditions"),
-    "sle_conditions_w_elig_visits": _sle_conditions_w_elig_visits,
+    "sle_conditions_w_elig_visits": Step(("sle_conditions",), _sle_conditions_w_elig_visits),
     "sle_i_e_pats_w_elig_visits": _cohort_of("sle_conditions_w_elig_visits"),
-    "sle_cohort": _sle_cohort,
+    "sle_cohort": Step(("sle_conditions_w_elig_visits",), _sle_cohort, passes=2),
     "nephrotic_kt_no_sle": _without_sle("nephrotic_kt_cohort"),
     "nephrotic_kt_src_no_sle": _without_sle("nephrotic_kt_src_cohort"),
-    "final_cohort": _final_cohort,
+    "final_cohort": Step(
+        ("nephrotic_kt_no_sle", "nephrotic_kt_src_no_sle", "nephrology_visit_cohort_exp"),
+        _final_cohort,
+    ),
 }
 
 # Result tables in the order they are written, with the columns their rows are
@@ -289,39 +336,25 @@ RESULTS: dict[str, tuple[str, ...]] = {
     "final_cohort": ("person_id",),
 }
 
-# Steps more than one other step builds on.
-SHARED_STEPS = frozenset(
-    {
-        "nephrology_visit_cohort",
-        "glomerular_disease_cohort",
-        "nephrotic_subcohort",
-        "nephrotic_kt",
-        "nephrotic_kt_src",
-        "sle_conditions",
-        "sle_conditions_w_elig_visits",
-        "sle_cohort",
-    }
+# Steps counted in the attrition table, in order.
+ATTRITION = (
+    "nephrology_visit_cohort",
+    "nephrology_visit_cohort_exp",
+    "glomerular_disease_cohort",
+    "glomerular_disease_cohort_w_neph",
+    "nephrotic_subcohort",
+    "nephrotic_subcohort_w_neph",
+    "nephrotic_kt",
+    "nephrotic_kt_cohort_w_neph",
+    "nephrotic_kt_src_cohort",
+    "nephrotic_kt_src_cohort_w_neph",
+    "sle_i_e_pats",
+    "sle_i_e_pats_w_elig_visits",
+    "sle_cohort",
+    "nephrotic_kt_no_sle",
+    "nephrotic_kt_src_no_sle",
 )
 
-# Cohorts counted in the attrition table, by the name they are listed under.
-ATTRITION: dict[str, str] = {
-    "nephrology_visit_cohort": "nephrology_visit_cohort",
-    "nephrology_visit_cohort_exp": "nephrology_visit_cohort_exp",
-    "glomerular_disease_cohort": "glomerular_disease_cohort",
-    "glomerular_disease_cohort_w_neph": "glomerular_disease_cohort_w_neph",
-    "nephrotic_subcohort": "nephrotic_subcohort",
-    "nephrotic_subcohort_w_neph": "nephrotic_subcohort_w_neph",
-    "nephrotic_kt": "nephrotic_kt",
-    "nephrotic_kt_cohort_w_neph": "nephrotic_kt_cohort_w_neph",
-    "nephrotic_kt_src_cohort": "nephrotic_kt_src_cohort",
-    "nephrotic_kt_src_cohort_w_neph": "nephrotic_kt_src_cohort_w_neph",
-    "sle_i_e_pats": "sle_i_e_pats",
-    "sle_i_e_pats_w_elig_visits": "sle_i_e_pats_w_elig_visits",
-    "sle_cohort": "sle_cohort",
-    "nephrotic_kt_no_sle": "nephrotic_kt_no_sle",
-    "nephrotic_kt_src_no_sle": "nephrotic_kt_src_no_sle",
-}
-
 
 def run_study(
     cdm: Cdm,
@@ -333,12 +366,14 @@ def run_study(
 
     Each step reads the stored results of earlier ones.
     """
+    cdm.open_all()
+    codes.open_all()
     study = TransplantStudy(
         cdm,
         codes,
         parameters,
         keep=lambda df, name: results.write(df, name, RESULTS.get(name, ())),
-        kept=SHARED_STEPS | set(RESULTS),
+        kept=worth_keeping(*RESULTS, *ATTRITION) | set(RESULTS),
     )
     for name in RESULTS:
         study.table(name)

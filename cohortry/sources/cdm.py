@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortry.sources.lazy import OpenedOnUse
 from cohortry.sources.schema import CDM_COLUMNS, conform
 
 
-@dataclass(frozen=True)
-class Cdm:
-    """Lazy handles to the clinical tables; nothing is read until an action runs."""
+class Cdm(OpenedOnUse[DataFrame]):
+    """Clinical tables, each opened when first used."""
 
     person: DataFrame
     visit_occurrence: DataFrame
@@ -21,15 +19,21 @@ class Cdm:
     provider: DataFrame
     care_site: DataFrame
 
+    @classmethod
+    def of(cls, **tables: DataFrame) -> Cdm:
+        """Tables given as DataFrames."""
+        return cls(lambda name: conform(tables[name], name))
+
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, fmt: str = "parquet") -> Cdm:
         """One sub-folder or file set per table, ``<folder>/<table>``."""
         root = folder.rstrip("/")
-        return cls(
-            **{t: conform(spark.read.format(fmt).load(f"{root}/{t}"), t) for t in CDM_COLUMNS}
-        )
+        return cls(lambda name: conform(spark.read.format(fmt).load(f"{root}/{name}"), name))
 
     @classmethod
     def from_database(cls, spark: SparkSession, database: str) -> Cdm:
         """Tables of a catalog database."""
-        return cls(**{t: conform(spark.table(f"{database}.{t}"), t) for t in CDM_COLUMNS})
+        return cls(lambda name: conform(spark.table(f"{database}.{name}"), name))
+
+
+assert set(Cdm.__annotations__) == set(CDM_COLUMNS)

@@ -7,10 +7,12 @@ tables, so all of it grows with them.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from cohortry.functions import Codes
 from cohortry.plans import StudyCodes, StudyParameters
 from cohortry.sources import Cdm, Workspace
 
@@ -22,183 +24,168 @@ PARAMETERS = StudyParameters(
     sle_biopsy_evidence=("ring", "widget"),
 )
 
-_EPOCH = dt.date(1970, 1, 1)
+_BIRTH_DATE = "date_add(DATE'1970-01-01', CAST((c_custkey * 37) % 9000 AS INT))"
+_IS_SLE = "p_type IN ('PROMO', 'LARGE')"
+
+_schemas: dict[str, StructType] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A commerce table; its schema is looked up in the files only once per process."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def clinical_tables(spark: SparkSession, sf_dir: str, workspace: Workspace | None = None) -> Cdm:
-    """The clinical tables, lazily; with a workspace, visits and events are written once.
+    """The clinical tables; with a workspace, visits and events are written once.
 
-    Queries that read several of them need the workspace: all three event tables
-    come out of the same aggregation and joins over the line items.
+    Queries that read the events several times need the workspace: all three event
+    tables come out of the same aggregation and joins over the line items.
     """
-    customer = read(spark, sf_dir, "customer")
-    visits = _visits(spark, sf_dir)
-    events = _events(spark, sf_dir)
-    if workspace:
-        visits = workspace.keep(visits, "visits")
-        events = workspace.write(events, "events", partition_by=["kind"])
-    return Cdm(
-        person=customer.select(
-            F.col("c_custkey").alias("person_id"),
-            F.col("c_mktsegment").alias("site"),
-            _birth_date("c_custkey").alias("birth_date"),
+
+    @cache
+    def events() -> DataFrame:
+        df = _events(spark, sf_dir)
+        return workspace.write(df, "events", partition_by=["kind"]) if workspace else df
+
+    def visits() -> DataFrame:
+        df = _visits(spark, sf_dir)
+        return workspace.keep(df, "visits") if workspace else df
+
+    tables = {
+        "person": lambda: read(spark, sf_dir, "customer").selectExpr(
+            "c_custkey AS person_id", "c_mktsegment AS site", f"{_BIRTH_DATE} AS birth_date"
         ),
-        visit_occurrence=visits,
-        condition_occurrence=_kind(events, "R").select(
-            F.col("id").alias("condition_occurrence_id"),
-            "person_id",
-            "site",
-            "visit_occurrence_id",
-            F.col("concept_id").alias("condition_concept_id"),
-            F.col("concept_name").alias("condition_concept_name"),
-            F.col("type_concept_id").alias("condition_type_concept_id"),
-            F.col("event_date").alias("condition_start_date"),
-            F.col("source_value").alias("condition_source_value"),
-            F.col("source_concept_id").alias("condition_source_concept_id"),
-            F.col("source_concept_name").alias("condition_source_concept_name"),
-            F.col("age_in_months").alias("condition_start_age_in_months"),
+        "visit_occurrence": visits,
+        "condition_occurrence": lambda: (
+            events()
+            .where("kind = 'R'")
+            .selectExpr(
+                "id AS condition_occurrence_id",
+                "person_id",
+                "site",
+                "visit_occurrence_id",
+                "concept_id AS condition_concept_id",
+                "concept_name AS condition_concept_name",
+                "type_concept_id AS condition_type_concept_id",
+                "event_date AS condition_start_date",
+                "source_value AS condition_source_value",
+                "source_concept_id AS condition_source_concept_id",
+                "source_concept_name AS condition_source_concept_name",
+                "age_in_months AS condition_start_age_in_months",
+            )
         ),
-        procedure_occurrence=_kind(events, "A").select(
-            F.col("id").alias("procedure_occurrence_id"),
-            "person_id",
-            "site",
-            F.col("concept_id").alias("procedure_concept_id"),
-            F.col("concept_name").alias("procedure_concept_name"),
-            F.col("event_date").alias("procedure_date"),
-            F.col("source_value").alias("procedure_source_value"),
-            F.col("age_in_months").alias("procedure_age_in_months"),
+        "procedure_occurrence": lambda: (
+            events()
+            .where("kind = 'A'")
+            .selectExpr(
+                "id AS procedure_occurrence_id",
+                "person_id",
+                "site",
+                "concept_id AS procedure_concept_id",
+                "concept_name AS procedure_concept_name",
+                "event_date AS procedure_date",
+                "source_value AS procedure_source_value",
+                "age_in_months AS procedure_age_in_months",
+            )
         ),
-        drug_exposure=_kind(events, "N").select(
-            "person_id", F.col("concept_id").alias("drug_concept_id")
+        "drug_exposure": lambda: (
+            events().where("kind = 'N'").selectExpr("person_id", "concept_id AS drug_concept_id")
         ),
-        provider=read(spark, sf_dir, "supplier").select(
-            F.col("s_suppkey").alias("provider_id"),
-            F.col("s_nationkey").cast("bigint").alias("specialty_concept_id"),
+        "provider": lambda: read(spark, sf_dir, "supplier").selectExpr(
+            "s_suppkey AS provider_id", "CAST(s_nationkey AS BIGINT) AS specialty_concept_id"
         ),
-        care_site=read(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").cast("bigint").alias("care_site_id"),
-            F.col("n_nationkey").cast("bigint").alias("specialty_concept_id"),
+        "care_site": lambda: read(spark, sf_dir, "nation").selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS care_site_id",
+            "CAST(n_nationkey AS BIGINT) AS specialty_concept_id",
         ),
-    )
+    }
+    return Cdm(lambda name: tables[name]())
 
 
 def codes(spark: SparkSession, sf_dir: str) -> StudyCodes:
-    nations, parts = specialty_list(spark, sf_dir), part_list(spark, sf_dir)
-    brand, size = F.col("vocabulary_id"), F.col("size")
-    return StudyCodes(
-        nephrology=_ids(nations, F.col("region") == 0),
-        rheumatology_nephrology=_ids(nations, F.col("region").isin(0, 1)),
-        in_person=(1, 2, 3),
-        in_person_expanded=(1, 2, 3, 4),
-        disease=disease_list(spark, sf_dir),
-        biopsy=_ids(parts, brand.isin("Brand#1", "Brand#2")),
-        biopsy_guidance=_ids(parts, brand.isin("Brand#3", "Brand#4", "Brand#5")),
-        transplant_procedures=_ids(parts, brand == "Brand#10"),
-        transplant_broad=_ids(parts, brand.isin("Brand#10", "Brand#11")),
-        sle_included=_ids(parts, _is_sle()),
-        sle_excluded=_ids(parts, (brand == "Brand#25") & (size >= 25)),
-        sle_drugs=_ids(parts, F.col("type") == "ECONOMY"),
-        transplant_source=(11, 22, 33),
-        sle_biopsy=_ids(parts, brand.isin("Brand#1", "Brand#2")),
-        sle_biopsy_guidance=_ids(parts, brand == "Brand#3"),
-    )
-
-
-def specialty_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias("concept_id"),
-        F.col("n_regionkey").alias("region"),
-    )
-
-
-def part_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("concept_id"),
-        F.concat("p_size", F.lit("."), F.col("p_partkey") % 100).alias("concept_code"),
-        F.concat("p_name", F.lit(" "), "p_type").alias("concept_name"),
-        F.col("p_brand").alias("vocabulary_id"),
-        F.col("p_size").alias("size"),
-        F.col("p_type").alias("type"),
-    )
+    nations = {
+        "nephrology": "n_regionkey = 0",
+        "rheumatology_nephrology": "n_regionkey IN (0, 1)",
+    }
+    parts = {
+        "biopsy": "p_brand IN ('Brand#1', 'Brand#2')",
+        "biopsy_guidance": "p_brand IN ('Brand#3', 'Brand#4', 'Brand#5')",
+        "transplant_procedures": "p_brand = 'Brand#10'",
+        "transplant_broad": "p_brand IN ('Brand#10', 'Brand#11')",
+        "sle_included": _IS_SLE,
+        "sle_excluded": "p_brand = 'Brand#25' AND p_size >= 25",
+        "sle_drugs": "p_type = 'ECONOMY'",
+        "sle_biopsy": "p_brand IN ('Brand#1', 'Brand#2')",
+        "sle_biopsy_guidance": "p_brand = 'Brand#3'",
+    }
+    literals = {
+        "in_person": (1, 2, 3),
+        "in_person_expanded": (1, 2, 3, 4),
+        "transplant_source": (11, 22, 33),
+    }
+
+    def open_list(name: str) -> Codes:
+        if name == "disease":
+            return disease_list(spark, sf_dir)
+        if name in literals:
+            return literals[name]
+        if name in nations:
+            return (
+                read(spark, sf_dir, "nation")
+                .where(nations[name])
+                .selectExpr("CAST(n_nationkey AS BIGINT) AS concept_id")
+            )
+        return read(spark, sf_dir, "part").where(parts[name]).selectExpr("p_partkey AS concept_id")
+
+    return StudyCodes(open_list)
 
 
 def disease_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.col("size")
-    category = F.when(size % 3 == 1, 1).when(size % 3 == 0, 2).otherwise(3)
-    names = {1: "nephrotic", 2: "nephritic", 3: "broad"}
-    return (
-        part_list(spark, sf_dir)
-        .where(size <= 15)
-        .select(
-            "concept_id",
-            "concept_name",
-            "concept_code",
-            "vocabulary_id",
-            category.alias("codeset_category_code"),
-            F.element_at(
-                F.create_map(*(F.lit(x) for kv in names.items() for x in kv)), category
-            ).alias("codeset_category_name"),
-            size.between(1, 5).cast("int").alias("other_code_req"),
-            size.isin(6, 12).cast("int").alias("neph_req"),
-        )
-    )
-
-
-def pair_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kidney-related and lupus codes, each marked with 0/1."""
-    kidney_related = F.col("size") <= 15
     return (
-        part_list(spark, sf_dir)
-        .where(kidney_related | _is_sle())
-        .select(
-            "concept_id",
-            kidney_related.cast("int").alias("kidney_related"),
-            _is_sle().cast("int").alias("sle"),
+        read(spark, sf_dir, "part")
+        .where("p_size <= 15")
+        .selectExpr(
+            "p_partkey AS concept_id",
+            "p_name || ' ' || p_type AS concept_name",
+            "p_size || '.' || p_partkey % 100 AS concept_code",
+            "p_brand AS vocabulary_id",
+            "CASE p_size % 3 WHEN 1 THEN 1 WHEN 0 THEN 2 ELSE 3 END AS codeset_category_code",
+            "CASE p_size % 3 WHEN 1 THEN 'nephrotic' WHEN 0 THEN 'nephritic' ELSE 'broad' END"
+            " AS codeset_category_name",
+            "CAST(p_size BETWEEN 1 AND 5 AS INT) AS other_code_req",
+            "CAST(p_size IN (6, 12) AS INT) AS neph_req",
         )
     )
 
 
-def _is_sle() -> Column:
-    return F.col("type").isin("PROMO", "LARGE")
-
-
-def _ids(codeset: DataFrame, condition: Column) -> DataFrame:
-    return codeset.where(condition).select("concept_id")
-
-
-def _birth_date(person_id: str) -> Column:
-    return F.date_add(F.lit(_EPOCH), (F.col(person_id) * 37 % 9000).cast("int"))
-
-
-def _kind(events: DataFrame, kind: str) -> DataFrame:
-    return events.where(F.col("kind") == kind)
-
-
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    """Orders as visits; the smallest supplier among the line items is the provider."""
     provider = (
         read(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.min("l_suppkey").alias("provider_id"))
+        .selectExpr("l_orderkey AS o_orderkey", "l_suppkey AS provider_id")
+        .groupBy("o_orderkey")
+        .agg({"provider_id": "min"})
+        .withColumnRenamed("min(provider_id)", "provider_id")
+    )
+    customer = read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS o_custkey", "c_mktsegment AS site"
     )
     return (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        read(spark, sf_dir, "orders")
+        .join(customer, "o_custkey")
         .join(provider, "o_orderkey", "left")
-        .select(
-            F.col("o_orderkey").alias("visit_occurrence_id"),
-            F.col("o_custkey").alias("person_id"),
-            F.col("c_mktsegment").alias("site"),
-            F.col("o_orderdate").cast("date").alias("visit_start_date"),
-            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("visit_concept_id"),
-            F.col("o_orderpriority").alias("visit_concept_name"),
+        .selectExpr(
+            "o_orderkey AS visit_occurrence_id",
+            "o_custkey AS person_id",
+            "site",
+            "CAST(o_orderdate AS DATE) AS visit_start_date",
+            "CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS visit_concept_id",
+            "o_orderpriority AS visit_concept_name",
             "provider_id",
-            F.when(F.col("o_orderstatus") == "P", None)
-            .otherwise(F.col("o_orderkey") % 25)
-            .alias("care_site_id"),
+            "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey % 25 END AS care_site_id",
         )
     )
 
@@ -209,38 +196,43 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # minimum of strings makes Spark sort all line items.
     lines = (
         read(spark, sf_dir, "lineitem")
+        .selectExpr(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "ascii(l_returnflag) AS flag",
+            "CAST(l_shipdate AS DATE) AS event_date",
+        )
         .groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min("l_partkey").alias("p_partkey"),
-            F.min(F.ascii("l_returnflag")).alias("flag"),
-            F.min(F.col("l_shipdate").cast("date")).alias("event_date"),
+        .agg({"l_partkey": "min", "flag": "min", "event_date": "min"})
+        .selectExpr(
+            "l_orderkey AS o_orderkey",
+            "l_linenumber",
+            "`min(l_partkey)` AS p_partkey",
+            "`min(flag)` AS flag",
+            "`min(event_date)` AS event_date",
         )
     )
-    customer = read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("site")
+    customer = read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS o_custkey", "c_mktsegment AS site", f"{_BIRTH_DATE} AS birth_date"
     )
-    orders = (
-        read(spark, sf_dir, "orders")
-        .join(customer, "o_custkey")
-        .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "site")
-    )
-    days_old = F.datediff("event_date", _birth_date("o_custkey"))
     return (
-        lines.join(orders, "l_orderkey")
+        lines.join(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+        .join(customer, "o_custkey")
         .join(read(spark, sf_dir, "part"), "p_partkey")
-        .select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-            F.col("o_custkey").alias("person_id"),
+        .selectExpr(
+            "o_orderkey * 8 + l_linenumber AS id",
+            "o_custkey AS person_id",
             "site",
-            F.col("l_orderkey").alias("visit_occurrence_id"),
-            F.col("p_partkey").alias("concept_id"),
-            F.concat("p_name", F.lit(" "), "p_type").alias("concept_name"),
-            F.col("l_linenumber").cast("bigint").alias("type_concept_id"),
+            "o_orderkey AS visit_occurrence_id",
+            "p_partkey AS concept_id",
+            "p_name || ' ' || p_type AS concept_name",
+            "CAST(l_linenumber AS BIGINT) AS type_concept_id",
             "event_date",
-            F.concat("p_brand", F.lit(" "), "p_name").alias("source_value"),
-            (F.col("p_partkey") % 97).alias("source_concept_id"),
-            F.col("p_brand").alias("source_concept_name"),
-            F.floor(days_old / 30.4375).cast("int").alias("age_in_months"),
-            F.chr("flag").alias("kind"),
+            "p_brand || ' ' || p_name AS source_value",
+            "p_partkey % 97 AS source_concept_id",
+            "p_brand AS source_concept_name",
+            "CAST(floor(datediff(event_date, birth_date) / 30.4375D) AS INT) AS age_in_months",
+            "chr(flag) AS kind",
         )
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import add_site, in_codes
 from cohortry.operators import disease, events, lupus, membership, pairing, spacing, specialty
 from cohortry.plans import StudyCodes, TransplantStudy
-from cohortry.plans.transplant_study import STEPS
+from cohortry.plans.transplant_study import ATTRITION, STEPS, worth_keeping
 from cohortry.session import configure
 from cohortry.sources import Cdm, Workspace, codes_where, load_codeset
 from testkit import commerce
@@ -18,15 +18,16 @@ from testkit.commerce import PARAMETERS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Study steps that need the visits only.
-_VISIT_STEPS = {
+# Study steps that read the events at most twice, each time only once per table.
+_LAZY_STEPS = {
     "nephrology_visits",
     "nephrology_visit_cohort",
     "nephrology_visits_exp",
     "nephrology_visit_cohort_exp",
+    "glomerular_disease_cohort",
+    "sle_conditions",
+    "sle_i_e_pats",
 }
-# Study steps that need the conditions only.
-_CONDITION_STEPS = {"sle_conditions", "sle_i_e_pats"}
 
 _WINDOW = {"first_day": PARAMETERS.first_day, "last_day": PARAMETERS.last_day}
 _BIOPSY_TEXT = {
@@ -60,7 +61,20 @@ def _on_clinical_tables(f: Callable[[Cdm, StudyCodes], DataFrame]) -> Query:
     return query
 
 
-def _study(spark: SparkSession, sf_dir: str, *, keep: bool) -> TransplantStudy:
+def _study_step(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _study(spark, sf_dir, (name,), keep=name not in _LAZY_STEPS).table(name)
+
+    return query
+
+
+def attrition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _study(spark, sf_dir, ATTRITION, keep=True).attrition()
+
+
+def _study(
+    spark: SparkSession, sf_dir: str, wanted: tuple[str, ...], *, keep: bool
+) -> TransplantStudy:
     configure(spark)
     workspace = Workspace(spark) if keep else None
     return TransplantStudy(
@@ -68,21 +82,10 @@ def _study(spark: SparkSession, sf_dir: str, *, keep: bool) -> TransplantStudy:
         commerce.codes(spark, sf_dir),
         PARAMETERS,
         keep=workspace.keep if workspace else None,
+        kept=worth_keeping(*wanted),
     )
 
 
-def _study_step(name: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lazy = name in _VISIT_STEPS | _CONDITION_STEPS
-        return _study(spark, sf_dir, keep=not lazy).plan(name)
-
-    return query
-
-
-def attrition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _study(spark, sf_dir, keep=True).attrition()
-
-
 def codeset_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The disease list written as CSV and read back by the code list reader."""
     workspace = Workspace(spark)
@@ -138,15 +141,16 @@ def _seen_sle_rows(cdm: Cdm, codes: StudyCodes) -> DataFrame:
     )
 
 
-def _pair_list(cdm: Cdm, codes: StudyCodes) -> DataFrame:
-    sle = codes.sle_included.select("concept_id", F.lit(1).alias("sle"))
+def _pair_list(codes: StudyCodes) -> DataFrame:
+    """Kidney-related and lupus codes, each marked with 0/1."""
     kidney = codes.disease.select("concept_id", F.lit(1).alias("kidney_related"))
+    sle = codes.sle_included.select("concept_id", F.lit(1).alias("sle"))
     return kidney.join(sle, "concept_id", "full").fillna(0)
 
 
 def _nephritis_rows(cdm: Cdm, codes: StudyCodes) -> DataFrame:
     return pairing.same_date_pair_for_cohort(
-        _seen_sle_rows(cdm, codes), cdm.condition_occurrence, _pair_list(cdm, codes)
+        _seen_sle_rows(cdm, codes), cdm.condition_occurrence, _pair_list(codes)
     )
 
 
@@ -243,7 +247,7 @@ _OPERATORS: dict[str, Callable[[Cdm, StudyCodes], DataFrame]] = {
         evidence=PARAMETERS.sle_biopsy_evidence,
     ),
     "same_date_pair": lambda cdm, codes: pairing.same_date_pair(
-        cdm.condition_occurrence, _pair_list(cdm, codes)
+        cdm.condition_occurrence, _pair_list(codes)
     ),
     "same_date_pair_for_cohort": _nephritis_rows,
     "persons_with_any_code": lambda cdm, codes: membership.persons_with_any_code(
