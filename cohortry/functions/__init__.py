@@ -1,6 +1,7 @@
 from cohortry.functions.codes import Codes, flag_codes, in_codes
 from cohortry.functions.dates import days_between, is_middle_date, within
 from cohortry.functions.persons import add_site, of_persons, without_persons
+from cohortry.functions.skew import own_shuffle
 from cohortry.functions.text import mentions
 
 __all__ = [
@@ -12,6 +13,7 @@ __all__ = [
     "is_middle_date",
     "mentions",
     "of_persons",
+    "own_shuffle",
     "within",
     "without_persons",
 ]

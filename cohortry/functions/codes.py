@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortry.functions.skew import own_shuffle
 from cohortry.sources.codesets import inline_codes
 
 # A code list: a table with a concept_id column, or literal concept ids.
@@ -34,12 +35,13 @@ def flag_codes(spark: SparkSession, **lists: Codes) -> DataFrame:
         )
         for name, codes in lists.items()
     ]
-    return (
+    flags = (
         reduce(DataFrame.unionByName, tagged)
         .where(F.col("concept_id").isNotNull())
         .groupBy("concept_id")
         .agg(*(F.max(name).alias(name) for name in lists))
     )
+    return own_shuffle(flags, "concept_id")
 
 
 def _as_table(spark: SparkSession, codes: Codes) -> DataFrame:

@@ -1,24 +1,30 @@
 """Cohort membership. A cohort is any table with a ``person_id`` column.
 
-Membership is tested with semi- and anti-joins, so a person listed twice, or at
-two sites, counts once and never multiplies rows.
+Cohorts are reduced to distinct persons and matched with semi- and anti-joins, so
+a person listed twice, or at two sites, counts once and never multiplies rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from cohortry.functions.skew import own_shuffle
+
 
 def of_persons(rows: DataFrame, cohort: DataFrame) -> DataFrame:
     """Rows of persons in the cohort."""
-    return rows.join(cohort.select("person_id"), "person_id", "left_semi").select(*rows.columns)
+    return rows.join(_members(cohort), "person_id", "left_semi").select(*rows.columns)
 
 
 def without_persons(rows: DataFrame, cohort: DataFrame) -> DataFrame:
     """Rows of persons not in the cohort."""
-    return rows.join(cohort.select("person_id"), "person_id", "left_anti").select(*rows.columns)
+    return rows.join(_members(cohort), "person_id", "left_anti").select(*rows.columns)
 
 
 def add_site(persons: DataFrame, person: DataFrame) -> DataFrame:
     """The listed persons with their site, from the person table."""
     return of_persons(person.select("person_id", "site"), persons)
+
+
+def _members(cohort: DataFrame) -> DataFrame:
+    return own_shuffle(cohort.select("person_id").distinct(), "person_id")

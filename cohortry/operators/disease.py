@@ -17,7 +17,7 @@ from cohortry.defaults import (
     WINDOW_END,
     WINDOW_START,
 )
-from cohortry.functions import Codes, flag_codes, of_persons, within
+from cohortry.functions import Codes, flag_codes, of_persons, own_shuffle, within
 from cohortry.operators.events import earliest_biopsy_and_transplant
 from cohortry.operators.specialty import at_specialty
 from cohortry.sources import Cdm
@@ -223,7 +223,9 @@ def _diagnosis_summary(
         .withColumn("_at_nephrology", F.lit(True))
     )
     return (
-        diagnoses.join(nephrology_visits, "visit_occurrence_id", "left")
+        diagnoses.join(
+            own_shuffle(nephrology_visits, "visit_occurrence_id"), "visit_occurrence_id", "left"
+        )
         .where(~F.col("neph_req") | F.col("_at_nephrology"))
         .groupBy("person_id", "site")
         .agg(

@@ -26,6 +26,7 @@ from cohortry.functions import (
     in_codes,
     mentions,
     of_persons,
+    own_shuffle,
     within,
 )
 
@@ -205,7 +206,7 @@ def _with_age_days(
 ) -> DataFrame:
     births = person.select("person_id", "birth_date")
     if cohort is not None:
-        births = of_persons(births, cohort)
+        births = own_shuffle(of_persons(births, cohort), "person_id")
     return rows.join(births, "person_id").select(
         *rows.columns, "birth_date", days_between("birth_date", date).alias(age)
     )

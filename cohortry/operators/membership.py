@@ -26,7 +26,7 @@ def incl_excl_conditions(
     """Distinct rows of included conditions, for persons with no excluded one ever."""
     rows = in_codes(conditions, "condition_concept_id", included).select(*CONDITION_ROW)
     barred = in_codes(conditions, "condition_concept_id", excluded)
-    return without_persons(rows, barred.select("person_id").distinct()).distinct()
+    return without_persons(rows, barred).distinct()
 
 
 def conditions_with_eligible_visits(

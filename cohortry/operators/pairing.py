@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions import of_persons
+from cohortry.functions import of_persons, own_shuffle
 
 _COLUMNS = [
     "condition_occurrence_id",
@@ -46,7 +46,9 @@ def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
         .where("_kidney AND _sle")
     )
     return (
-        rows.join(paired, ["person_id", "condition_start_date"], "left_semi")
+        rows.join(
+            own_shuffle(paired, "person_id"), ["person_id", "condition_start_date"], "left_semi"
+        )
         .distinct()
         .select(
             *_COLUMNS,

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.defaults import WINDOW_END, WINDOW_START
-from cohortry.functions import Codes, days_between, in_codes, is_middle_date, of_persons, within
+from cohortry.functions import (
+    Codes,
+    days_between,
+    in_codes,
+    is_middle_date,
+    of_persons,
+    own_shuffle,
+    within,
+)
 from cohortry.operators.specialty import at_specialty
 
 
@@ -51,7 +59,7 @@ def spaced_specialty_visits(
         .distinct()
     )
     # Narrow to the qualifying persons before the specialty look-ups.
-    theirs = in_window.join(seen, "person_id").select(
+    theirs = in_window.join(own_shuffle(seen, "person_id"), "person_id").select(
         "person_id",
         "visit_occurrence_id",
         "distinct_dates",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions import Codes, in_codes, of_persons
+from cohortry.functions import Codes, in_codes, of_persons, own_shuffle
 
 _VISIT_SPECIALTY = [
     "person_id",
@@ -153,12 +153,13 @@ def persons_with_eligible_visits(
 
 
 def _listed_ids(table: DataFrame, id_column: str, specialties: Codes) -> DataFrame:
-    return (
+    listed = (
         in_codes(table, "specialty_concept_id", specialties)
         .where(F.col(id_column).isNotNull())
         .select(id_column)
         .distinct()
     )
+    return own_shuffle(listed, id_column)
 
 
 def _specialty_origins(visits: DataFrame, provider: DataFrame, care_site: DataFrame) -> DataFrame:
@@ -191,6 +192,5 @@ def _visit_counts(rows: DataFrame, min_visits: int) -> DataFrame:
 
 
 def _with_visit_count(rows: DataFrame, min_visits: int) -> DataFrame:
-    return rows.join(_visit_counts(rows, min_visits), "person_id").select(
-        *rows.columns, "n_visits"
-    )
+    counts = own_shuffle(_visit_counts(rows, min_visits), "person_id")
+    return rows.join(counts, "person_id").select(*rows.columns, "n_visits")
