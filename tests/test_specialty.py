@@ -1,0 +1,131 @@
+import pytest
+
+from cohortry.operators import specialty
+from tests.tables import NEPHROLOGY, cdm, day, ids_of, persons, rows_of
+
+
+@pytest.fixture
+def tables(spark):
+    return cdm(
+        spark,
+        visit_occurrence=[
+            dict(person_id=1, visit_occurrence_id=1, provider_id=10, care_site_id=None),
+            dict(person_id=1, visit_occurrence_id=2, provider_id=None, care_site_id=10),
+            dict(person_id=1, visit_occurrence_id=3, provider_id=10, care_site_id=10),
+            dict(person_id=2, visit_occurrence_id=4, provider_id=20, care_site_id=20),
+            dict(person_id=2, visit_occurrence_id=5, provider_id=None, care_site_id=None),
+            dict(person_id=3, visit_occurrence_id=6, provider_id=20, care_site_id=10),
+            dict(person_id=3, visit_occurrence_id=7, visit_concept_id=9203, provider_id=10),
+        ],
+    )
+
+
+def test_provider_or_care_site_each_row_once(tables):
+    found = specialty.specialty_events(
+        tables.visit_occurrence, tables.provider, tables.care_site, NEPHROLOGY
+    )
+    assert rows_of(found, "visit_occurrence_id") == [(1,), (2,), (3,), (6,), (7,)]
+    assert found.columns == tables.visit_occurrence.columns
+
+
+def test_repeated_rows_are_dropped(tables):
+    visits = tables.visit_occurrence
+    found = specialty.specialty_events(
+        visits.union(visits), tables.provider, tables.care_site, NEPHROLOGY
+    )
+    assert found.count() == 5
+
+
+def test_provider_listed_twice_does_not_multiply(tables):
+    found = specialty.at_specialty(
+        tables.visit_occurrence,
+        tables.provider.union(tables.provider),
+        tables.care_site,
+        NEPHROLOGY,
+    )
+    assert found.count() == 5
+
+
+def test_specialty_and_origin(spark, tables):
+    found = specialty.visits_with_specialty(
+        tables.visit_occurrence, persons(spark, 1, 1, 2), tables.provider, tables.care_site
+    )
+    assert rows_of(found, "visit_occurrence_id", "specialty_concept_id", "spec_flag") == [
+        (1, 1, "provider"),
+        (2, 1, "care_site"),
+        (3, 1, "care_site"),
+        (3, 1, "provider"),
+        (4, 2, "care_site"),
+        (4, 2, "provider"),
+    ]
+
+
+def test_specialty_unknown_to_provider_table_is_kept_as_null(spark):
+    tables = cdm(
+        spark,
+        visit_occurrence=[dict(person_id=1, visit_occurrence_id=1, provider_id=30)],
+        provider=[dict(provider_id=30, specialty_concept_id=None)],
+    )
+    found = specialty.visits_with_specialty(
+        tables.visit_occurrence, persons(spark, 1), tables.provider, tables.care_site
+    )
+    assert rows_of(found, "specialty_concept_id", "spec_flag") == [(None, "provider")]
+
+
+def test_visit_type_name_is_carried(spark, tables):
+    found = specialty.visit_table_specialty(
+        tables.visit_occurrence, persons(spark, 2), tables.provider, tables.care_site
+    )
+    assert rows_of(found, "visit_concept_name", "spec_flag") == [
+        ("Outpatient Visit", "care_site"),
+        ("Outpatient Visit", "provider"),
+    ]
+
+
+def test_eligible_visits_need_two(spark, tables):
+    found = specialty.eligible_visits(
+        tables.visit_occurrence,
+        persons(spark, 1, 2, 3),
+        tables.provider,
+        tables.care_site,
+        NEPHROLOGY,
+        [9202],
+    )
+    # Person 3 has one visit of the type; person 1 three visits, one found both ways.
+    assert rows_of(found, "person_id", "visit_occurrence_id", "spec_flag", "n_visits") == [
+        (1, 1, "provider", 3),
+        (1, 2, "care_site", 3),
+        (1, 3, "care_site", 3),
+        (1, 3, "provider", 3),
+    ]
+
+
+def test_population_eligible_visits(spark, tables):
+    found = specialty.population_eligible_visits(
+        tables.visit_occurrence, tables.provider, tables.care_site, NEPHROLOGY, [9202, 9203]
+    )
+    assert ids_of(found) == [1, 3]
+    assert found.columns == [
+        "person_id",
+        "visit_start_date",
+        "visit_occurrence_id",
+        "visit_concept_id",
+        "provider_id",
+        "care_site_id",
+        "spec_flag",
+        "n_visits",
+    ]
+
+
+def test_two_visits_may_share_a_date(spark):
+    tables = cdm(
+        spark,
+        visit_occurrence=[
+            dict(person_id=1, visit_start_date=day(0)),
+            dict(person_id=1, visit_start_date=day(0)),
+        ],
+    )
+    found = specialty.persons_with_eligible_visits(
+        tables.visit_occurrence, tables.provider, tables.care_site, NEPHROLOGY, [9202]
+    )
+    assert rows_of(found) == [(1, 2)]
