@@ -1,6 +1,6 @@
 from cohortry.functions.codes import Codes, flag_codes, in_codes
 from cohortry.functions.dates import days_between, is_middle_date, within
-from cohortry.functions.persons import add_site, of_persons, without_persons
+from cohortry.functions.persons import add_site, join_persons, of_persons, without_persons
 from cohortry.functions.skew import own_shuffle
 from cohortry.functions.text import mentions
 
@@ -11,6 +11,7 @@ __all__ = [
     "flag_codes",
     "in_codes",
     "is_middle_date",
+    "join_persons",
     "mentions",
     "of_persons",
     "own_shuffle",

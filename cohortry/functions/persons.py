@@ -16,6 +16,15 @@ def of_persons(rows: DataFrame, cohort: DataFrame) -> DataFrame:
     return rows.join(_members(cohort), "person_id", "left_semi").select(*rows.columns)
 
 
+def join_persons(rows: DataFrame, cohort: DataFrame) -> DataFrame:
+    """As :func:`of_persons`, for rows that come out of a join that filters them.
+
+    Spark moves a semi-join below an inner one: all rows, not only those the inner
+    join lets through, would then be shuffled by person. An inner join stays on top.
+    """
+    return rows.join(_members(cohort), "person_id").select(*rows.columns)
+
+
 def without_persons(rows: DataFrame, cohort: DataFrame) -> DataFrame:
     """Rows of persons not in the cohort."""
     return rows.join(_members(cohort), "person_id", "left_anti").select(*rows.columns)

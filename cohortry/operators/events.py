@@ -24,6 +24,7 @@ from cohortry.functions import (
     days_between,
     flag_codes,
     in_codes,
+    join_persons,
     mentions,
     of_persons,
     own_shuffle,
@@ -119,7 +120,7 @@ def biopsy_procedures(
     """
     coded = _coded_procedures(procedures, biopsy=biopsy_codes, guidance=guidance_codes)
     return (
-        of_persons(coded.where(is_biopsy(evidence, counter_evidence)), cohort)
+        join_persons(coded.where(is_biopsy(evidence, counter_evidence)), cohort)
         .select(
             "person_id",
             F.col("procedure_occurrence_id").alias("occurrence_id"),
@@ -175,7 +176,7 @@ def biopsy_by_literal_codes(
     contains "renal" and counts.
     """
     coded = _coded_procedures(procedures, biopsy=biopsy_codes, guidance=guidance_codes)
-    return of_persons(coded.where(is_biopsy(evidence, ())), cohort).select(
+    return join_persons(coded.where(is_biopsy(evidence, ())), cohort).select(
         "procedure_occurrence_id",
         "person_id",
         "site",

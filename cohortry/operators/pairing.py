@@ -44,11 +44,11 @@ def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
             F.bool_or(F.col("sle") == 1).alias("_sle"),
         )
         .where("_kidney AND _sle")
+        .select("person_id", "condition_start_date")
     )
     return (
-        rows.join(
-            own_shuffle(paired, "person_id"), ["person_id", "condition_start_date"], "left_semi"
-        )
+        rows.join(own_shuffle(paired, "person_id"), ["person_id", "condition_start_date"])
+        .select(*_COLUMNS)
         .distinct()
         .select(
             *_COLUMNS,

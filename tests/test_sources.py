@@ -1,0 +1,125 @@
+import datetime as dt
+
+import pytest
+
+from cohortry.plans import StudyCodes
+from cohortry.sources import (
+    Cdm,
+    ResultStore,
+    TableStore,
+    Workspace,
+    codes_where,
+    inline_codes,
+    load_codeset,
+)
+from cohortry.sources.results import shared_folder
+from cohortry.sources.schema import conform
+from tests.tables import cdm, rows_of
+
+
+def _csv(folder, name, text):
+    (folder / f"{name}.csv").write_bytes(text.encode("utf-8"))
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    _csv(tmp_path, "a", "concept_id,concept_code,concept_name,vocabulary_id\n1,55.23,Biopsy,V\n")
+    _csv(tmp_path, "b", "concept_id,concept_name,concept_code,vocabulary_id\n2,Biopsy,0042,V\n")
+    a, b = (load_codeset(spark, str(tmp_path), n) for n in "ab")
+    assert rows_of(a, "concept_id", "concept_code", "concept_name") == [(1, "55.23", "Biopsy")]
+    assert rows_of(b, "concept_id", "concept_code", "concept_name") == [(2, "0042", "Biopsy")]
+    assert dict(a.dtypes)["concept_id"] == "bigint"
+
+
+def test_quotes_line_ends_and_letters(spark, tmp_path):
+    _csv(
+        tmp_path,
+        "q",
+        '"concept_id","concept_name"\r\n"2000000469","Sjögren, ""primary"""\r\n"x","bad id"\r\n',
+    )
+    assert rows_of(load_codeset(spark, str(tmp_path), "q")) == [
+        (2000000469, 'Sjögren, "primary"'),
+        (None, "bad id"),
+    ]
+
+
+def test_column_type_letters(spark, tmp_path):
+    _csv(tmp_path, "t", "concept_id,other_code_req,weight,day\n1,1,2.5,2020-01-02\n")
+    # One letter more than there are columns.
+    df = load_codeset(spark, str(tmp_path), "t", "iidDc")
+    assert df.dtypes == [
+        ("concept_id", "bigint"),
+        ("other_code_req", "int"),
+        ("weight", "double"),
+        ("day", "date"),
+    ]
+    assert rows_of(df) == [(1, 1, 2.5, dt.date(2020, 1, 2))]
+    assert rows_of(codes_where(df, "other_code_req")) == [(1,)]
+    with pytest.raises(ValueError, match="letter"):
+        load_codeset(spark, str(tmp_path), "t", "x")
+
+
+def test_missing_list_is_named(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="codeset_hydroxychloroquine"):
+        load_codeset(spark, str(tmp_path), "codeset_hydroxychloroquine")
+
+
+def test_study_codes_open_on_use(spark, tmp_path):
+    _csv(tmp_path, "in_person", "concept_id\n9201\n")
+    codes = StudyCodes.from_folder(spark, str(tmp_path))
+    assert rows_of(codes.in_person) == [(9201,)]
+    assert codes.in_person is codes.in_person
+    assert codes.transplant_source == (44821546, 35225404, 45595522)
+    with pytest.raises(FileNotFoundError):
+        codes.open_all()
+    with pytest.raises(AttributeError):
+        codes.no_such_list
+
+
+def test_inline_codes(spark):
+    assert rows_of(inline_codes(spark, [3, 2000000469])) == [(2000000469,), (3,)]
+    assert rows_of(inline_codes(spark, [])) == []
+
+
+def test_conform_casts_and_checks(spark):
+    df = spark.sql(
+        "SELECT 1 AS person_id, 'A' AS site, TIMESTAMP_NTZ'2001-02-03 00:00:00' AS birth_date,"
+        " 'kept' AS extra"
+    )
+    out = conform(df, "person")
+    assert out.dtypes[:3] == [("person_id", "bigint"), ("site", "string"), ("birth_date", "date")]
+    assert rows_of(out, "birth_date", "extra") == [(dt.date(2001, 2, 3), "kept")]
+    with pytest.raises(ValueError, match="birth_date"):
+        conform(df.drop("birth_date"), "person")
+
+
+def test_cdm_from_folder_opens_only_what_is_used(spark, tmp_path):
+    cdm(spark, person=[dict(person_id=5)]).person.write.parquet(str(tmp_path / "person"))
+    stored = Cdm.from_folder(spark, str(tmp_path))
+    assert rows_of(stored.person, "person_id") == [(5,)]
+
+
+def test_cdm_from_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS clinic")
+    store = TableStore(spark, "clinic", buckets=2)
+    written = store.write(cdm(spark, person=[dict(person_id=5)]).person, "person", ["person_id"])
+    assert rows_of(written, "person_id") == [(5,)]
+    assert rows_of(Cdm.from_database(spark, "clinic").person, "person_id") == [(5,)]
+
+
+def test_result_store_overwrites_and_reads_back(spark, tmp_path):
+    store = ResultStore(spark, str(tmp_path))
+    first = store.write(spark.range(5).selectExpr("id AS person_id"), "cohort", ["person_id"])
+    assert first.count() == 5
+    store.write(spark.range(2).selectExpr("id AS person_id"), "cohort")
+    assert store.read("cohort").count() == 2
+
+
+def test_workspace_uses_the_shared_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    one, two = Workspace(spark), Workspace(spark)
+    assert one.root.startswith(folder) and one.root != two.root
+    kept = one.keep(spark.range(3), "x")
+    assert kept.count() == 3
+    # Nothing of the original lineage is left.
+    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
