@@ -65,11 +65,17 @@ class Workspace(ResultStore):
     """Intermediate tables of one run, in the folder all executors share.
 
     A written table survives the loss of any executor, unlike a cached one whose
-    blocks have to be recomputed through the whole lineage.
+    blocks have to be recomputed through the whole lineage. The folder is removed
+    when the application ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         super().__init__(spark, f"{shared_folder(spark)}/cohortry-{uuid.uuid4().hex}")
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         return self.write(df, name)

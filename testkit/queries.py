@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions import add_site, in_codes
 from cohortry.operators import disease, events, lupus, membership, pairing, spacing, specialty
-from cohortry.plans import StudyCodes, TransplantStudy
+from cohortry.plans import TransplantStudy
 from cohortry.plans.transplant_study import ATTRITION, STEPS, worth_keeping
 from cohortry.session import configure
-from cohortry.sources import Cdm, Workspace, codes_where, load_codeset
+from cohortry.sources import Workspace, codes_where, load_codeset
 from testkit import commerce
 from testkit.commerce import PARAMETERS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Study steps that read the events at most twice, each time only once per table.
+_WINDOW = {"first_day": PARAMETERS.first_day, "last_day": PARAMETERS.last_day}
+_BIOPSY_TEXT = {
+    "evidence": PARAMETERS.biopsy_evidence,
+    "counter_evidence": PARAMETERS.biopsy_counter_evidence,
+}
+
+# Steps registered under the name of their operator.
+_NOT_LISTED = {"sle_conditions", "sle_conditions_w_elig_visits"}
+
+# Study steps that read the event tables at most twice.
 _LAZY_STEPS = {
     "nephrology_visits",
     "nephrology_visit_cohort",
@@ -29,60 +38,52 @@ _LAZY_STEPS = {
     "sle_i_e_pats",
 }
 
-_WINDOW = {"first_day": PARAMETERS.first_day, "last_day": PARAMETERS.last_day}
-_BIOPSY_TEXT = {
-    "evidence": PARAMETERS.biopsy_evidence,
-    "counter_evidence": PARAMETERS.biopsy_counter_evidence,
-}
+# Operators whose cohorts make them read the event tables more than three times.
+_STORING_OPERATORS = {"same_date_pair_for_cohort", "ln_cohort", "ln_cohort_no_biopsy"}
 
 
 def queries() -> dict[str, Query]:
-    operators = {name: _on_clinical_tables(f) for name, f in _OPERATORS.items()}
-    steps = {name: _study_step(name) for name in STEPS if name not in _NOT_LISTED}
     return {
-        **operators,
+        **{name: _operator(name) for name in _OPERATORS},
         "codeset_load": codeset_load,
         "disease_code_flags": disease_code_flags,
         "result_round_trip": result_round_trip,
-        **steps,
+        **{name: _step(name) for name in STEPS if name not in _NOT_LISTED},
         "attrition": attrition,
     }
 
 
-# Steps registered under the name of their operator.
-_NOT_LISTED = {"sle_conditions", "sle_conditions_w_elig_visits"}
-
-
-def _on_clinical_tables(f: Callable[[Cdm, StudyCodes], DataFrame]) -> Query:
+def _operator(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
-        return f(commerce.clinical_tables(spark, sf_dir), commerce.codes(spark, sf_dir))
+        store = name in _STORING_OPERATORS
+        return _OPERATORS[name](_study(spark, sf_dir, {"sle_conditions_w_elig_visits"}, store))
 
     return query
 
 
-def _study_step(name: str) -> Query:
+def _step(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _study(spark, sf_dir, (name,), keep=name not in _LAZY_STEPS).table(name)
+        return _study(spark, sf_dir, worth_keeping(name), name not in _LAZY_STEPS).table(name)
 
     return query
 
 
 def attrition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _study(spark, sf_dir, ATTRITION, keep=True).attrition()
+    return _study(spark, sf_dir, worth_keeping(*ATTRITION), store=True).attrition()
 
 
 def _study(
-    spark: SparkSession, sf_dir: str, wanted: tuple[str, ...], *, keep: bool
+    spark: SparkSession, sf_dir: str, kept: Collection[str], store: bool
 ) -> TransplantStudy:
+    """The study on the commerce tables, storing events, visits and ``kept`` steps or nothing."""
     configure(spark)
-    workspace = Workspace(spark) if keep else None
+    workspace = Workspace(spark) if store else None
     return TransplantStudy(
         commerce.clinical_tables(spark, sf_dir, workspace),
         commerce.codes(spark, sf_dir),
         PARAMETERS,
         keep=workspace.keep if workspace else None,
-        kept=worth_keeping(*wanted),
+        kept=kept,
     )
 
 
@@ -119,168 +120,159 @@ def result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Cohorts the operators are shown on.
 
 
-def _biopsied(cdm: Cdm, codes: StudyCodes) -> DataFrame:
-    """Cohort: persons with a biopsy code, once per biopsy."""
-    return in_codes(cdm.procedure_occurrence, "procedure_concept_id", codes.biopsy)
+def _biopsied(s: TransplantStudy) -> DataFrame:
+    """Persons with a biopsy code, once per biopsy."""
+    return in_codes(s.cdm.procedure_occurrence, "procedure_concept_id", s.codes.biopsy)
 
 
-def _sle_rows(cdm: Cdm, codes: StudyCodes) -> DataFrame:
-    return membership.incl_excl_conditions(
-        cdm.condition_occurrence, codes.sle_included, codes.sle_excluded
-    )
+def _sle_rows(s: TransplantStudy) -> DataFrame:
+    return s.table("sle_conditions")
 
 
-def _seen_sle_rows(cdm: Cdm, codes: StudyCodes) -> DataFrame:
-    return membership.conditions_with_eligible_visits(
-        _sle_rows(cdm, codes),
-        cdm.visit_occurrence,
-        cdm.provider,
-        cdm.care_site,
-        codes.rheumatology_nephrology,
-        codes.in_person,
-    )
+def _seen_sle_rows(s: TransplantStudy) -> DataFrame:
+    return s.table("sle_conditions_w_elig_visits")
 
 
-def _pair_list(codes: StudyCodes) -> DataFrame:
+def _pair_list(s: TransplantStudy) -> DataFrame:
     """Kidney-related and lupus codes, each marked with 0/1."""
-    kidney = codes.disease.select("concept_id", F.lit(1).alias("kidney_related"))
-    sle = codes.sle_included.select("concept_id", F.lit(1).alias("sle"))
+    kidney = s.codes.disease.select("concept_id", F.lit(1).alias("kidney_related"))
+    sle = s.codes.sle_included.select("concept_id", F.lit(1).alias("sle"))
     return kidney.join(sle, "concept_id", "full").fillna(0)
 
 
-def _nephritis_rows(cdm: Cdm, codes: StudyCodes) -> DataFrame:
+def _nephritis_rows(s: TransplantStudy) -> DataFrame:
     return pairing.same_date_pair_for_cohort(
-        _seen_sle_rows(cdm, codes), cdm.condition_occurrence, _pair_list(codes)
+        _seen_sle_rows(s), s.cdm.condition_occurrence, _pair_list(s)
     )
 
 
-_OPERATORS: dict[str, Callable[[Cdm, StudyCodes], DataFrame]] = {
-    "cdm_person": lambda cdm, codes: cdm.person,
-    "cdm_visit_occurrence": lambda cdm, codes: cdm.visit_occurrence,
-    "cdm_condition_occurrence": lambda cdm, codes: cdm.condition_occurrence,
-    "cdm_procedure_occurrence": lambda cdm, codes: cdm.procedure_occurrence,
-    "cdm_drug_exposure": lambda cdm, codes: cdm.drug_exposure,
-    "add_site": lambda cdm, codes: add_site(_biopsied(cdm, codes), cdm.person),
-    "spaced_specialty_visits": lambda cdm, codes: spacing.spaced_specialty_visits(
-        cdm.visit_occurrence,
-        cdm.provider,
-        cdm.care_site,
-        codes.rheumatology_nephrology,
-        codes.in_person_expanded,
+_OPERATORS: dict[str, Callable[[TransplantStudy], DataFrame]] = {
+    "cdm_person": lambda s: s.cdm.person,
+    "cdm_visit_occurrence": lambda s: s.cdm.visit_occurrence,
+    "cdm_condition_occurrence": lambda s: s.cdm.condition_occurrence,
+    "cdm_procedure_occurrence": lambda s: s.cdm.procedure_occurrence,
+    "cdm_drug_exposure": lambda s: s.cdm.drug_exposure,
+    "add_site": lambda s: add_site(_biopsied(s), s.cdm.person),
+    "spaced_specialty_visits": lambda s: spacing.spaced_specialty_visits(
+        s.cdm.visit_occurrence,
+        s.cdm.provider,
+        s.cdm.care_site,
+        s.codes.rheumatology_nephrology,
+        s.codes.in_person_expanded,
         min_visits=4,
         gap_days=30,
         **_WINDOW,
     ),
-    "specialty_events": lambda cdm, codes: specialty.specialty_events(
-        cdm.visit_occurrence, cdm.provider, cdm.care_site, codes.nephrology
+    "specialty_events": lambda s: specialty.specialty_events(
+        s.cdm.visit_occurrence, s.cdm.provider, s.cdm.care_site, s.codes.nephrology
     ),
-    "procedures_in_codeset": lambda cdm, codes: events.procedures_in_codeset(
-        cdm.procedure_occurrence, cdm.person, codes.transplant_procedures, _biopsied(cdm, codes)
+    "procedures_in_codeset": lambda s: events.procedures_in_codeset(
+        s.cdm.procedure_occurrence, s.cdm.person, s.codes.transplant_procedures, _biopsied(s)
     ),
-    "conditions_in_codeset": lambda cdm, codes: events.conditions_in_codeset(
-        cdm.condition_occurrence, cdm.person, codes.transplant_broad
+    "conditions_in_codeset": lambda s: events.conditions_in_codeset(
+        s.cdm.condition_occurrence, s.cdm.person, s.codes.transplant_broad
     ),
-    "disease_cohort": lambda cdm, codes: disease.disease_cohort(
-        cdm,
-        codes.disease,
-        codes.biopsy,
-        codes.biopsy_guidance,
-        codes.transplant_procedures,
-        codes.rheumatology_nephrology,
-        other_code_required=codes_where(codes.disease, "other_code_req"),
-        nephrology_required=codes_where(codes.disease, "neph_req"),
+    "disease_cohort": lambda s: disease.disease_cohort(
+        s.cdm,
+        s.codes.disease,
+        s.codes.biopsy,
+        s.codes.biopsy_guidance,
+        s.codes.transplant_procedures,
+        s.codes.rheumatology_nephrology,
+        other_code_required=codes_where(s.codes.disease, "other_code_req"),
+        nephrology_required=codes_where(s.codes.disease, "neph_req"),
         age_bound_years=25,
         **_WINDOW,
         **_BIOPSY_TEXT,
     ),
-    "biopsy_before_transplant": lambda cdm, codes: disease.biopsy_before_transplant(
-        cdm.person.select("person_id", "site"),
-        cdm.procedure_occurrence,
-        codes.biopsy,
-        codes.biopsy_guidance,
-        codes.transplant_procedures,
+    "biopsy_before_transplant": lambda s: disease.biopsy_before_transplant(
+        s.cdm.person.select("person_id", "site"),
+        s.cdm.procedure_occurrence,
+        s.codes.biopsy,
+        s.codes.biopsy_guidance,
+        s.codes.transplant_procedures,
         **_BIOPSY_TEXT,
     ),
-    "biopsy_procedures": lambda cdm, codes: events.biopsy_procedures(
-        cdm.procedure_occurrence, _sle_rows(cdm, codes), codes.biopsy, codes.biopsy_guidance,
+    "biopsy_procedures": lambda s: events.biopsy_procedures(
+        s.cdm.procedure_occurrence, _sle_rows(s), s.codes.biopsy, s.codes.biopsy_guidance,
         **_BIOPSY_TEXT,
     ),
-    "transplant_events": lambda cdm, codes: events.transplant_events(
-        cdm.condition_occurrence,
-        cdm.procedure_occurrence,
-        cdm.person,
-        _biopsied(cdm, codes),
-        codes.transplant_broad,
+    "transplant_events": lambda s: events.transplant_events(
+        s.cdm.condition_occurrence,
+        s.cdm.procedure_occurrence,
+        s.cdm.person,
+        _biopsied(s),
+        s.codes.transplant_broad,
         **_WINDOW,
     ),
-    "dominant_category_subcohort": lambda cdm, codes: disease.dominant_category_subcohort(
-        _biopsied(cdm, codes),
-        cdm.condition_occurrence,
-        codes_where(codes.disease, "codeset_category_code", 1),
-        codes_where(codes.disease, "codeset_category_code", 2),
+    "dominant_category_subcohort": lambda s: disease.dominant_category_subcohort(
+        _biopsied(s),
+        s.cdm.condition_occurrence,
+        codes_where(s.codes.disease, "codeset_category_code", 1),
+        codes_where(s.codes.disease, "codeset_category_code", 2),
     ),
     "incl_excl_conditions": _sle_rows,
-    "visits_with_specialty": lambda cdm, codes: specialty.visits_with_specialty(
-        cdm.visit_occurrence, _sle_rows(cdm, codes), cdm.provider, cdm.care_site
+    "visits_with_specialty": lambda s: specialty.visits_with_specialty(
+        s.cdm.visit_occurrence, _sle_rows(s), s.cdm.provider, s.cdm.care_site
     ),
-    "visit_table_specialty": lambda cdm, codes: specialty.visit_table_specialty(
-        cdm.visit_occurrence, _biopsied(cdm, codes), cdm.provider, cdm.care_site
+    "visit_table_specialty": lambda s: specialty.visit_table_specialty(
+        s.cdm.visit_occurrence, _biopsied(s), s.cdm.provider, s.cdm.care_site
     ),
-    "eligible_visits": lambda cdm, codes: specialty.eligible_visits(
-        cdm.visit_occurrence,
-        _sle_rows(cdm, codes),
-        cdm.provider,
-        cdm.care_site,
-        codes.rheumatology_nephrology,
-        codes.in_person,
+    "eligible_visits": lambda s: specialty.eligible_visits(
+        s.cdm.visit_occurrence,
+        _sle_rows(s),
+        s.cdm.provider,
+        s.cdm.care_site,
+        s.codes.rheumatology_nephrology,
+        s.codes.in_person,
     ),
     "conditions_with_eligible_visits": _seen_sle_rows,
-    "two_codes_spread": lambda cdm, codes: spacing.two_codes_spread(_seen_sle_rows(cdm, codes)),
-    "three_codes_spaced": lambda cdm, codes: spacing.three_codes_spaced(
-        _seen_sle_rows(cdm, codes)
+    "two_codes_spread": lambda s: spacing.two_codes_spread(_seen_sle_rows(s)),
+    "three_codes_spaced": lambda s: spacing.three_codes_spaced(
+        _seen_sle_rows(s)
     ),
-    "biopsy_by_literal_codes": lambda cdm, codes: events.biopsy_by_literal_codes(
-        cdm.procedure_occurrence,
-        _seen_sle_rows(cdm, codes),
-        codes.sle_biopsy,
-        codes.sle_biopsy_guidance,
+    "biopsy_by_literal_codes": lambda s: events.biopsy_by_literal_codes(
+        s.cdm.procedure_occurrence,
+        _seen_sle_rows(s),
+        s.codes.sle_biopsy,
+        s.codes.sle_biopsy_guidance,
         evidence=PARAMETERS.sle_biopsy_evidence,
     ),
-    "same_date_pair": lambda cdm, codes: pairing.same_date_pair(
-        cdm.condition_occurrence, _pair_list(codes)
+    "same_date_pair": lambda s: pairing.same_date_pair(
+        s.cdm.condition_occurrence, _pair_list(s)
     ),
     "same_date_pair_for_cohort": _nephritis_rows,
-    "persons_with_any_code": lambda cdm, codes: membership.persons_with_any_code(
-        _biopsied(cdm, codes), cdm.condition_occurrence, cdm.person, codes.disease
+    "persons_with_any_code": lambda s: membership.persons_with_any_code(
+        _biopsied(s), s.cdm.condition_occurrence, s.cdm.person, s.codes.disease
     ),
-    "population_eligible_visits": lambda cdm, codes: specialty.population_eligible_visits(
-        cdm.visit_occurrence,
-        cdm.provider,
-        cdm.care_site,
-        codes.rheumatology_nephrology,
-        codes.in_person,
+    "population_eligible_visits": lambda s: specialty.population_eligible_visits(
+        s.cdm.visit_occurrence,
+        s.cdm.provider,
+        s.cdm.care_site,
+        s.codes.rheumatology_nephrology,
+        s.codes.in_person,
     ),
-    "followup_at_least": lambda cdm, codes: spacing.followup_at_least(
-        cdm.visit_occurrence, _biopsied(cdm, codes)
+    "followup_at_least": lambda s: spacing.followup_at_least(
+        s.cdm.visit_occurrence, _biopsied(s)
     ),
-    "persons_exposed_to_drug": lambda cdm, codes: membership.persons_exposed_to_drug(
-        _sle_rows(cdm, codes), cdm.drug_exposure, codes.sle_drugs
+    "persons_exposed_to_drug": lambda s: membership.persons_exposed_to_drug(
+        _sle_rows(s), s.cdm.drug_exposure, s.codes.sle_drugs
     ),
-    "sle_cohort_no_biopsy": lambda cdm, codes: lupus.sle_cohort_no_biopsy(
-        cdm, _seen_sle_rows(cdm, codes), codes.sle_drugs
+    "sle_cohort_no_biopsy": lambda s: lupus.sle_cohort_no_biopsy(
+        s.cdm, _seen_sle_rows(s), s.codes.sle_drugs
     ),
-    "ln_cohort": lambda cdm, codes: lupus.ln_cohort(
-        cdm,
-        _nephritis_rows(cdm, codes),
+    "ln_cohort": lambda s: lupus.ln_cohort(
+        s.cdm,
+        _nephritis_rows(s),
         membership.persons_with_any_code(
-            _seen_sle_rows(cdm, codes), cdm.condition_occurrence, cdm.person, codes.sle_included
+            _seen_sle_rows(s), s.cdm.condition_occurrence, s.cdm.person, s.codes.sle_included
         ),
-        codes.sle_drugs,
-        biopsy_codes=codes.sle_biopsy,
-        guidance_codes=codes.sle_biopsy_guidance,
+        s.codes.sle_drugs,
+        biopsy_codes=s.codes.sle_biopsy,
+        guidance_codes=s.codes.sle_biopsy_guidance,
         evidence=PARAMETERS.sle_biopsy_evidence,
     ),
-    "ln_cohort_no_biopsy": lambda cdm, codes: lupus.ln_cohort_no_biopsy(
-        cdm, _nephritis_rows(cdm, codes), codes.sle_drugs
+    "ln_cohort_no_biopsy": lambda s: lupus.ln_cohort_no_biopsy(
+        s.cdm, _nephritis_rows(s), s.codes.sle_drugs
     ),
 }
