@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections import Counter
 from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
@@ -99,6 +100,8 @@ class StudyParameters:
     sle_biopsy_evidence: Sequence[str] = defaults.KIDNEY_TEXT
 
 
+_log = logging.getLogger(__name__)
+
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
@@ -376,5 +379,7 @@ def run_study(
         kept=worth_keeping(*RESULTS, *ATTRITION) | set(RESULTS),
     )
     for name in RESULTS:
+        _log.info("writing %s", name)
         study.table(name)
+    _log.info("counting persons per step")
     return results.write(study.attrition(), "attrition")

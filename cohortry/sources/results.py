@@ -71,11 +71,12 @@ class Workspace(ResultStore):
 
     def __init__(self, spark: SparkSession) -> None:
         super().__init__(spark, f"{shared_folder(spark)}/cohortry-{uuid.uuid4().hex}")
-        context = spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
-        files = path.getFileSystem(context._jsc.hadoopConfiguration())
-        files.mkdirs(path)
-        files.deleteOnExit(path)
+        context = getattr(spark, "sparkContext", None)  # a remote session has none
+        if context:
+            path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+            files = path.getFileSystem(context._jsc.hadoopConfiguration())
+            files.mkdirs(path)
+            files.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         return self.write(df, name)

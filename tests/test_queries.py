@@ -158,6 +158,31 @@ def test_run_study_writes_every_result(spark, study, tmp_path):
     assert store.read("attrition").count() == len(ATTRITION) + 1
 
 
+def test_command_line(spark, study, tmp_path, capsys):
+    from cohortry.__main__ import main
+    from cohortry.plans.transplant_study import LIST_FILES
+    from cohortry.sources.schema import CDM_COLUMNS
+
+    for name in CDM_COLUMNS:
+        getattr(study.cdm, name).write.parquet(str(tmp_path / "cdm" / name))
+    (tmp_path / "lists").mkdir()
+    for name, (file, _) in LIST_FILES.items():
+        codes = getattr(study.codes, name)
+        if not isinstance(codes, (tuple, list)):
+            codes.toPandas().to_csv(tmp_path / "lists" / f"{file}.csv", index=False)
+        else:
+            lines = "\n".join(map(str, codes))
+            (tmp_path / "lists" / f"{file}.csv").write_text(f"concept_id\n{lines}\n")
+    folders = {"--cdm": "cdm", "--codesets": "lists", "--results": "out"}
+    main([a for option, f in folders.items() for a in (option, str(tmp_path / f))])
+    assert "nephrotic_kt_src_no_sle" in capsys.readouterr().out
+    # The default window lies after these tables' dates, so only undated steps find persons.
+    log = ResultStore(spark, str(tmp_path / "out")).read("attrition").collect()
+    persons = {r.cohort: r.persons for r in log}
+    assert persons["nephrology_visit_cohort"] == 0
+    assert persons["sle_i_e_pats"] == len(_persons(study, "sle_i_e_pats"))
+
+
 def test_default_parameters():
     from cohortry.plans import StudyParameters
 
