@@ -9,14 +9,15 @@ from cohortry.operators import disease, events, lupus, membership, pairing, spac
 from cohortry.session import configure
 from cohortry.sources import Cdm, Workspace
 
-ROWS = 120_000
+ROWS = 90_000
 PERSONS = 8_000
 
 # Small enough for the test data to count as skewed; no side may be broadcast.
 SMALL_SCALE = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
     "spark.sql.shuffle.partitions": "64",
 }
 
