@@ -7,6 +7,7 @@ a person listed twice, or at two sites, counts once and never multiplies rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortry.functions.skew import own_shuffle
 
@@ -36,4 +37,5 @@ def add_site(persons: DataFrame, person: DataFrame) -> DataFrame:
 
 
 def _members(cohort: DataFrame) -> DataFrame:
-    return own_shuffle(cohort.select("person_id").distinct(), "person_id")
+    ids = cohort.select(F.col("person_id").cast("bigint").alias("person_id"))
+    return own_shuffle(ids.distinct(), "person_id")

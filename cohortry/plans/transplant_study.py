@@ -9,7 +9,6 @@ from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortry import defaults
 from cohortry.functions import Codes, in_codes, of_persons, without_persons

@@ -14,7 +14,10 @@ DAY0 = dt.date(2015, 1, 1)
 
 # Specialty 1 is listed; provider and care site 10 have it, 20 have another.
 NEPHROLOGY = [1]
-PROVIDERS = [{"provider_id": 10, "specialty_concept_id": 1}, {"provider_id": 20, "specialty_concept_id": 2}]
+PROVIDERS = [
+    {"provider_id": 10, "specialty_concept_id": 1},
+    {"provider_id": 20, "specialty_concept_id": 2},
+]
 CARE_SITES = [
     {"care_site_id": 10, "specialty_concept_id": 1},
     {"care_site_id": 20, "specialty_concept_id": 2},

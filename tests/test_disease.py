@@ -190,9 +190,10 @@ def test_biopsy_operator_keeps_cohort_columns(spark):
 
 def _dominant(spark, *rows, cohort=(1,)):
     conditions = cdm(spark, condition_occurrence=list(rows)).condition_occurrence
-    return rows_of(
-        disease.dominant_category_subcohort(persons(spark, *cohort), conditions, [100, 102], [101, 102])
+    found = disease.dominant_category_subcohort(
+        persons(spark, *cohort), conditions, [100, 102], [101, 102]
     )
+    return rows_of(found)
 
 
 def test_dominant_category(spark):

@@ -148,7 +148,9 @@ def test_nephritis_takes_biopsy_persons_separately(spark):
 
 
 def test_attrition_counts_persons_and_reports_empty_steps(spark):
-    log = attrition({"all": persons(spark, 1, 2, 2), "none": persons(spark), "one": persons(spark, 9)})
+    log = attrition(
+        {"all": persons(spark, 1, 2, 2), "none": persons(spark), "one": persons(spark, 9)}
+    )
     assert [tuple(r) for r in log.collect()] == [
         (0, "start", 0),
         (1, "all", 2),

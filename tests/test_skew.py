@@ -78,8 +78,12 @@ def skewed(spark):
             F.lit(100).alias("procedure_age_in_months"),
         ),
         "drug_exposure": rows.select(person_id.alias("person_id"), code.alias("drug_concept_id")),
-        "provider": spark.range(500).selectExpr("id AS provider_id", "id % 10 AS specialty_concept_id"),
-        "care_site": spark.range(100).selectExpr("id AS care_site_id", "id % 10 AS specialty_concept_id"),
+        "provider": spark.range(500).selectExpr(
+            "id AS provider_id", "id % 10 AS specialty_concept_id"
+        ),
+        "care_site": spark.range(100).selectExpr(
+            "id AS care_site_id", "id % 10 AS specialty_concept_id"
+        ),
     }
     stored = {name: workspace.write(df, name) for name, df in tables.items()}
 

@@ -86,7 +86,9 @@ def _codes(spark, days, site="A"):
     ).condition_occurrence
 
 
-@pytest.mark.parametrize("days, spaced", [([0, 29, 59], []), ([0, 30, 60], [30]), ([0, 30, 59], [])])
+@pytest.mark.parametrize(
+    "days, spaced", [([0, 29, 59], []), ([0, 30, 60], [30]), ([0, 30, 59], [])]
+)
 def test_three_codes_spaced(spark, days, spaced):
     found = spacing.three_codes_spaced(_codes(spark, days))
     assert rows_of(found) == [(1, "A", day(d)) for d in spaced]
