@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import bpe, mixing, simhash, toxicity
+from cohortry.llm import bpe, mixing, multiset, sharding, simhash, toxicity, urlfilter
 from cohortry.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    found = multiset.fingerprint_documents(table(spark, sf_dir, "documents"))
+    found = found.withColumn("n_chars", F.char_length("text").cast("long"))
+    half = F.expr("int(n_chars div 2)")
+    kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
+    edited = F.concat(kept, F.substring("next_text", F.lit(1), half))
+    found = found.withColumn("edited", edited)
+    found = found.withColumn("edited_lanes", multiset.fingerprint(F.col("edited")))
+    own, other, following = F.col("fingerprint"), F.col("edited_lanes"), F.col("next_fingerprint")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        multiset.digest(own).alias("fingerprint"),
+        multiset.digest(other).alias("edited_fingerprint"),
+        multiset.likeness(own, other).alias("near_edited"),
+        multiset.likeness(own, following).alias("near_next"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), prepared(spark))
     return found.select(
@@ -79,6 +100,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, prepared(spark), mixing_plan()).withColumnRenamed("id", "doc_id")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    placed = sharding.assign(docs, sharding.Tree.even(16), prepared(spark))
+    return placed.withColumnRenamed("id", "doc_id")
+
+
 def encoded_documents(docs: DataFrame) -> DataFrame:
     """Token count and digests of each document's ids and of the text they decode to."""
     found = bpe.encode(docs, rank_file(), public_tokenizers.PATTERN, decode=True)
@@ -96,6 +123,28 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [
+    urlfilter.Rule("allow", "org", "/"),
+    urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"),
+    urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+]
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    rules = urlfilter.rule_table(spark, URL_RULES)
+    judged = urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select(
+        "page_id",
+        F.col("url_host").alias("host"),
+        F.col("url_path").alias("path"),
+        F.col("url_rule").alias("rule"),
+        F.col("url_verdict").alias("verdict"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         name: query
