@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import bpe, mixing, multiset, sharding, simhash, toxicity, urlfilter
+from cohortry.llm import bpe, mixing, mtree, multiset, sharding, simhash, tokencount, toxicity, urlfilter, warc
 from cohortry.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
     return toxicity.train(docs, labels)
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    docs = table(spark, sf_dir, "documents")
+    counted = tokencount.section_tokens(docs, rank_file(), public_tokenizers.PATTERN, rule="first")
+    return counted.withColumnRenamed("id", "doc_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared(spark)
     docs = table(spark, sf_dir, "documents")
@@ -100,12 +107,27 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, prepared(spark), mixing_plan()).withColumnRenamed("id", "doc_id")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_packages(table(spark, sf_dir, "pages"), prepared(spark))
+    return warc.read_packages(written).select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     placed = sharding.assign(docs, sharding.Tree.even(16), prepared(spark))
     return placed.withColumnRenamed("id", "doc_id")
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), prepared(spark))
+
+
 def encoded_documents(docs: DataFrame) -> DataFrame:
     """Token count and digests of each document's ids and of the text they decode to."""
     found = bpe.encode(docs, rank_file(), public_tokenizers.PATTERN, decode=True)
