@@ -29,13 +29,13 @@ SLICE_DIGITS = 3
 class Plan:
     """What to mix by.
 
-    ``levels`` names the tree's levels from the root and ``tokens`` gives a document's tokens, both as
+    ``levels`` names the tree's levels from the root and ``tokens`` gives a document's tokens, both as SQL
     expressions over the documents. ``budget`` counts tokens; a Fraction is that part of all tokens.
     ``weights`` has whole-number weights by path from the root; a node without one weighs 1.
     """
 
-    levels: Mapping[str, Column]
-    tokens: Column
+    levels: Mapping[str, str]
+    tokens: str
     budget: int | Fraction
     weights: Mapping[tuple[str, ...], int] = field(default_factory=dict)
     epochs: int = 1
@@ -43,8 +43,8 @@ class Plan:
 
     def named(self) -> dict[str, Column]:
         """The levels and tokens without nulls."""
-        names = {n: F.coalesce(c.cast("string"), F.lit("")) for n, c in self.levels.items()}
-        return names | {"tokens": F.coalesce(self.tokens.cast("long"), F.lit(0).cast("long"))}
+        names = {n: F.coalesce(F.expr(c).cast("string"), F.lit("")) for n, c in self.levels.items()}
+        return names | {"tokens": F.coalesce(F.expr(self.tokens).cast("long"), F.lit(0).cast("long"))}
 
 
 def leaf_quotas(

@@ -85,16 +85,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixing_plan() -> mixing.Plan:
     """Three domains of sources; English four times as heavy as each other language."""
-    domain = (
-        F.when(F.col("source") == "src0", "web")
-        .when(F.col("source").rlike("[1-5]$"), "reference")
-        .otherwise("news")
-    )
+    domain = "case when source = 'src0' then 'web' when source rlike '[1-5]$' then 'reference' else 'news' end"
     weights = {("web",): 1, ("reference",): 2, ("news",): 1}
     weights |= {(name, "en"): 4 for name in ("web", "reference", "news")}
     return mixing.Plan(
-        levels={"domain": domain, "lang": F.col("lang"), "source": F.col("source")},
-        tokens=F.regexp_count("text", F.lit(r"[^ \t\r\n]+")),
+        levels={"domain": domain, "lang": "lang", "source": "source"},
+        tokens=r"regexp_count(text, r'[^ \t\r\n]+')",
         budget=Fraction(3, 4),
         weights=weights,
         epochs=2,

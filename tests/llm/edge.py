@@ -1,0 +1,44 @@
+"""Rows that every operator has to cope with."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+LONG = "word and other words go on. " * 6000
+
+#: id, text: nulls, empties, one very long text, equal texts, a repeated row, a repeated id.
+ROWS = [
+    (1, "One line.\nAnother line, a bit longer than that."),
+    (2, None),
+    (3, ""),
+    (4, LONG),
+    (5, "the same text twice over here"),
+    (6, "the same text twice over here"),
+    (7, "a repeated row"),
+    (7, "a repeated row"),
+    (8, "one id"),
+    (8, "with two texts"),
+    (9, " \t\n"),
+    (10, "Ünïcödé 文字 🙂 no break"),
+    (None, "a text without an id"),
+    (None, None),
+]
+
+#: Columns that operators use inside, with values that would be wrong there.
+CLASHES = [
+    "id", "fp", "key", "root", "node", "component", "class", "first", "group", "slice", "lent", "own", "seat", "score",
+    "toxic", "of", "rows", "tokens", "place", "whole", "rest", "copies", "shard", "slot", "part", "at", "size", "ids",
+    "next_text", "fingerprint", "sections", "digest", "refers_to", "payload", "prefix", "verdict", "h", "p", "rule",
+]
+
+
+def documents(spark: SparkSession, rows=ROWS, clashes: bool = False) -> DataFrame:
+    df = spark.createDataFrame(list(rows), "doc_id long, text string")
+    df = df.selectExpr("doc_id", "text", "'en' as lang", "'src1' as source")
+    if clashes:
+        df = df.selectExpr("*", *(f"'clash' as `{name}`" for name in CLASHES))
+    return df
+
+
+def rows_of(df: DataFrame, *columns: str) -> list[tuple]:
+    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)
