@@ -9,8 +9,9 @@ scores then locate the offending sentences.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
+import zlib
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,8 +31,9 @@ TOXIC_SAMPLE, CLEAN_SAMPLE, SAMPLE_CHARS = 800, 3200, 50_000
 #: a text cut into many scraps isn't many chances to be toxic.
 SENTENCE_WORDS = 8
 _PREFIXES = (3, 4, 5, 6)
+_FEATURES = 1 << 20
 _RARE = 5
-_START_BIAS, _SPARSITY, _RATE, _EPOCHS = -8.0, 0.5, 0.5, 100
+_START_BIAS, _SPARSITY, _RATE, _EPOCHS = -6.5, 0.5, 0.7, 100
 _CACHED_WORDS = 200_000
 
 _PIECE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
@@ -51,9 +53,10 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     return found
 
 
-def features(word: str) -> list[str]:
-    """The word itself and its beginnings, so that inflected forms share what they mean."""
-    return [f"{word}$", *(word[:n] for n in _PREFIXES if len(word) > n)]
+def features(word: str) -> list[int]:
+    """The word itself and its beginnings, so that inflected forms share what they mean; hashed."""
+    parts = [f"{word}$", *(word[:n] for n in _PREFIXES if len(word) > n)]
+    return [zlib.crc32(part.encode()) % _FEATURES for part in parts]
 
 
 @dataclass
@@ -61,13 +64,13 @@ class Model:
     """Weights of features and the bias of a sentence's log-odds."""
 
     bias: float = _START_BIAS
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self._known: dict[str, tuple[str, ...]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
 
     def sentence_score(self, words: Iterable[str]) -> float:
-        hits: set[str] = set()
+        hits: set[int] = set()
         for word in words:
             known = self._known.get(word)
             if known is None:
@@ -90,28 +93,36 @@ class Model:
         return float(-np.expm1(clean)), offending
 
 
-def fit(bags: list[list[set[str]]], toxic: list[int]) -> Model:
+def fit(texts: Iterable[str], toxic: Sequence[int]) -> Model:
     """Noisy-or training by proximal AdaGrad on the documents' likelihood.
 
-    ``bags`` has a set of features per sentence per document. Features of fewer than
-    five documents are left out, and weights that don't earn their place are zero.
+    Features of fewer than five documents are left out, and weights that don't earn their place are zero.
     """
-    documents = Counter(f for bag in bags for f in set().union(*bag))
-    names = sorted(f for f, n in documents.items() if n >= _RARE)
-    if not names or len(set(toxic)) < 2:
+    cells, sizes, lengths = array("i"), array("i"), array("i")  # features of sentences of documents
+    documents = np.zeros(_FEATURES, np.int32)
+    for text in texts:
+        bag = [{f for w in words for f in features(w)} for _, _, words in sentences(text)]
+        lengths.append(len(bag))
+        sizes.extend(map(len, bag))
+        for sentence in bag:
+            cells.extend(sentence)
+        documents[list(set().union(*bag))] += 1
+    names = np.flatnonzero(documents >= _RARE)
+    if not len(names) or len(set(toxic)) < 2:
         return Model()
-    column = {f: i for i, f in enumerate(names)}
+    column = np.full(_FEATURES, -1, np.int32)
+    column[names] = np.arange(len(names))
+    col = column[np.frombuffer(cells, np.int32)]
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[col >= 0]
+    col = col[col >= 0]
+    owner = np.repeat(np.arange(len(lengths)), lengths)
     y = np.array(toxic)
-    owner = np.repeat(np.arange(len(bags)), [len(bag) for bag in bags])
-    sets = [[column[f] for f in sentence if f in column] for bag in bags for sentence in bag]
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    col = np.fromiter((c for s in sets for c in s), np.int64, len(row))
 
     weights, bias = np.zeros(len(names)), _START_BIAS
     past, past_bias = np.full(len(names), 1e-6), 1e-6
     for _ in range(_EPOCHS):
-        p = _sigmoid(np.bincount(row, weights[col], len(sets)) + bias)
-        clean = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(bags))
+        p = _sigmoid(np.bincount(row, weights[col], len(sizes)) + bias)
+        clean = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(lengths))
         either = np.maximum(-np.expm1(clean), 1e-9)
         # d log P(label) / d log-odds of a sentence
         pull = np.where(y == 1, np.exp(clean) / either, -1.0)[owner] * p
@@ -122,7 +133,7 @@ def fit(bags: list[list[set[str]]], toxic: list[int]) -> Model:
         weights += step * slope
         weights = np.sign(weights) * np.maximum(0, np.abs(weights) - step * _SPARSITY)
         bias += _RATE * slope_bias / np.sqrt(past_bias)
-    return Model(bias, {f: float(weights[i]) for f, i in column.items() if weights[i]})
+    return Model(bias, {int(names[i]): float(weights[i]) for i in np.flatnonzero(weights)})
 
 
 def train(
@@ -150,11 +161,7 @@ def train(
         .collect()
     )
     found.sort(key=lambda r: r["id"])
-    bags = [
-        [{f for w in words for f in features(w)} for _, _, words in sentences(r["text"])]
-        for r in found
-    ]
-    return fit(bags, [r["toxic"] for r in found])
+    return fit((r["text"] for r in found), [r["toxic"] for r in found])
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
