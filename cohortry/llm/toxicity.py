@@ -2,8 +2,9 @@
 
 A document is a bag of sentences and is toxic if at least one of them is. Only
 documents are labelled, so sentence scores are trained through the noisy-or that
-combines them: ``P(document) = 1 - prod(1 - p(sentence))``. The trained sentence
-scores then locate the offending sentences.
+combines them: ``P(document) = 1 - (1 - leak) * prod(1 - p(sentence))``. A sentence without any sign of toxicity
+has the score 0, so a text doesn't become suspicious by being long; the leak is what a text without
+any sign scores. The trained sentence scores then locate the offending sentences.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ SENTENCE_WORDS = 8
 _PREFIXES = (3, 4, 5, 6)
 _FEATURES = 1 << 20
 _RARE = 5
-_START_BIAS, _SPARSITY, _RATE, _EPOCHS = -6.5, 0.5, 0.7, 100
+_BIAS, _LEAK = -6.5, 0.01
+_SPARSITY, _RATE, _EPOCHS = 0.3, 1.0, 100
 _CACHED_WORDS = 200_000
 
 _PIECE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
@@ -61,9 +63,8 @@ def features(word: str) -> list[int]:
 
 @dataclass
 class Model:
-    """Weights of features and the bias of a sentence's log-odds."""
+    """Weights of features; a sentence's log-odds are their sum and a constant."""
 
-    bias: float = _START_BIAS
     weights: dict[int, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -80,11 +81,11 @@ class Model:
                 self._known[word] = known
             if known:
                 hits.update(known)
-        return float(_sigmoid(self.bias + sum(self.weights[f] for f in sorted(hits))))
+        return float(-np.expm1(_log_clean(sum(self.weights[f] for f in sorted(hits)))))
 
     def judge(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """The document's score and its offending sentences."""
-        clean, offending = 0.0, []
+        clean, offending = np.log1p(-_LEAK), []
         for start, end, words in sentences(text):
             p = self.sentence_score(words)
             clean += np.log1p(-min(p, 1 - 1e-12))
@@ -118,22 +119,19 @@ def fit(texts: Iterable[str], toxic: Sequence[int]) -> Model:
     owner = np.repeat(np.arange(len(lengths)), lengths)
     y = np.array(toxic)
 
-    weights, bias = np.zeros(len(names)), _START_BIAS
-    past, past_bias = np.full(len(names), 1e-6), 1e-6
+    weights, past = np.zeros(len(names)), np.full(len(names), 1e-6)
     for _ in range(_EPOCHS):
-        p = _sigmoid(np.bincount(row, weights[col], len(sizes)) + bias)
-        clean = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(lengths))
-        either = np.maximum(-np.expm1(clean), 1e-9)
-        # d log P(label) / d log-odds of a sentence
-        pull = np.where(y == 1, np.exp(clean) / either, -1.0)[owner] * p
-        slope, slope_bias = np.bincount(col, pull[row], len(names)), pull.sum()
+        signs = np.bincount(row, weights[col], len(sizes))
+        clean = np.log1p(-_LEAK) + np.bincount(owner, _log_clean(signs), len(lengths))
+        # d log P(label) / d signs of a sentence; one below 0 counts as 0 and has no slope.
+        pull = np.where(y == 1, np.exp(clean) / -np.expm1(clean), -1.0)[owner]
+        pull *= np.where(signs >= 0, _sigmoid(signs + _BIAS), 0)
+        slope = np.bincount(col, pull[row], len(names))
         past += slope**2
-        past_bias += slope_bias**2
         step = _RATE / np.sqrt(past)
         weights += step * slope
         weights = np.sign(weights) * np.maximum(0, np.abs(weights) - step * _SPARSITY)
-        bias += _RATE * slope_bias / np.sqrt(past_bias)
-    return Model(bias, {int(names[i]): float(weights[i]) for i in np.flatnonzero(weights)})
+    return Model({int(names[i]): float(weights[i]) for i in np.flatnonzero(weights)})
 
 
 def train(
@@ -144,7 +142,7 @@ def train(
     The sample takes each label's first documents by a hash of the id and leaves out very
     long ones. A document labelled both ways counts as toxic, null labels not at
     all, repeated ids once. Without documents of both labels the model knows
-    no word and gives every sentence the same small score.
+    no word and gives every document the same small score.
     """
     known = pick(labels, id=id, toxic=toxic).where("id is not null and toxic is not null")
     known = known.groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -168,8 +166,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     """``(id, score, offending)`` per row of ``docs``.
 
     ``offending`` lists start, end (in characters) and score of the sentences that are more
-    likely toxic than not. An empty or null text is one sentence without words, so its score is
-    the model's bias alone. Rows come out as they come in, also repeated ones and those without id.
+    likely toxic than not. An empty or null text is one sentence without words and scores the leak. Rows come out as they come in, also repeated ones and those without id.
     """
     rows = pick(docs, id=id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
     spans = pa.list_(
@@ -194,5 +191,10 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     )
 
 
+def _log_clean(signs):
+    """log(1 - p) of a sentence: what its signs add to the odds of one without any."""
+    return np.minimum(0.0, np.logaddexp(0, _BIAS) - np.logaddexp(0, signs + _BIAS))
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
