@@ -1,0 +1,118 @@
+"""Budgets against pouring by hand, selections against ranking whole leaves."""
+
+import hashlib
+import random
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+from edge import CLASHES
+
+from cohortry.llm import mixing
+from cohortry.llm.mixing import Plan
+
+
+def pour(budget, children):
+    """Quota by name for ``{name: (supply, weight)}``: fill, freeze the full, share the rest again."""
+    quotas = {n: 0 for n, (_, w) in children.items() if w == 0}
+    live = {n: c for n, c in children.items() if c[1]}
+    while live:
+        claims = sum(w for _, w in live.values())
+        full = {n: s for n, (s, w) in live.items() if s * claims <= w * budget}
+        if not full:
+            return quotas | {n: w * budget // claims for n, (_, w) in live.items()}
+        quotas |= full
+        budget -= sum(full.values())
+        live = {n: c for n, c in live.items() if n not in full}
+    return quotas
+
+
+def tree_quotas(leaves, depth, budget, weights, epochs, path=()):
+    if len(path) == depth:
+        return {path: budget}
+    children = {}
+    for names, tokens in leaves.items():
+        if names[: len(path)] == path:
+            name = names[len(path)]
+            supply = children.get(name, (0, 0))[0] + tokens * epochs
+            children[name] = (supply, max(0, weights.get((*path, name), 1)))
+    quotas = pour(budget, children)
+    return {
+        leaf: quota
+        for name, share in quotas.items()
+        for leaf, quota in tree_quotas(leaves, depth, share, weights, epochs, (*path, name)).items()
+    }
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quotas(spark, seed):
+    draw = random.Random(seed)
+    leaves = {(d, l, s): draw.choice([0, 1, 7, 300, 5000]) for d in "ab" for l in "xyz" for s in "1234" if draw.random() < 0.8}
+    weights = {(d,): draw.randint(0, 3) for d in "ab"} | {("a", "x"): 5, ("a", "y"): 0, ("b", "z", "3"): 9}
+    epochs = draw.randint(1, 3)
+    for budget in (0, 10, sum(leaves.values()) // 2, 10 * sum(leaves.values())):
+        rows = spark.createDataFrame([(*n, t) for n, t in leaves.items()], "d string, l string, s string, tokens long")
+        found = mixing.leaf_quotas(rows, ["d", "l", "s"], budget, weights, epochs).collect()
+        assert {tuple(r[:3]): r["quota"] for r in found} == tree_quotas(leaves, 3, budget, weights, epochs)
+
+
+def test_shortage_goes_to_siblings_before_ancestors(spark):
+    leaves = {("a", "x"): 10, ("a", "y"): 1000, ("b", "x"): 1000}
+    rows = spark.createDataFrame([(*n, t) for n, t in leaves.items()], "d string, l string, tokens long")
+    quota = lambda budget: {tuple(r[:2]): r["quota"] for r in mixing.leaf_quotas(rows, ["d", "l"], budget, {}, 1).collect()}
+    assert quota(400) == {("a", "x"): 10, ("a", "y"): 190, ("b", "x"): 200}
+    leaves_small = spark.createDataFrame([("a", "x", 10), ("a", "y", 20), ("b", "x", 1000)], "d string, l string, tokens long")
+    found = {tuple(r[:2]): r["quota"] for r in mixing.leaf_quotas(leaves_small, ["d", "l"], 400, {}, 1).collect()}
+    assert found == {("a", "x"): 10, ("a", "y"): 20, ("b", "x"): 370}
+
+
+def brute(rows, plan, budget):
+    """Copies by row index; ``rows`` are id, lang, source, tokens."""
+    named = [(id, (lang or "", source or ""), tokens or 0) for id, lang, source, tokens in rows]
+    leaves = Counter()
+    for _, leaf, tokens in named:
+        leaves[leaf] += tokens
+    quotas = tree_quotas(leaves, 2, budget, plan.weights, plan.epochs)
+    chosen = []
+    for leaf, quota in quotas.items():
+        own = [(id, tokens) for id, at, tokens in named if at == leaf]
+        total = leaves[leaf]
+        whole, rest = (quota // total, quota % total) if total else (plan.epochs, 0)
+        place = lambda id: hashlib.md5(f"{plan.seed}:{whole}:{'' if id is None else id}".encode()).hexdigest()  # noqa: B023, E731
+        upto = 0
+        for (id, tokens), times in sorted(Counter(own).items(), key=lambda x: (place(x[0][0]), x[0][1])):
+            upto += tokens * times
+            copies = whole + (rest > 0 and upto <= rest)
+            chosen += [(id, *leaf, tokens, copies)] * times * (copies > 0)
+    return sorted(chosen, key=repr)
+
+
+ROWS = [(i, "en" if i % 3 else "fr", f"s{i % 4}", i % 13) for i in range(200)]
+ROWS += [(500, "en", "s1", 5)] * 40 + [(501, "en", "s1", 3), (501, "en", "s1", 4), (None, "en", "s1", 6), (None, None, None, 2)]
+ROWS += [(600, "de", None, None), (601, "de", "", 0), (602, "en", "s1", 0), (603, "es", "big", 100_000)]
+
+
+def table(spark, rows, clashes=False):
+    df = spark.createDataFrame(list(rows), "doc_id long, lang string, source string, words long")
+    return df.selectExpr("*", *(f"'clash' as `{c}`" for c in CLASHES)) if clashes else df
+
+
+@pytest.mark.parametrize(
+    "clashes, budget, epochs", [(False, Fraction(1, 2), 1), (True, 700, 2), (False, 0, 1), (False, 10**7, 3), (False, 1500, 3)]
+)
+def test_selection(spark, work, clashes, budget, epochs):
+    plan = Plan({"lang": "lang", "source": "source"}, "words", budget, {("en",): 3, ("en", "s1"): 2, ("fr", "s2"): 0}, epochs, 11)
+    docs = table(spark, ROWS, clashes)
+    tokens = sum(r[3] or 0 for r in ROWS) // 2 if isinstance(budget, Fraction) else budget
+    expected = brute(ROWS, plan, tokens)
+    found = mixing.mix(docs, work, plan).collect()
+    assert sorted(map(tuple, found), key=repr) == expected
+    mixed = mixing.mixed_documents(docs, work, plan)
+    assert mixed.columns == docs.columns
+    rows = Counter((r["doc_id"], r["lang"] or "", r["source"] or "", r["words"] or 0) for r in mixed.collect())
+    assert rows == Counter(x for *row, copies in expected for x in [tuple(row)] * copies)
+
+
+def test_empty_table(spark, work):
+    plan = Plan({"lang": "lang"}, "words", Fraction(1, 2))
+    assert mixing.mix(table(spark, []), work, plan).collect() == []

@@ -1,0 +1,84 @@
+"""The stages against brute force, each on what the one before kept."""
+
+import tiktoken
+from collections import Counter
+import public_tokenizers
+import pytest
+from edge import ROWS, documents
+from pyspark.sql import functions as F
+from test_simhash import groups
+
+import corpus_pipeline
+from cohortry.llm import bpe, mixing, queries, simhash, toxicity
+
+SF_DIR = "/root/testdata/sf0.01"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = {"documents": docs}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        found[name] = docs
+    return found
+
+
+def ids(df):
+    return [r["doc_id"] for r in df.select("doc_id").collect()]
+
+
+def test_columns(stages):
+    assert all(stages[n].columns == COLUMNS for n in ("toxicity", "simhash_near_dedup", "mixing"))
+
+
+def test_toxicity_rejects_what_it_scores_as_toxic(spark, stages):
+    scored = queries.op2_toxicity(spark, SF_DIR).collect()
+    assert sorted(ids(stages["toxicity"])) == sorted(r["doc_id"] for r in scored if not r["predicted"])
+    assert any(r["predicted"] for r in scored)
+
+
+def test_one_document_of_each_group_stays(stages):
+    prints = {r["doc_id"]: simhash.simhash(r["text"].encode()) & (1 << 64) - 1 for r in stages["toxicity"].collect()}
+    kept = sorted(ids(stages["simhash_near_dedup"]))
+    assert kept == sorted(set(groups(prints).values())) and len(kept) < len(prints)
+
+
+def test_mixing_repeats_what_it_selects(spark, stages, work):
+    docs = stages["simhash_near_dedup"]
+    chosen = mixing.mix(docs, work, queries.mixing_plan()).collect()
+    assert Counter(ids(stages["mixing"])) == Counter({r["id"]: r["copies"] for r in chosen})
+    assert {r["copies"] for r in chosen} == {1, 2}
+
+
+def test_encoding(stages):
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.Vocabulary.parse(queries.rank_file()).ids, special_tokens={}
+    )
+    texts = {r["doc_id"]: r["text"] for r in stages["mixing"].collect()}
+    rows = stages["byte_bpe"].collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(ids(stages["mixing"]))
+    assert all(r["n_tokens"] == len(library.encode_ordinary(texts[r["doc_id"]])) for r in rows)
+
+
+def test_run_equals_the_stages(spark, stages):
+    found = sorted(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect()))
+    assert found == sorted(map(tuple, stages["byte_bpe"].collect()))
+
+
+@pytest.mark.parametrize("rows", [ROWS, [], [(None, None), (None, "x")], [(3, "same"), (3, "same")]])
+def test_edge_documents(spark, monkeypatch, rows):
+    monkeypatch.setattr(queries, "toxicity_model", lambda *_: toxicity.Model())
+    docs = documents(spark, rows).withColumn("n_chars", F.length("text")).select(*COLUMNS)
+    clean = corpus_pipeline.reject_toxic(spark, docs, SF_DIR)
+    assert sorted(map(repr, map(tuple, clean.collect()))) == sorted(map(repr, map(tuple, docs.collect())))
+    kept = corpus_pipeline.one_of_near_duplicates(spark, clean, SF_DIR).collect()
+    assert len({r["doc_id"] for r in kept}) == len(kept)
+    prints = {(id, simhash.simhash((t or "").encode()) & (1 << 64) - 1) for id, t in rows}
+    known = {id: p for id, p in prints if id is not None}
+    if len(known) == sum(id is not None for id, _ in prints):
+        assert {r["doc_id"] for r in kept} - {None} == set(groups(known).values())
+    mixed = corpus_pipeline.mix_sources(spark, clean, SF_DIR)
+    assert mixed.columns == COLUMNS
+    assert corpus_pipeline.encode(spark, mixed, SF_DIR).count() == mixed.count()

@@ -39,7 +39,13 @@ def test_score_is_the_noisy_or():
     model = toxicity.fit(*made(100, 3))
     for text in made(20, 4)[0]:
         clean = np.prod([1 - model.sentence_score(words) for _, _, words in toxicity.sentences(text)])
-        assert model.judge(text)[0] == pytest.approx(1 - clean)
+        assert model.judge(text)[0] == pytest.approx(1 - (1 - toxicity._LEAK) * clean)
+
+
+def test_length_is_no_sign_of_toxicity():
+    model = toxicity.fit(*made(200, 7))
+    assert model.judge(" ".join(made(1, 8)[0]) * 2000)[0] < 0.1
+    assert toxicity.Model().judge("word " * 100_000)[0] == model.judge("")[0] == pytest.approx(toxicity._LEAK)
 
 
 def test_sentences_cover_the_text():

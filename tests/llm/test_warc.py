@@ -1,0 +1,137 @@
+"""ZIP directories, records by range, and the round trip of whole tables."""
+
+import base64
+import gzip
+import hashlib
+import io
+import zipfile
+
+import pyarrow as pa
+import pytest
+from edge import CLASHES, LONG, rows_of
+
+from cohortry.llm import warc
+
+
+def opened(data: bytes) -> pa.NativeFile:
+    return pa.BufferReader(data)
+
+
+def zipped(names_and_bytes, comment=b"", method=zipfile.ZIP_STORED, **options) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method, **options) as z:
+        for name, data in names_and_bytes:
+            info = zipfile.ZipInfo(name)
+            info.compress_type = method
+            with z.open(info, "w", force_zip64=zipfile.ZIP64_LIMIT < 9 or name.startswith("wide")) as f:
+                f.write(data)
+        z.comment = comment
+    return out.getvalue()
+
+
+MEMBERS = [("a.txt", b"first"), ("empty", b""), ("wide/ünï.bin", bytes(range(256))), ("dir/", b"")]
+
+
+def contents(data: bytes) -> dict[str, bytes]:
+    return {n: data[m.start : m.start + m.size] for n, m in warc.members(opened(data)).items()}
+
+
+@pytest.mark.parametrize("comment", [b"", b"a comment", b"with PK\x05\x06 in it" + b"x" * 30, b"x" * 65535])
+def test_members(comment):
+    assert contents(zipped(MEMBERS, comment)) == {n: d for n, d in MEMBERS if not n.endswith("/")}
+    assert contents(zipped([], comment)) == {}
+
+
+def test_zip64_directories(monkeypatch):
+    """With its limits lowered, the writer puts sizes, offsets and counts where large files have them."""
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 3)
+    monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 1)
+    data = zipped(MEMBERS)
+    assert b"PK\x06\x06" in data and b"PK\x06\x07" in data
+    assert contents(data) == {n: d for n, d in MEMBERS if not n.endswith("/")}
+
+
+def test_many_members():
+    many = [(f"{i}", b"%d" % i) for i in range(66_000)]  # more than 16 bits count
+    assert contents(zipped(many)) == dict(many)
+
+
+def test_compressed_members_and_broken_files_are_refused():
+    with pytest.raises(ValueError, match="compressed"):
+        warc.members(opened(zipped([("a", b"x" * 100)], method=zipfile.ZIP_DEFLATED)))
+    for broken in (b"", b"no archive", zipped(MEMBERS)[:-5]):
+        with pytest.raises(ValueError):
+            warc.members(opened(broken))
+
+
+def test_records_are_read_by_range():
+    payloads = [b"", b"one\r\n\r\ntwo", LONG.encode(), bytes(range(256))]
+    records = []
+    for i, p in enumerate(payloads):
+        records.append((str(i), warc.record_bytes(str(i), f"http://x/{i}\r\nX: y", p, warc.base32(hashlib.sha1(p).digest()), None)))
+    records.append(("9", warc.record_bytes("9", None, b"gone", warc.base32(hashlib.sha1(b"gone").digest()), "1")))
+    found = list(warc.read_package(opened(warc.package(records))))
+    assert [r["payload"] for r in found] == [*payloads, None]
+    assert [r["type"] for r in found] == ["response"] * 4 + ["revisit"]
+    assert found[-1]["refers_to"] == "1" and found[-1]["payload_bytes"] == 4 and found[-1]["uri"] is None
+    assert found[0]["uri"] == "http://x/0%0D%0AX: y"
+
+
+def test_a_damaged_record_is_an_error():
+    record = warc.record_bytes("1", "u", b"payload", "A" * 32, None)
+    with pytest.raises(ValueError, match="damaged"):
+        warc.parse_record(record)
+
+
+def test_records_are_standard_gzip_members():
+    records = [(str(i), warc.record_bytes(str(i), "u", b"p%d" % i, "D", None)) for i in range(3)]
+    with zipfile.ZipFile(io.BytesIO(warc.package(records))) as z:
+        assert gzip.decompress(z.read(warc.ARCHIVE)) == b"".join(r for _, r in records)
+        assert len(z.read(warc.INDEX).splitlines()) == 3
+
+
+ROWS = [
+    (1, "http://a/1", "same"), (2, "http://a/2", "same"), (3, None, "same"), (4, "u", None), (5, "u", ""),
+    (6, "u", LONG), (7, "u", "repeated row"), (7, "u", "repeated row"), (8, "u", "one id"), (8, "u", "two texts"),
+    (None, "u", "same"), (None, "u", "no id at all"), (9, "u", "Ünïcödé 文字 🙂"),
+]
+
+
+def expected(rows, min_bytes=0):
+    result = []
+    for id, _, html in rows:
+        payload = (html or "").encode()
+        ids = [i for i, _, h in rows if (h or "") == (html or "") and i is not None]
+        largest = max(ids, default=None)
+        revisit = len(payload) >= min_bytes and largest is not None and id != largest
+        result.append(
+            (
+                None if id is None else str(id),
+                len(payload),
+                base64.b32encode(hashlib.sha1(payload).digest()).decode(),
+                "revisit" if revisit else "response",
+                str(largest) if revisit else None,
+                None if revisit else payload,
+            )
+        )
+    return sorted(result, key=repr)
+
+
+COLUMNS = ["record_id", "payload_bytes", "payload_digest", "type", "refers_to", "payload"]
+
+
+@pytest.mark.parametrize("clashes, min_bytes, size", [(False, 0, 16 << 20), (True, 5, 16 << 20), (False, 0, 300)])
+def test_round_trip(spark, work, monkeypatch, clashes, min_bytes, size):
+    monkeypatch.setattr(warc, "PACKAGE_BYTES", size)
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    if clashes:
+        pages = pages.selectExpr("*", *(f"'clash' as `{c}`" for c in CLASHES))
+    packages = warc.write_packages(pages, work, min_bytes=min_bytes)
+    assert sum(r["records"] for r in packages.collect()) == len(ROWS)
+    found = [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in rows_of(warc.read_packages(packages), *COLUMNS)]
+    assert sorted(found, key=repr) == expected(ROWS, min_bytes)
+
+
+def test_empty_table(spark, work):
+    packages = warc.write_packages(spark.createDataFrame([], "page_id long, url string, html string"), work)
+    assert packages.collect() == [] and warc.read_packages(packages).collect() == []
