@@ -1,4 +1,4 @@
-from cohortry.functions.codes import Codes, flag_codes, in_codes
+from cohortry.functions.codes import Codes, flag_codes, in_any_codes, in_codes
 from cohortry.functions.dates import days_between, is_middle_date, within
 from cohortry.functions.persons import add_site, join_persons, of_persons, without_persons
 from cohortry.functions.skew import own_shuffle
@@ -9,6 +9,7 @@ __all__ = [
     "add_site",
     "days_between",
     "flag_codes",
+    "in_any_codes",
     "in_codes",
     "is_middle_date",
     "join_persons",

@@ -23,6 +23,23 @@ def in_codes(rows: DataFrame, column: str, codes: Codes) -> DataFrame:
     return rows.join(listed, column, "left_semi").select(*rows.columns)
 
 
+def in_any_codes(rows: DataFrame, **lists: Sequence[Codes]) -> DataFrame:
+    """Rows in which any of the named columns is in any of its lists.
+
+    One pass; each column costs one look-up, which Spark can split at a hot code.
+    """
+    found = rows
+    for column, codes in lists.items():
+        tables = [_as_table(rows.sparkSession, c).select("concept_id") for c in codes]
+        ids = reduce(DataFrame.union, tables).select(F.col("concept_id").cast("bigint")).distinct()
+        marked = own_shuffle(ids.where("concept_id IS NOT NULL"), "concept_id").select(
+            F.col("concept_id").alias(f"_{column}"), F.lit(True).alias(f"_in_{column}")
+        )
+        found = found.join(marked, F.col(column) == F.col(f"_{column}"), "left")
+    listed = reduce(lambda a, b: a | b, (F.col(f"_in_{column}").isNotNull() for column in lists))
+    return found.where(listed).select(*rows.columns)
+
+
 def flag_codes(spark: SparkSession, **lists: Codes) -> DataFrame:
     """One row per concept of any list, with a boolean column per list.
 

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def counted(spark: SparkSession, persons: Mapping[str, int], *, start: str = "start") -> DataFrame:
+    """The rows of :func:`attrition` for numbers known already."""
+    rows = [(no, name, n) for no, (name, n) in enumerate({start: 0, **persons}.items())]
+    return spark.createDataFrame(rows, "step_no int, cohort string, persons bigint").coalesce(1)
+
+
 def attrition(cohorts: Mapping[str, DataFrame], *, start: str = "start") -> DataFrame:
     """One row (step_no, cohort, persons) per cohort, in order, after a seed row of 0.
 

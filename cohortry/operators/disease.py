@@ -51,8 +51,9 @@ def disease_cohort(
       rule can enter by this one. Only the very first biopsy is looked at, and two
       of the three diagnosis counts are null for these rows.
 
-    One pass over conditions, procedures and visits each: the two ways in, and the
-    refusal, are decided from a single summary row per person and site.
+    One pass over procedures and visits: the two ways in, and the refusal, are decided
+    from a single summary row per person and site. Conditions are read a second time
+    for the few that name a visit to look up.
     """
     summary = _diagnosis_summary(
         cdm,
@@ -210,23 +211,27 @@ def _diagnosis_summary(
             "neph_req",
         )
     )
-    nephrology_visits = (
-        at_specialty(
-            cdm.visit_occurrence.select("visit_occurrence_id", "provider_id", "care_site_id"),
-            cdm.provider,
-            cdm.care_site,
-            nephrology_specialties,
-        )
+    # Only diagnoses that need a visit carry its id into the join, and only their visits are looked
+    # up. The others go by person; they can't meet a visit, as ``_gated`` differs.
+    gate = F.when(F.col("neph_req"), F.col("visit_occurrence_id")).otherwise(F.col("person_id"))
+    gated_visits = (
+        diagnoses.where("neph_req AND visit_occurrence_id IS NOT NULL")
         .select("visit_occurrence_id")
-        .where(F.col("visit_occurrence_id").isNotNull())
         .distinct()
-        .withColumn("_at_nephrology", F.lit(True))
     )
+    nephrology_visits = at_specialty(
+        cdm.visit_occurrence.select("visit_occurrence_id", "provider_id", "care_site_id").join(
+            own_shuffle(gated_visits, "visit_occurrence_id"), "visit_occurrence_id", "left_semi"
+        ),
+        cdm.provider,
+        cdm.care_site,
+        nephrology_specialties,
+    ).select(F.col("visit_occurrence_id").alias("_visit"), F.lit(True).alias("_gated"))
+    at_nephrology = (F.col("_gate") == F.col("_visit")) & (F.col("neph_req") == F.col("_gated"))
     return (
-        diagnoses.join(
-            own_shuffle(nephrology_visits, "visit_occurrence_id"), "visit_occurrence_id", "left"
-        )
-        .where(~F.col("neph_req") | F.col("_at_nephrology"))
+        diagnoses.withColumn("_gate", gate)
+        .join(nephrology_visits, at_nephrology, "left")
+        .where(~F.col("neph_req") | F.col("_gated"))
         .groupBy("person_id", "site")
         .agg(
             F.countDistinct("condition_start_date").alias("n_glomerular_dx_dates"),

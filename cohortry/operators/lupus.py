@@ -24,6 +24,7 @@ def sle_cohort(
     evidence: Sequence[str] = KIDNEY_TEXT,
     gap_days: int = 30,
     followup_days: int = 60,
+    biopsies: DataFrame | None = None,
 ) -> DataFrame:
     """Persons, with site, who took a listed drug and meet one of two rules.
 
@@ -41,6 +42,7 @@ def sle_cohort(
         evidence=evidence,
         gap_days=gap_days,
         followup_days=followup_days,
+        biopsies=biopsies,
     )
 
 
@@ -63,13 +65,19 @@ def ln_cohort(
     evidence: Sequence[str] = KIDNEY_TEXT,
     gap_days: int = 30,
     followup_days: int = 60,
+    biopsies: DataFrame | None = None,
 ) -> DataFrame:
-    """As :func:`sle_cohort`, with the persons of the biopsy rule given separately."""
+    """As :func:`sle_cohort`, with the persons of the biopsy rule given separately.
+
+    ``biopsies``, if given, are those of ``sle_persons``, found before. Stored, their size is known when
+    the visits of their persons are picked.
+    """
     spaced = three_codes_spaced(nephritis_conditions, gap_days=gap_days)
-    biopsied = biopsy_by_literal_codes(
-        cdm.procedure_occurrence, sle_persons, biopsy_codes, guidance_codes, evidence=evidence
-    )
-    followed = followup_at_least(cdm.visit_occurrence, biopsied, min_days=followup_days)
+    if biopsies is None:
+        biopsies = biopsy_by_literal_codes(
+            cdm.procedure_occurrence, sle_persons, biopsy_codes, guidance_codes, evidence=evidence
+        )
+    followed = followup_at_least(cdm.visit_occurrence, biopsies, min_days=followup_days)
     either = spaced.select("person_id").union(followed.select("person_id"))
     return add_site(persons_exposed_to_drug(either, cdm.drug_exposure, drug_codes), cdm.person)
 

@@ -39,9 +39,13 @@ def conditions_with_eligible_visits(
     *,
     min_visits: int = 2,
 ) -> DataFrame:
-    """Distinct condition rows of persons with enough visits of a listed type and specialty."""
+    """Distinct condition rows of persons with enough visits of a listed type and specialty.
+
+    Only visits of the rows' persons are looked up, so the rows are read twice.
+    """
+    theirs = of_persons(visits, conditions)
     persons = persons_with_eligible_visits(
-        visits, provider, care_site, specialties, visit_types, min_visits=min_visits
+        theirs, provider, care_site, specialties, visit_types, min_visits=min_visits
     )
     return of_persons(conditions.select(*CONDITION_ROW), persons).distinct()
 

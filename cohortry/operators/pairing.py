@@ -31,7 +31,7 @@ def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
     ``any_sle`` and ``kidney_related_and_sle``, all 1 in the result.
 
     The dates that qualify are found by aggregation, which reduces a crowded date
-    to one row before it is matched with the condition rows.
+    to one row before it is matched with the condition rows. A null date is a date of its own.
     """
     listed = codeset.select(
         F.col("concept_id").alias("condition_concept_id"), "kidney_related", "sle"
@@ -44,10 +44,11 @@ def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
             F.bool_or(F.col("sle") == 1).alias("_sle"),
         )
         .where("_kidney AND _sle")
-        .select("person_id", "condition_start_date")
+        .select(F.col("person_id").alias("_person"), F.col("condition_start_date").alias("_date"))
     )
+    same = (F.col("person_id") == F.col("_person")) & F.col("condition_start_date").eqNullSafe(F.col("_date"))
     return (
-        rows.join(own_shuffle(paired, "person_id"), ["person_id", "condition_start_date"])
+        rows.join(own_shuffle(paired, "_person"), same)
         .select(*_COLUMNS)
         .distinct()
         .select(
@@ -64,6 +65,6 @@ def same_date_pair_for_cohort(
 ) -> DataFrame:
     """:func:`same_date_pair` among the conditions of a cohort.
 
-    A pair concerns a single person, so the cohort may be applied to the result.
+    A pair concerns a single person, so the cohort is applied first.
     """
-    return of_persons(same_date_pair(conditions, codeset), cohort)
+    return same_date_pair(of_persons(conditions, cohort), codeset)

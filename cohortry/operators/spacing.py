@@ -38,7 +38,7 @@ def spaced_specialty_visits(
     which is neither the first nor the last and at least ``gap_days`` from both;
     dates beyond the third need no spacing of their own. Returns all columns of
     the person's visits in the window, of a listed type, at a listed specialty,
-    and ``distinct_dates``.
+    and ``distinct_dates``. Rows come in no order; a result table is sorted where it is written.
     """
     in_window = in_codes(
         visits.where(within("visit_start_date", first_day, last_day)),
@@ -51,23 +51,19 @@ def spaced_specialty_visits(
         care_site,
         specialties,
     )
-    seen = (
-        _date_spans(dates, ["person_id"], "visit_start_date")
-        .where(F.col("distinct_dates") >= min_visits)
-        .where(is_middle_date("visit_start_date", "first_date", "last_date", gap_days))
-        .select("person_id", "distinct_dates")
-        .distinct()
-    )
     # Narrow to the qualifying persons before the specialty look-ups.
-    theirs = in_window.join(own_shuffle(seen, "person_id"), "person_id").select(
-        "person_id",
-        "visit_occurrence_id",
-        "distinct_dates",
-        *(c for c in visits.columns if c not in ("person_id", "visit_occurrence_id")),
-    )
+    theirs = _of_spaced_persons(in_window, dates, min_visits, gap_days)
     return at_specialty(theirs, provider, care_site, specialties)
 
 
+def spaced_visits(visits: DataFrame, *, min_visits: int = 3, gap_days: int = 7) -> DataFrame:
+    """:func:`spaced_specialty_visits` on visits known to be in the window, of type and specialty.
+
+    Reads ``visits`` twice, so they are better stored.
+    """
+    return _of_spaced_persons(visits, visits, min_visits, gap_days)
+
+
 def two_codes_spread(conditions: DataFrame, *, min_days: int = 60) -> DataFrame:
     """Distinct (person, site, date) where first and last date are far enough apart."""
     return (
@@ -90,9 +86,13 @@ def three_codes_spaced(conditions: DataFrame, *, gap_days: int = 30) -> DataFram
 
 
 def followup_at_least(visits: DataFrame, cohort: DataFrame, *, min_days: int = 60) -> DataFrame:
-    """Cohort persons whose first and last visit, of any type, are far enough apart."""
-    spans = (
-        visits.groupBy("person_id")
+    """Cohort persons whose first and last visit, of any type, are far enough apart.
+
+    Only the cohort's visits are aggregated.
+    """
+    return (
+        of_persons(visits.select("person_id", "visit_start_date"), cohort)
+        .groupBy("person_id")
         .agg(
             F.max("visit_start_date").alias("max_date"),
             F.min("visit_start_date").alias("min_date"),
@@ -100,7 +100,25 @@ def followup_at_least(visits: DataFrame, cohort: DataFrame, *, min_days: int = 6
         .withColumn("days_sep", days_between("min_date", "max_date"))
         .where(F.col("days_sep") >= min_days)
     )
-    return of_persons(spans, cohort)
+
+
+def _of_spaced_persons(
+    visits: DataFrame, dates: DataFrame, min_visits: int, gap_days: int
+) -> DataFrame:
+    """Visits of the persons whose ``dates`` are many and spaced enough, with their number."""
+    seen = (
+        _date_spans(dates, ["person_id"], "visit_start_date")
+        .where(F.col("distinct_dates") >= min_visits)
+        .where(is_middle_date("visit_start_date", "first_date", "last_date", gap_days))
+        .select("person_id", "distinct_dates")
+        .distinct()
+    )
+    return visits.join(own_shuffle(seen, "person_id"), "person_id").select(
+        "person_id",
+        "visit_occurrence_id",
+        "distinct_dates",
+        *(c for c in visits.columns if c not in ("person_id", "visit_occurrence_id")),
+    )
 
 
 def _date_spans(rows: DataFrame, by: list[str], date: str) -> DataFrame:

@@ -11,18 +11,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortry import defaults
-from cohortry.functions import Codes, in_codes, of_persons, without_persons
-from cohortry.operators.attrition import attrition
+from cohortry.functions import (
+    Codes,
+    in_any_codes,
+    in_codes,
+    of_persons,
+    within,
+    without_persons,
+)
+from cohortry.operators.attrition import attrition, counted
 from cohortry.operators.disease import disease_cohort, dominant_category_subcohort
-from cohortry.operators.events import transplant_events
+from cohortry.operators.events import biopsy_by_literal_codes, transplant_events
 from cohortry.operators.lupus import sle_cohort
 from cohortry.operators.membership import (
     cohort_of,
     conditions_with_eligible_visits,
     incl_excl_conditions,
 )
-from cohortry.operators.spacing import spaced_specialty_visits
-from cohortry.sources import Cdm, ResultStore, TableStore, codes_where, load_codeset
+from cohortry.operators.spacing import spaced_visits
+from cohortry.operators.specialty import at_specialty
+from cohortry.sources import Cdm, ResultStore, TableStore, Workspace, codes_where, load_codeset
 from cohortry.sources.lazy import OpenedOnUse
 
 
@@ -109,13 +117,15 @@ class Step:
     """A step of the study and the steps it builds on.
 
     ``build`` receives the study and the tables of ``inputs``, and reads each of
-    these ``passes`` times. A step that is ``cheap`` to derive is never stored.
+    these ``passes`` times. A step that is ``cheap`` to derive is never stored; one that is
+    ``decisive`` always is, as large tables are joined by what it turns out to be.
     """
 
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     passes: int = 1
     cheap: bool = False
+    decisive: bool = False
 
 
 class TransplantStudy:
@@ -160,7 +170,8 @@ class TransplantStudy:
 def worth_keeping(*wanted: str) -> frozenset[str]:
     """Steps read more than once, and not cheap, when the wanted steps are computed.
 
-    Reading a cheap step means reading its inputs.
+    Reading a cheap step means reading its inputs. Decisive steps are kept if read at all, and so are
+    their inputs if something else reads these too.
     """
     reads = Counter(wanted)
     for name in reversed(STEPS):  # every step comes after its inputs
@@ -168,28 +179,53 @@ def worth_keeping(*wanted: str) -> frozenset[str]:
         times = reads[name] if step.cheap else min(reads[name], 1)
         for i in step.inputs:
             reads[i] += times * step.passes
-    return frozenset(n for n in STEPS if reads[n] > 1 and not STEPS[n].cheap)
+    return frozenset(
+        n for n, step in STEPS.items() if not step.cheap and reads[n] > (0 if step.decisive else 1)
+    )
+
+
+def _coded_conditions(s: TransplantStudy) -> DataFrame:
+    """Conditions of any list. All rules on conditions look at listed ones only."""
+    c = s.codes
+    return in_any_codes(
+        s.cdm.condition_occurrence,
+        condition_concept_id=[c.disease, c.transplant_broad, c.sle_included, c.sle_excluded],
+        condition_source_concept_id=[c.transplant_source],
+    )
 
 
-def _nephrology_visits(s: TransplantStudy, visit_types: Codes) -> DataFrame:
+def _coded_procedures(s: TransplantStudy) -> DataFrame:
+    """Procedures of any list."""
+    c = s.codes
+    lists = [c.biopsy, c.biopsy_guidance, c.transplant_procedures, c.transplant_broad]
+    return in_any_codes(
+        s.cdm.procedure_occurrence,
+        procedure_concept_id=[*lists, c.sle_biopsy, c.sle_biopsy_guidance],
+    )
+
+
+def _specialty_visits(s: TransplantStudy) -> DataFrame:
+    """Visits in the window, at nephrology, of a type of either list."""
     p = s.parameters
-    return spaced_specialty_visits(
-        s.cdm.visit_occurrence,
-        s.cdm.provider,
-        s.cdm.care_site,
-        s.codes.nephrology,
-        visit_types,
-        first_day=p.first_day,
-        last_day=p.last_day,
-        min_visits=p.min_visits,
-        gap_days=p.visit_gap_days,
+    typed = in_any_codes(
+        s.cdm.visit_occurrence.where(within("visit_start_date", p.first_day, p.last_day)),
+        visit_concept_id=[s.codes.in_person, s.codes.in_person_expanded],
     )
+    return at_specialty(typed, s.cdm.provider, s.cdm.care_site, s.codes.nephrology)
 
 
-def _glomerular_disease_cohort(s: TransplantStudy) -> DataFrame:
+def _nephrology_visits(s: TransplantStudy, visits: DataFrame, visit_types: Codes) -> DataFrame:
+    p = s.parameters
+    typed = in_codes(visits, "visit_concept_id", visit_types)
+    return spaced_visits(typed, min_visits=p.min_visits, gap_days=p.visit_gap_days)
+
+
+def _glomerular_disease_cohort(
+    s: TransplantStudy, conditions: DataFrame, procedures: DataFrame
+) -> DataFrame:
     p = s.parameters
     return disease_cohort(
-        s.cdm,
+        s.cdm.replacing(condition_occurrence=conditions, procedure_occurrence=procedures),
         s.codes.disease,
         s.codes.biopsy,
         s.codes.biopsy_guidance,
@@ -205,20 +241,24 @@ def _glomerular_disease_cohort(s: TransplantStudy) -> DataFrame:
     )
 
 
-def _nephrotic_subcohort(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
+def _nephrotic_subcohort(
+    s: TransplantStudy, cohort: DataFrame, conditions: DataFrame
+) -> DataFrame:
     return dominant_category_subcohort(
         cohort,
-        s.cdm.condition_occurrence,
+        conditions,
         codes_where(s.codes.disease, "codeset_category_code", 1),
         codes_where(s.codes.disease, "codeset_category_code", 2),
     )
 
 
-def _nephrotic_kt(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
+def _nephrotic_kt(
+    s: TransplantStudy, cohort: DataFrame, conditions: DataFrame, procedures: DataFrame
+) -> DataFrame:
     p = s.parameters
     return transplant_events(
-        s.cdm.condition_occurrence,
-        s.cdm.procedure_occurrence,
+        conditions,
+        procedures,
         s.cdm.person,
         cohort,
         s.codes.transplant_broad,
@@ -228,17 +268,13 @@ def _nephrotic_kt(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
     )
 
 
-def _nephrotic_kt_src(s: TransplantStudy, cohort: DataFrame) -> DataFrame:
-    rows = in_codes(
-        s.cdm.condition_occurrence, "condition_source_concept_id", s.codes.transplant_source
-    )
+def _nephrotic_kt_src(s: TransplantStudy, cohort: DataFrame, conditions: DataFrame) -> DataFrame:
+    rows = in_codes(conditions, "condition_source_concept_id", s.codes.transplant_source)
     return of_persons(rows, cohort)
 
 
-def _sle_conditions(s: TransplantStudy) -> DataFrame:
-    return incl_excl_conditions(
-        s.cdm.condition_occurrence, s.codes.sle_included, s.codes.sle_excluded
-    )
+def _sle_conditions(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
+    return incl_excl_conditions(conditions, s.codes.sle_included, s.codes.sle_excluded)
 
 
 def _sle_conditions_w_elig_visits(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
@@ -253,15 +289,23 @@ def _sle_conditions_w_elig_visits(s: TransplantStudy, conditions: DataFrame) ->
     )
 
 
-def _sle_cohort(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
+def _sle_biopsies(s: TransplantStudy, conditions: DataFrame, procedures: DataFrame) -> DataFrame:
+    return biopsy_by_literal_codes(
+        procedures,
+        conditions,
+        s.codes.sle_biopsy,
+        s.codes.sle_biopsy_guidance,
+        evidence=s.parameters.sle_biopsy_evidence,
+    )
+
+
+def _sle_cohort(s: TransplantStudy, conditions: DataFrame, biopsies: DataFrame) -> DataFrame:
     p = s.parameters
     return sle_cohort(
         s.cdm,
         conditions,
         s.codes.sle_drugs,
-        biopsy_codes=s.codes.sle_biopsy,
-        guidance_codes=s.codes.sle_biopsy_guidance,
-        evidence=p.sle_biopsy_evidence,
+        biopsies=biopsies,
         gap_days=p.code_gap_days,
         followup_days=p.followup_days,
     )
@@ -287,26 +331,47 @@ def _without_sle(cohort: str) -> Step:
     return Step(inputs, lambda s, cohort, sle: without_persons(cohort, sle))
 
 
+# Names of the steps whose rows are results.
 STEPS: dict[str, Step] = {
-    "nephrology_visits": Step((), lambda s: _nephrology_visits(s, s.codes.in_person)),
+    "coded_conditions": Step((), _coded_conditions),
+    "coded_procedures": Step((), _coded_procedures),
+    "specialty_visits": Step((), _specialty_visits),
+    "nephrology_visits": Step(
+        ("specialty_visits",), lambda s, v: _nephrology_visits(s, v, s.codes.in_person), passes=2
+    ),
     "nephrology_visit_cohort": _cohort_of("nephrology_visits", cheap=False),
-    "nephrology_visits_exp": Step((), lambda s: _nephrology_visits(s, s.codes.in_person_expanded)),
+    "nephrology_visits_exp": Step(
+        ("specialty_visits",),
+        lambda s, v: _nephrology_visits(s, v, s.codes.in_person_expanded),
+        passes=2,
+    ),
     "nephrology_visit_cohort_exp": _cohort_of("nephrology_visits_exp", cheap=False),
-    "glomerular_disease_cohort": Step((), _glomerular_disease_cohort),
+    "glomerular_disease_cohort": Step(
+        ("coded_conditions", "coded_procedures"), _glomerular_disease_cohort, passes=2
+    ),
     "glomerular_disease_cohort_w_neph": _seen_by_nephrology("glomerular_disease_cohort"),
-    "nephrotic_subcohort": Step(("glomerular_disease_cohort",), _nephrotic_subcohort),
+    "nephrotic_subcohort": Step(
+        ("glomerular_disease_cohort", "coded_conditions"), _nephrotic_subcohort
+    ),
     "nephrotic_subcohort_w_neph": _seen_by_nephrology("nephrotic_subcohort"),
-    "nephrotic_kt": Step(("nephrotic_subcohort",), _nephrotic_kt),
+    "nephrotic_kt": Step(
+        ("nephrotic_subcohort", "coded_conditions", "coded_procedures"), _nephrotic_kt
+    ),
     "nephrotic_kt_cohort": _cohort_of("nephrotic_kt"),
     "nephrotic_kt_cohort_w_neph": _seen_by_nephrology("nephrotic_kt_cohort"),
-    "nephrotic_kt_src": Step(("nephrotic_subcohort",), _nephrotic_kt_src),
+    "nephrotic_kt_src": Step(("nephrotic_subcohort", "coded_conditions"), _nephrotic_kt_src),
     "nephrotic_kt_src_cohort": _cohort_of("nephrotic_kt_src"),
     "nephrotic_kt_src_cohort_w_neph": _seen_by_nephrology("nephrotic_kt_src_cohort"),
-    "sle_conditions": Step((), _sle_conditions),
+    "sle_conditions": Step(("coded_conditions",), _sle_conditions, passes=2),
     "sle_i_e_pats": _cohort_of("sle_conditions"),
-    "sle_conditions_w_elig_visits": Step(("sle_conditions",), _sle_conditions_w_elig_visits),
+    "sle_conditions_w_elig_visits": Step(
+        ("sle_conditions",), _sle_conditions_w_elig_visits, passes=2
+    ),
     "sle_i_e_pats_w_elig_visits": _cohort_of("sle_conditions_w_elig_visits"),
-    "sle_cohort": Step(("sle_conditions_w_elig_visits",), _sle_cohort, passes=2),
+    "sle_biopsies": Step(
+        ("sle_conditions_w_elig_visits", "coded_procedures"), _sle_biopsies, decisive=True
+    ),
+    "sle_cohort": Step(("sle_conditions_w_elig_visits", "sle_biopsies"), _sle_cohort),
     "nephrotic_kt_no_sle": _without_sle("nephrotic_kt_cohort"),
     "nephrotic_kt_src_no_sle": _without_sle("nephrotic_kt_src_cohort"),
     "final_cohort": Step(
@@ -315,12 +380,12 @@ STEPS: dict[str, Step] = {
     ),
 }
 
-# Result tables in the order they are written, with the columns their rows are
-# looked up by.
+# Result tables in the order they are written, with the columns they are
+# sorted by.
 RESULTS: dict[str, tuple[str, ...]] = {
-    "nephrology_visits": ("person_id", "visit_occurrence_id"),
+    "nephrology_visits": ("person_id", "visit_start_date"),
     "nephrology_visit_cohort": ("person_id",),
-    "nephrology_visits_exp": ("person_id", "visit_occurrence_id"),
+    "nephrology_visits_exp": ("person_id", "visit_start_date"),
     "nephrology_visit_cohort_exp": ("person_id",),
     "glomerular_disease_cohort": ("person_id",),
     "glomerular_disease_cohort_w_neph": ("person_id",),
@@ -338,7 +403,7 @@ RESULTS: dict[str, tuple[str, ...]] = {
     "final_cohort": ("person_id",),
 }
 
-# Steps counted in the attrition table, in order.
+# Steps counted in the attrition table, in order.
 ATTRITION = (
     "nephrology_visit_cohort",
     "nephrology_visit_cohort_exp",
@@ -366,19 +431,31 @@ def run_study(
 ) -> DataFrame:
     """Write every result table and the attrition table; return the latter.
 
-    Each step reads the stored results of earlier ones.
+    Each step reads the stored results of earlier ones. What is stored but is no result goes to a
+    work folder that is removed at the end. The attrition table is written anew whenever
+    a counted step ends, so that a run that breaks off leaves the counts so far.
     """
     cdm.open_all()
     codes.open_all()
-    study = TransplantStudy(
-        cdm,
-        codes,
-        parameters,
-        keep=lambda df, name: results.write(df, name, RESULTS.get(name, ())),
-        kept=worth_keeping(*RESULTS, *ATTRITION) | set(RESULTS),
-    )
-    for name in RESULTS:
-        _log.info("writing %s", name)
-        study.table(name)
-    _log.info("counting persons per step")
-    return results.write(study.attrition(), "attrition")
+    spark = results.spark
+    work = Workspace(spark)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if name in RESULTS:
+            return results.write(df, name, RESULTS[name])
+        return work.keep(df, name)
+
+    kept = worth_keeping(*RESULTS, *ATTRITION) | set(RESULTS)
+    study = TransplantStudy(cdm, codes, parameters, keep=keep, kept=kept)
+    persons: dict[str, int] = {}
+    try:
+        for name in (n for n in STEPS if n in RESULTS or n in ATTRITION):
+            _log.info("step %s", name)
+            rows = study.table(name)
+            if name in ATTRITION:
+                persons[name] = rows.select("person_id").distinct().count()
+                _log.info("%s: %d persons", name, persons[name])
+                log = results.write(counted(spark, persons), "attrition")
+        return log
+    finally:
+        work.close()

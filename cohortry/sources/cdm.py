@@ -24,6 +24,10 @@ class Cdm(OpenedOnUse[DataFrame]):
         """Tables given as DataFrames."""
         return cls(lambda name: conform(tables[name], name))
 
+    def replacing(self, **tables: DataFrame) -> Cdm:
+        """The same tables but for the given ones."""
+        return Cdm(lambda name: tables[name] if name in tables else getattr(self, name))
+
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, fmt: str = "parquet") -> Cdm:
         """One sub-folder or file set per table, ``<folder>/<table>``."""

@@ -27,7 +27,10 @@ _LETTER_TYPES = {
     "n": "double",
     "l": "boolean",
     "D": "date",
+    "T": "timestamp",
+    "t": "string",
 }
+_GUESS, _SKIP = "?", "_-"
 
 
 def load_codeset(
@@ -38,7 +41,8 @@ def load_codeset(
     All columns are read as text and cast **by name**: files order their columns
     differently, and a schema given to the reader would be applied by position.
     ``col_types`` optionally gives one letter per column in file order (letters
-    beyond the last column are ignored); ids are 64-bit in any case. A value that
+    beyond the last column are ignored); ids are 64-bit in any case. ``_`` and ``-`` leave a
+    column out, ``?`` gives it its usual type; a time of day stays text. A value that
     cannot be cast becomes null.
     """
     path = f"{folder.rstrip('/')}/{name}.csv"
@@ -52,15 +56,20 @@ def load_codeset(
         ) from e
 
     types = dict(_KNOWN_TYPES)
+    skipped = set()
     for column, letter in zip(raw.columns, col_types or ""):
-        if letter not in _LETTER_TYPES:
+        if letter in _SKIP:
+            skipped.add(column)
+        elif letter == _GUESS:
+            continue
+        elif letter not in _LETTER_TYPES:
             raise ValueError(f"unknown column type letter {letter!r} in {col_types!r}")
-        if column != "concept_id":
+        elif column != "concept_id":
             types[column] = _LETTER_TYPES[letter]
-    if "concept_id" not in raw.columns:
+    if "concept_id" not in set(raw.columns) - skipped:
         raise ValueError(f"code list {name!r} has no concept_id column")
     return raw.select(
-        *(F.col(f"`{c}`").try_cast(types.get(c, "string")).alias(c) for c in raw.columns)
+        *(F.col(f"`{c}`").try_cast(types.get(c, "string")).alias(c) for c in raw.columns if c not in skipped)
     )
 
 

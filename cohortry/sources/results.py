@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class ResultStore:
@@ -43,17 +42,36 @@ class ResultStore:
 
 
 class TableStore:
-    """Named tables of a catalog database, optionally bucketed for later joins."""
+    """Named tables of a catalog database, optionally bucketed for later joins.
+
+    Buckets are for tables that are joined as they are. A cohort is reduced to distinct persons first,
+    which shuffles it whatever its buckets.
+    """
 
     def __init__(self, spark: SparkSession, database: str, buckets: int = 0) -> None:
         self.spark = spark
         self.database = database
         self.buckets = buckets
 
-    def write(self, df: DataFrame, name: str, sort_by: Sequence[str] = ()) -> DataFrame:
-        writer = df.write.mode("overwrite").format("parquet")
-        if self.buckets and sort_by:
+    def write(
+        self,
+        df: DataFrame,
+        name: str,
+        sort_by: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
+    ) -> DataFrame:
+        """As :meth:`ResultStore.write`; with buckets, one file per bucket of the first sort column."""
+        rows, bucketed = df, bool(self.buckets and sort_by)
+        if bucketed:
+            # Otherwise every task would write a file of every bucket.
+            rows = rows.repartition(self.buckets, sort_by[0])
+        elif sort_by:
+            rows = rows.sortWithinPartitions(*sort_by)
+        writer = rows.write.mode("overwrite").format("parquet")
+        if bucketed:
             writer = writer.bucketBy(self.buckets, sort_by[0]).sortBy(*sort_by)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(f"{self.database}.{name}")
         return self.read(name)
 
@@ -65,33 +83,43 @@ class Workspace(ResultStore):
     """Intermediate tables of one run, in the folder all executors share.
 
     A written table survives the loss of any executor, unlike a cached one whose
-    blocks have to be recomputed through the whole lineage. The folder is removed
-    when the application ends.
+    blocks have to be recomputed through the whole lineage. ``close`` frees the space; what is not
+    closed is removed when the application ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         super().__init__(spark, f"{shared_folder(spark)}/cohortry-{uuid.uuid4().hex}")
-        context = getattr(spark, "sparkContext", None)  # a remote session has none
-        if context:
-            path = context._jvm.org.apache.hadoop.fs.Path(self.root)
-            files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        self._kept: dict[str, StructType] = {}
+        if found := self._folder():
+            path, files = found
             files.mkdirs(path)
             files.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self._kept[name] = df.schema
         return self.write(df, name)
 
+    def close(self) -> None:
+        """Remove the tables; DataFrames read from them can't be used any more."""
+        if found := self._folder():
+            path, files = found
+            files.delete(path, True)
+        else:  # a remote session can't delete files, but it can leave them without rows
+            for name, schema in self._kept.items():
+                empty = self.spark.createDataFrame([], schema)
+                empty.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        self._kept.clear()
+
+    def _folder(self):
+        """The folder and its file system, in a session that has them."""
+        context = getattr(self.spark, "sparkContext", None)
+        if not context:
+            return None
+        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder or, where none is set, one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder().name
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-
-
-@functools.cache
-def _local_folder() -> tempfile.TemporaryDirectory:
-    return tempfile.TemporaryDirectory(prefix="cohortry-")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from cohortry.functions import Codes
 from cohortry.plans import StudyCodes, StudyParameters
 from cohortry.sources import Cdm, Workspace
+from cohortry.sources.schema import conform
 
 PARAMETERS = StudyParameters(
     first_day=dt.date(1996, 1, 1),
@@ -25,6 +26,8 @@ PARAMETERS = StudyParameters(
 )
 
 _BIRTH_DATE = "date_add(DATE'1970-01-01', CAST((c_custkey * 37) % 9000 AS INT))"
+# Room for 1,024 suppliers, 1,048,576 parts and 8 lines an order.
+_LINE_ID = "(o_orderkey * 8 + l_linenumber) * 1073741824 + p_partkey * 1024 + l_suppkey"
 _IS_SLE = "p_type IN ('PROMO', 'LARGE')"
 
 _schemas: dict[str, StructType] = {}
@@ -102,7 +105,7 @@ def clinical_tables(spark: SparkSession, sf_dir: str, workspace: Workspace | Non
             "CAST(n_nationkey AS BIGINT) AS specialty_concept_id",
         ),
     }
-    return Cdm(lambda name: tables[name]())
+    return Cdm(lambda name: conform(tables[name](), name))
 
 
 def codes(spark: SparkSession, sf_dir: str) -> StudyCodes:
@@ -191,27 +194,18 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, one per order and line number, as events of the order's customer."""
-    # The flag is one letter; as a number it can be aggregated by hashing, while a
-    # minimum of strings makes Spark sort all line items.
-    lines = (
-        read(spark, sf_dir, "lineitem")
-        .selectExpr(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "ascii(l_returnflag) AS flag",
-            "CAST(l_shipdate AS DATE) AS event_date",
-        )
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg({"l_partkey": "min", "flag": "min", "event_date": "min"})
-        .selectExpr(
-            "l_orderkey AS o_orderkey",
-            "l_linenumber",
-            "`min(l_partkey)` AS p_partkey",
-            "`min(flag)` AS flag",
-            "`min(event_date)` AS event_date",
-        )
+    """Every line item as an event of the order's customer.
+
+    Order and line number alone don't identify a line item here, so its id is made of part and supplier
+    too. Two line items that agree in all four share an id.
+    """
+    lines = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey",
+        "l_linenumber",
+        "l_partkey AS p_partkey",
+        "l_suppkey",
+        "l_returnflag AS kind",
+        "CAST(l_shipdate AS DATE) AS event_date",
     )
     customer = read(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS o_custkey", "c_mktsegment AS site", f"{_BIRTH_DATE} AS birth_date"
@@ -221,7 +215,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(customer, "o_custkey")
         .join(read(spark, sf_dir, "part"), "p_partkey")
         .selectExpr(
-            "o_orderkey * 8 + l_linenumber AS id",
+            f"{_LINE_ID} AS id",
             "o_custkey AS person_id",
             "site",
             "o_orderkey AS visit_occurrence_id",
@@ -232,7 +226,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "p_brand || ' ' || p_name AS source_value",
             "p_partkey % 97 AS source_concept_id",
             "p_brand AS source_concept_name",
-            "CAST(floor(datediff(event_date, birth_date) / 30.4375D) AS INT) AS age_in_months",
-            "chr(flag) AS kind",
+            "CAST(floor(datediff(event_date, birth_date) / 30.4375D) AS DOUBLE) AS age_in_months",
+            "kind",
         )
     )

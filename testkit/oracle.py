@@ -45,22 +45,18 @@ FROM orders o
 JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN order_provider op ON op.l_orderkey = o.o_orderkey
 """)
-_relation("line", """
-SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_returnflag) AS l_returnflag,
-       min(l_shipdate) AS l_shipdate
-FROM lineitem GROUP BY l_orderkey, l_linenumber
-""")
 _relation("event", """
-SELECT l.l_orderkey * 8 + l.l_linenumber AS id, v.person_id, v.site, v.visit_occurrence_id,
+SELECT (l.l_orderkey * 8 + l.l_linenumber) * 1073741824 + l.l_partkey * 1024 + l.l_suppkey AS id,
+       v.person_id, v.site, v.visit_occurrence_id,
        l.l_partkey AS concept_id, pt.p_name || ' ' || pt.p_type AS concept_name,
        CAST(l.l_linenumber AS BIGINT) AS type_concept_id,
        CAST(l.l_shipdate AS DATE) AS event_date,
        pt.p_brand || ' ' || pt.p_name AS source_value,
        l.l_partkey % 97 AS source_concept_id, pt.p_brand AS source_concept_name,
-       CAST(floor(date_diff('day', p.birth_date, CAST(l.l_shipdate AS DATE)) / 30.4375) AS INTEGER)
+       CAST(floor(date_diff('day', p.birth_date, CAST(l.l_shipdate AS DATE)) / 30.4375) AS DOUBLE)
          AS age_in_months,
        l.l_returnflag AS kind
-FROM line l
+FROM lineitem l
 JOIN visit v ON v.visit_occurrence_id = l.l_orderkey
 JOIN person p ON p.person_id = v.person_id
 JOIN part pt ON pt.p_partkey = l.l_partkey
@@ -201,19 +197,20 @@ JOIN eligible_visit_counts c ON c.person_id = i.person_id
 """)
 _relation("population_visits", """
 SELECT v.person_id, v.visit_start_date, v.visit_occurrence_id, v.visit_concept_id, v.provider_id,
-       v.care_site_id, 'provider' AS spec_flag
+       v.care_site_id, 'provider' AS spec_flag, t.specialty_concept_id
 FROM visit v JOIN provider t ON t.provider_id = v.provider_id
 WHERE t.specialty_concept_id IN (SELECT concept_id FROM rheum_nephr_list)
   AND v.visit_concept_id IN (1, 2, 3)
 UNION
 SELECT v.person_id, v.visit_start_date, v.visit_occurrence_id, v.visit_concept_id, v.provider_id,
-       v.care_site_id, 'care_site'
+       v.care_site_id, 'care_site', t.specialty_concept_id
 FROM visit v JOIN care_site t ON t.care_site_id = v.care_site_id
 WHERE t.specialty_concept_id IN (SELECT concept_id FROM rheum_nephr_list)
   AND v.visit_concept_id IN (1, 2, 3)
 """)
 _relation("population_eligible_visits", """
-SELECT p.*, c.n_visits
+SELECT p.person_id, p.visit_start_date, p.visit_occurrence_id, p.visit_concept_id, p.provider_id,
+       p.care_site_id, p.spec_flag, c.n_visits
 FROM population_visits p
 JOIN (SELECT person_id, count(DISTINCT visit_occurrence_id) AS n_visits
       FROM population_visits GROUP BY person_id) c ON c.person_id = p.person_id
@@ -599,6 +596,8 @@ for _name, _table in {
     "cdm_condition_occurrence": "cond",
     "cdm_procedure_occurrence": "proc",
     "cdm_drug_exposure": "drug",
+    "cdm_provider": "provider",
+    "cdm_care_site": "care_site",
     "codeset_load": "disease_list",
     "result_round_trip": "visit",
 }.items():

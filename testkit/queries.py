@@ -25,24 +25,15 @@ _BIOPSY_TEXT = {
 }
 
 # Steps registered under the name of their operator.
-_NOT_LISTED = {"sle_conditions", "sle_conditions_w_elig_visits"}
-
-# Study steps that read the event tables at most twice.
-_LAZY_STEPS = {
-    "nephrology_visits",
-    "nephrology_visit_cohort",
-    "nephrology_visits_exp",
-    "nephrology_visit_cohort_exp",
-    "glomerular_disease_cohort",
+_NOT_LISTED = {
     "sle_conditions",
-    "sle_i_e_pats",
+    "sle_conditions_w_elig_visits",
+    "coded_conditions",
+    "coded_procedures",
+    "specialty_visits",
+    "sle_biopsies",
 }
 
-# Operators whose cohorts make them read the event tables more than five times. With
-# fewer reads Spark's reuse of equal shuffles was measured to be cheaper than storing.
-_STORING_OPERATORS = {"ln_cohort"}
-
-
 def queries() -> dict[str, Query]:
     return {
         **{name: _operator(name) for name in _OPERATORS},
@@ -56,31 +47,32 @@ def queries() -> dict[str, Query]:
 
 def _operator(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        store = name in _STORING_OPERATORS
-        return _OPERATORS[name](_study(spark, sf_dir, {"sle_conditions_w_elig_visits"}, store))
+        return _OPERATORS[name](_study(spark, sf_dir, ()))
 
     return query
 
 
 def _step(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _study(spark, sf_dir, worth_keeping(name), name not in _LAZY_STEPS).table(name)
+        return _study(spark, sf_dir, worth_keeping(name)).table(name)
 
     return query
 
 
 def attrition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _study(spark, sf_dir, worth_keeping(*ATTRITION), store=True).attrition()
+    return _study(spark, sf_dir, worth_keeping(*ATTRITION)).attrition()
+
 
+def _study(spark: SparkSession, sf_dir: str, kept: Collection[str]) -> TransplantStudy:
+    """The study on the commerce tables, storing the ``kept`` steps.
 
-def _study(
-    spark: SparkSession, sf_dir: str, kept: Collection[str], store: bool
-) -> TransplantStudy:
-    """The study on the commerce tables, storing events, visits and ``kept`` steps or nothing."""
+    Where both kinds of coded events are stored, both come out of one stored table of all events.
+    """
     configure(spark)
-    workspace = Workspace(spark) if store else None
+    workspace = Workspace(spark) if kept else None
+    events = {"coded_conditions", "coded_procedures"} <= set(kept)
     return TransplantStudy(
-        commerce.clinical_tables(spark, sf_dir, workspace),
+        commerce.clinical_tables(spark, sf_dir, workspace if events else None),
         commerce.codes(spark, sf_dir),
         PARAMETERS,
         keep=workspace.keep if workspace else None,
@@ -153,6 +145,8 @@ _OPERATORS: dict[str, Callable[[TransplantStudy], DataFrame]] = {
     "cdm_condition_occurrence": lambda s: s.cdm.condition_occurrence,
     "cdm_procedure_occurrence": lambda s: s.cdm.procedure_occurrence,
     "cdm_drug_exposure": lambda s: s.cdm.drug_exposure,
+    "cdm_provider": lambda s: s.cdm.provider,
+    "cdm_care_site": lambda s: s.cdm.care_site,
     "add_site": lambda s: add_site(_biopsied(s), s.cdm.person),
     "spaced_specialty_visits": lambda s: spacing.spaced_specialty_visits(
         s.cdm.visit_occurrence,

@@ -157,3 +157,25 @@ def test_attrition_counts_persons_and_reports_empty_steps(spark):
         (2, "none", 0),
         (3, "one", 1),
     ]
+
+
+def test_a_null_date_is_a_date_of_its_own(spark):
+    from cohortry.operators.pairing import same_date_pair, same_date_pair_for_cohort
+
+    tables = cdm(
+        spark,
+        condition_occurrence=[
+            dict(person_id=1, condition_concept_id=1, condition_start_date=None),
+            dict(person_id=2, condition_concept_id=2, condition_start_date=None),
+            dict(person_id=2, condition_concept_id=3, condition_start_date=None),
+            dict(person_id=3, condition_concept_id=2, condition_start_date=None),
+        ],
+    )
+    flags = spark.createDataFrame(
+        [(1, 1, 1), (2, 1, 0), (3, 0, 1)], "concept_id long, kidney_related int, sle int"
+    )
+    found = same_date_pair(tables.condition_occurrence, flags)
+    assert sorted(r["person_id"] for r in found.collect()) == [1, 2, 2]
+    cohort = spark.createDataFrame([(2,)], "person_id long")
+    found = same_date_pair_for_cohort(cohort, tables.condition_occurrence, flags)
+    assert sorted(r["person_id"] for r in found.collect()) == [2, 2]

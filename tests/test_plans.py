@@ -53,17 +53,77 @@ def test_window_and_columns_reach_the_visit_scan(spark, stored):
     ]
 
 
-def test_disease_cohort_reads_each_table_once(spark, stored):
+def test_disease_cohort_scans(spark, stored):
     df = disease.disease_cohort(stored, [100], [500], [600], [700], NEPHROLOGY)
-    (condition_scan,) = _scans(df, "condition_occurrence")
-    assert "LessThan(condition_start_age_in_months,360.0)" in condition_scan[0]
-    assert "GreaterThanOrEqual(condition_start_date,2009-01-01)" in condition_scan[0]
+    condition_scans = _scans(df, "condition_occurrence")
+    assert len(condition_scans) == 2  # the second for diagnoses that name a visit
+    for pushed, _ in condition_scans:
+        assert "LessThan(condition_start_age_in_months,360.0)" in pushed
+        assert "GreaterThanOrEqual(condition_start_date,2009-01-01)" in pushed
     (procedure_scan,) = _scans(df, "procedure_occurrence")
     assert "LessThan(procedure_age_in_months,360.0)" in procedure_scan[0]
     (visit_scan,) = _scans(df, "visit_occurrence")
     assert visit_scan[1] == {"visit_occurrence_id", "provider_id", "care_site_id"}
 
 
+def test_only_gated_diagnoses_look_up_visits(spark, stored):
+    df = disease.disease_cohort(stored, [100], [500], [600], [700], NEPHROLOGY)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # Visits are narrowed before their provider and care site are looked up.
+    order = re.findall(r"Join \w+, .*?(visit_occurrence_id|provider_id|care_site_id|_gate)#", plan)
+    assert order.index("_gate") < order.index("care_site_id") < order.index("provider_id")
+    assert order.index("provider_id") < order.index("visit_occurrence_id")
+
+
+def test_followup_aggregates_the_cohort_only(spark, stored):
+    df = spacing.followup_at_least(stored.visit_occurrence, persons(spark, 1))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[person_id.*\n.*Join LeftSemi", plan)
+
+
+def test_eligible_visits_are_of_the_cohort(spark, stored):
+    df = membership.conditions_with_eligible_visits(
+        stored.condition_occurrence, stored.visit_occurrence, stored.provider, stored.care_site,
+        NEPHROLOGY, [9202],
+    )
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    order = re.findall(r"Join \w+, .*?(person_id|provider_id|care_site_id)#", plan)
+    assert order[-1] == "person_id" and {"provider_id", "care_site_id"} <= set(order[:-1])
+
+
+def test_reads_of_a_whole_study(spark, tmp_path):
+    """The clinical tables are read few times, whatever the number of steps."""
+    from cohortry.plans import TransplantStudy
+    from cohortry.plans.transplant_study import ATTRITION, RESULTS, STEPS, worth_keeping
+    from testkit import commerce
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    source = commerce.clinical_tables(spark, "/root/testdata/sf0.001")
+    for name in CDM_COLUMNS:
+        getattr(source, name).write.parquet(str(tmp_path / name))
+    work, reads = Workspace(spark), dict.fromkeys(CDM_COLUMNS, 0)
+
+    def count(df):
+        for name in reads:
+            reads[name] += len(_scans(df, name))
+
+    def keep(df, name):
+        count(df)
+        return work.keep(df, name)
+
+    study = TransplantStudy(
+        Cdm.from_folder(spark, str(tmp_path)), commerce.codes(spark, "/root/testdata/sf0.001"),
+        commerce.PARAMETERS, keep=keep, kept=worth_keeping(*RESULTS, *ATTRITION) | set(RESULTS),
+    )
+    for name in STEPS:
+        if name in RESULTS:
+            study.table(name)
+    work.close()
+    assert reads["visit_occurrence"] <= 4
+    assert reads["condition_occurrence"] <= 2
+    assert reads["procedure_occurrence"] <= 1
+
+
 def test_transplant_window_is_pushed_below_the_union(spark, stored):
     df = events.transplant_events(
         stored.condition_occurrence,

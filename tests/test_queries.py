@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from cohortry.plans import TransplantStudy
 from cohortry.plans.transplant_study import ATTRITION, STEPS, worth_keeping
 from cohortry.sources import ResultStore
-from testkit import commerce
+from testkit import commerce, queries as registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = [
@@ -18,7 +18,7 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE"}
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE"}
 
 
 @pytest.fixture(scope="module")
@@ -30,10 +30,11 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_equals_sql(spark, db, name):
     df = contract.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
@@ -141,11 +142,13 @@ def test_steps_come_after_their_inputs():
 
 
 def test_what_is_kept_depends_on_what_is_wanted():
-    assert worth_keeping("nephrology_visit_cohort") == frozenset()
-    assert worth_keeping("sle_cohort") == {"sle_conditions_w_elig_visits"}
-    assert worth_keeping("final_cohort") == {
+    assert worth_keeping("nephrology_visit_cohort") == {"specialty_visits"}
+    lupus = {"coded_conditions", "sle_conditions", "sle_conditions_w_elig_visits", "sle_biopsies"}
+    assert worth_keeping("sle_cohort") == lupus
+    assert worth_keeping("final_cohort") == lupus | {
+        "coded_procedures",
+        "specialty_visits",
         "nephrotic_subcohort",
-        "sle_conditions_w_elig_visits",
         "sle_cohort",
     }
 
@@ -163,6 +166,15 @@ def test_run_study_writes_every_result(spark, study, tmp_path):
         if name in persons and name in ATTRITION:
             assert persons[name] == len(stored)
     assert store.read("attrition").count() == len(ATTRITION) + 1
+    assert {p.name for p in (tmp_path / "results").iterdir()} == {*RESULTS, "attrition"}
+    assert [r.cohort for r in log.orderBy("step_no").collect()] == ["start", *ATTRITION]
+
+
+def test_every_line_item_is_an_event(spark):
+    kinds = ("condition_occurrence", "procedure_occurrence", "drug_exposure")
+    tables = commerce.clinical_tables(spark, SF_DIR)
+    events = sum(getattr(tables, kind).count() for kind in kinds)
+    assert events == commerce.read(spark, SF_DIR, "lineitem").count()
 
 
 def test_command_line(spark, study, tmp_path, capsys, monkeypatch):

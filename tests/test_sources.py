@@ -114,6 +114,40 @@ def test_result_store_overwrites_and_reads_back(spark, tmp_path):
     assert store.read("cohort").count() == 2
 
 
+def test_buckets_make_a_file_each(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS clinic")
+    rows = spark.range(0, 5000, 1, 10).selectExpr("id AS person_id", "id % 7 AS n")
+    TableStore(spark, "clinic", buckets=4).write(rows, "many", ["person_id", "n"])
+    assert len(spark.table("clinic.many").inputFiles()) <= 4
+    plain = TableStore(spark, "clinic").write(rows.orderBy("n"), "sorted", ["person_id"], ["n"])
+    assert len(plain.where("n = 3").inputFiles()) < len(plain.inputFiles())
+    assert plain.count() == 5000
+
+
+def test_skipped_and_guessed_columns(spark, tmp_path):
+    _csv(tmp_path, "s", "concept_id,junk,other_code_req,at\n1,x,1,2020-01-02 03:04:05\n")
+    df = load_codeset(spark, str(tmp_path), "s", "i_?T")
+    assert df.dtypes == [("concept_id", "bigint"), ("other_code_req", "int"), ("at", "timestamp")]
+
+
+def test_closing_a_workspace_removes_it(spark):
+    work = Workspace(spark)
+    work.keep(spark.range(3), "x")
+    path = spark._jvm.org.apache.hadoop.fs.Path(work.root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert files.exists(path)
+    work.close()
+    assert not files.exists(path)
+
+
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    class Session:
+        class conf:
+            get = {"spark.sql.warehouse.dir": "hdfs://warehouse/"}.get
+
+    assert shared_folder(Session) == "hdfs://warehouse/_work"
+
+
 def test_workspace_uses_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder
