@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from cohortry.functions import in_any_codes
 from cohortry.operators import disease, events, lupus, membership, pairing, spacing, specialty
 from cohortry.session import configure
 from cohortry.sources import Cdm, Workspace
@@ -164,7 +165,7 @@ CASES = {
             s.cdm, s.codes, s.few, s.codes, [9], s.few,
             other_code_required=[1, 2, 3], nephrology_required=[4, 5, 6],
         ),
-        {"condition_concept_id", "visit_occurrence_id", "procedure_concept_id"},
+        {"condition_concept_id", "_gate", "procedure_concept_id"},
     ),
     "dominant_category_subcohort": (
         lambda s: disease.dominant_category_subcohort(
@@ -192,6 +193,52 @@ CASES = {
         lambda s: lupus.sle_cohort(s.cdm, s.cdm.condition_occurrence, s.codes),
         {"drug_concept_id"},
     ),
+    "followup_at_least": (
+        lambda s: spacing.followup_at_least(s.cdm.visit_occurrence, s.cohort),
+        {"person_id"},
+    ),
+    "biopsy_by_literal_codes": (
+        lambda s: events.biopsy_by_literal_codes(
+            s.cdm.procedure_occurrence, s.cohort, s.few, s.codes
+        ),
+        {"person_id", "procedure_concept_id"},
+    ),
+    "persons_with_any_code": (
+        lambda s: membership.persons_with_any_code(
+            s.cohort, s.cdm.condition_occurrence, s.cdm.person, s.codes
+        ),
+        {"condition_concept_id"},
+    ),
+    "procedures_in_codeset": (
+        lambda s: events.procedures_in_codeset(
+            s.cdm.procedure_occurrence, s.cdm.person, s.codes, s.cohort
+        ),
+        {"person_id", "procedure_concept_id"},
+    ),
+    "visit_table_specialty": (
+        lambda s: specialty.visit_table_specialty(
+            s.cdm.visit_occurrence, s.cohort, s.cdm.provider, s.cdm.care_site
+        ),
+        {"person_id", "provider_id", "care_site_id"},
+    ),
+    "biopsy_before_transplant": (
+        lambda s: disease.biopsy_before_transplant(
+            s.cohort, s.cdm.procedure_occurrence, s.few, s.codes, [9]
+        ),
+        {"procedure_concept_id"},
+    ),
+    "rows_with_any_code": (
+        lambda s: in_any_codes(
+            s.cdm.condition_occurrence,
+            condition_concept_id=[s.few, [5, 6]],
+            condition_source_concept_id=[s.codes],
+        ),
+        {"condition_concept_id", "condition_source_concept_id"},
+    ),
+    "spaced_visits": (
+        lambda s: spacing.spaced_visits(s.cdm.visit_occurrence),
+        {"person_id"},
+    ),
 }
 
 
