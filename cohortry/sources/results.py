@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -87,8 +88,17 @@ class Workspace(ResultStore):
     closed is removed when the application ends.
     """
 
+    _open: ClassVar[list[Workspace]] = []
+
+    @classmethod
+    def close_all(cls) -> None:
+        """Close whatever was opened in this process and isn't read any more."""
+        while cls._open:
+            cls._open[-1].close()
+
     def __init__(self, spark: SparkSession) -> None:
         super().__init__(spark, f"{shared_folder(spark)}/cohortry-{uuid.uuid4().hex}")
+        self._open.append(self)
         self._kept: dict[str, StructType] = {}
         if found := self._folder():
             path, files = found
@@ -109,6 +119,8 @@ class Workspace(ResultStore):
                 empty = self.spark.createDataFrame([], schema)
                 empty.write.mode("overwrite").parquet(f"{self.root}/{name}")
         self._kept.clear()
+        if self in self._open:
+            self._open.remove(self)
 
     def _folder(self):
         """The folder and its file system, in a session that has them."""

@@ -138,6 +138,10 @@ def test_closing_a_workspace_removes_it(spark):
     assert files.exists(path)
     work.close()
     assert not files.exists(path)
+    one, two = Workspace(spark), Workspace(spark)
+    two.keep(spark.range(2), "y")
+    Workspace.close_all()
+    assert not any(files.exists(spark._jvm.org.apache.hadoop.fs.Path(w.root)) for w in (one, two))
 
 
 def test_without_a_checkpoint_folder_the_warehouse_is_used():
