@@ -30,8 +30,11 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     work = prepared(spark)
     found = simhash.near_duplicates(docs, work)
     keepers = found.where(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct()
-    kept = docs.join(work.keep(keepers, "keepers"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    keepers = work.keep(keepers, "keepers")
+    # The join deals texts out by id, and repeated rows are dropped where they then are.
+    kept = docs.join(keepers, docs["doc_id"] == keepers["id"], "left_semi")
+    nameless = docs.where("doc_id is null").join(keepers.where("id is null"), how="left_semi")
+    return kept.dropDuplicates(["doc_id"]).unionByName(nameless.dropDuplicates(["doc_id"]))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
