@@ -137,7 +137,7 @@ def _linked_classes(classes: DataFrame, work: Workspace, max_distance: int) -> D
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.fp") < F.col("y.fp"))
         & (F.col("x.group") != F.col("y.group"))
-        & ring.within_budgets(F.col("x.turned").bitwiseXOR(F.col("y.turned"))),
+        & ring.within_budgets(F.col("x.key"), F.col("x.fp").bitwiseXOR(F.col("y.fp"))),
     ).select(F.col("x.group").alias("a"), F.col("y.group").alias("b"))
     second = components(pairs, work, "links")
     joined = grouped.join(second, grouped["group"] == second["node"], "left")
@@ -171,7 +171,7 @@ class Ring:
     @property
     def neighbours(self) -> list[int]:
         """All differences that a key may have within the budgets of its chains; 0 first."""
-        width = self.ends[self.key_segments - 1]
+        width = self._key_bits
         most = self.budget(self.key_segments)
         return [
             mask
@@ -187,32 +187,32 @@ class Ring:
         )
 
     def keys(self, classes: DataFrame, masks: list[int]) -> DataFrame:
-        """A row per class, start and mask: ``key`` and the fingerprint ``turned`` to the start."""
-        width = self.ends[self.key_segments - 1]
-        starts = F.array(
-            *(
-                F.struct(F.lit(k).cast("long").alias("no"), F.lit(at).alias("at"))
-                for k, at in enumerate(self.starts)
-            )
-        )
-        turned = "(shiftrightunsigned(fp, start.at) | shiftleft(fp, 64 - start.at))"
-        rows = classes.withColumn("start", F.explode(starts))
-        rows = rows.select("*", F.expr(turned).alias("turned"))
+        """A row per class, start and mask, with a ``key``: the start's number above the chain's bits."""
+        rows = classes.withColumn("start", F.explode(F.expr(f"sequence(0L, {self.segments - 1}L)")))
         rows = rows.withColumn("mask", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))))
-        low = F.col("turned").bitwiseXOR(F.col("mask")).bitwiseAND(F.lit((1 << width) - 1))
-        key = F.shiftleft(F.col("start.no"), width).bitwiseOR(low)
-        return rows.select(key.alias("key"), "turned", *classes.columns)
-
-    def within_budgets(self, difference: Column) -> Column:
-        """Whether every chain keeps its budget; the longest is the whole fingerprint."""
+        low = self._turned(F.col("fp"), F.col("start")).bitwiseXOR(F.col("mask"))
+        low = low.bitwiseAND(F.lit((1 << self._key_bits) - 1))
+        key = F.shiftleft(F.col("start"), self._key_bits).bitwiseOR(low)
+        return rows.select(key.alias("key"), *classes.columns)
+
+    def within_budgets(self, key: Column, difference: Column) -> Column:
+        """Whether every chain from the key's start keeps its budget; the longest is the whole."""
+        turned = self._turned(difference, F.shiftright(key, self._key_bits))
         checks = [
-            F.bit_count(difference.bitwiseAND(F.lit(_signed((1 << end) - 1)))) <= self.budget(n)
+            F.bit_count(turned.bitwiseAND(F.lit((1 << end) - 1))) <= self.budget(n)
             for n, end in enumerate(self.ends, 1)
             if end < BITS
         ]
+        # The whole first: it rejects most chance meetings, and doesn't depend on the start.
         whole = F.bit_count(difference) <= self.max_distance
-        return reduce(lambda a, b: a & b, [*checks, whole])
+        return reduce(lambda a, b: a & b, [whole, *checks])
 
-
-def _signed(mask: int) -> int:
-    return mask - (1 << 64) if mask >> 63 else mask
+    @property
+    def _key_bits(self) -> int:
+        return self.ends[self.key_segments - 1]
+
+    def _turned(self, bits: Column, start: Column) -> Column:
+        """The bits turned on the ring so that the chain from a start comes lowest."""
+        at = F.element_at(F.array(*(F.lit(at) for at in self.starts)), start.cast("int") + 1)
+        right = F.call_function("shiftrightunsigned", bits, at)
+        return right.bitwiseOR(F.call_function("shiftleft", bits, F.lit(BITS) - at))
