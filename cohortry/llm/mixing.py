@@ -29,9 +29,10 @@ SLICE_DIGITS = 3
 class Plan:
     """What to mix by.
 
-    ``levels`` names the tree's levels from the root and ``tokens`` gives a document's tokens, both as SQL
-    expressions over the documents. ``budget`` counts tokens; a Fraction is that part of all tokens.
-    ``weights`` has whole-number weights by path from the root; a node without one weighs 1.
+    ``levels`` names the tree's levels from the root and ``tokens`` gives a document's tokens, both
+    as SQL expressions over the documents. ``budget`` counts tokens; a Fraction is that part of all
+    tokens. ``weights`` has whole-number weights by path from the root; a node without one weighs
+    1.
     """
 
     levels: Mapping[str, str]
@@ -56,9 +57,10 @@ def leaf_quotas(
 ) -> DataFrame:
     """``(levels, tokens, quota)`` per leaf; quotas are whole tokens.
 
-    ``leaves`` has the levels and the leaf's ``tokens``. ``weights`` gives the whole-number weight of a node by its
-    path from the root; a node without one weighs 1, a node of weight 0 gets nothing. Shares are rounded down,
-    so a node may hand on less than its budget, by fewer tokens than it has children.
+    ``leaves`` has the levels and the leaf's ``tokens``. ``weights`` gives the whole-number weight
+    of a node by its path from the root; a node without one weighs 1, a node of weight 0 gets
+    nothing. Shares are rounded down, so a node may hand on less than its budget, by fewer tokens
+    than it has children.
     """
     quotas = None
     for depth in range(1, len(levels) + 1):
@@ -68,12 +70,15 @@ def leaf_quotas(
         if quotas is None:
             nodes = nodes.withColumn("budget", F.lit(budget).cast("long"))
         else:
-            above = quotas.select(*(F.col(c).alias(f"_{c}") for c in parent), F.col("quota").alias("budget"))
+            above = quotas.select(
+                *(F.col(c).alias(f"_{c}") for c in parent), F.col("quota").alias("budget")
+            )
             nodes = nodes.join(above, [F.col(c) == F.col(f"_{c}") for c in parent]).drop(
                 *(f"_{c}" for c in parent)
             )
         quotas = _poured(nodes, parent, path[-1])
-    totals = leaves.groupBy(*(F.col(c).alias(f"_{c}") for c in levels)).agg(F.sum("tokens").alias("tokens"))
+    totals = leaves.groupBy(*(F.col(c).alias(f"_{c}") for c in levels))
+    totals = totals.agg(F.sum("tokens").alias("tokens"))
     return quotas.join(totals, [F.col(c) == F.col(f"_{c}") for c in levels]).select(
         *levels, "tokens", "quota"
     )
@@ -101,10 +106,11 @@ def _poured(nodes: DataFrame, parent: Sequence[str], name: str) -> DataFrame:
     order = [ratio.asc_nulls_last(), F.col(name)]
     siblings = Window.partitionBy(*(parent or [F.lit(0)]))
     so_far = siblings.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    claimed = F.coalesce(F.sum("weight").over(so_far), F.lit(0))
     rows = wanted.select(
         "*",
         F.coalesce(F.sum("supply").over(so_far), F.lit(0)).alias("taken"),
-        (F.sum("weight").over(siblings) - F.coalesce(F.sum("weight").over(so_far), F.lit(0))).alias("claims"),
+        (F.sum("weight").over(siblings) - claimed).alias("claims"),
     )
     fits = (F.col("weight") > 0) & (
         F.col("supply") * F.col("claims") <= F.col("weight") * (F.col("budget") - F.col("taken"))
@@ -126,10 +132,10 @@ def draw(seed: int, epoch: Column, id: Column) -> Column:
 def mix(docs: DataFrame, work: Workspace, plan: Plan, id: str = "doc_id") -> DataFrame:
     """``(id, levels, tokens, copies)`` per selected row of ``docs``; copies counts its epochs.
 
-    Null names are empty ones, null tokens none. In an epoch's order ties (repeated ids) go by tokens;
-    rows equal in both stand or fall together. The prefix ends before the first row that would pass the quota.
-    Rows without id are drawn as if the id were empty. A leaf without any token costs nothing and is taken
-    whole; an empty table gives an empty result.
+    Null names are empty ones, null tokens none. In an epoch's order ties (repeated ids) go by
+    tokens; rows equal in both stand or fall together. The prefix ends before the first row that
+    would pass the quota. Rows without id are drawn as if the id were empty. A leaf without any
+    token costs nothing and is taken whole; an empty table gives an empty result.
     """
     chosen = _choices(docs, work, plan, id)
     repeated = chosen.withColumn("n", F.explode(F.expr("sequence(1, int(rows))")))
@@ -145,8 +151,8 @@ def mixed_documents(docs: DataFrame, work: Workspace, plan: Plan, id: str = "doc
     copies = chosen.columns[-1]
     values = {"id": F.col(id), **plan.named()}
     same = [docs_value.eqNullSafe(F.col(keys[name])) for name, docs_value in values.items()]
-    rows = docs.join(chosen, same).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
-    return rows.select(*docs.columns)
+    times = F.sequence(F.lit(1), F.col(copies))
+    return docs.join(chosen, same).withColumn(copies, F.explode(times)).select(*docs.columns)
 
 
 def _choices(docs: DataFrame, work: Workspace, plan: Plan, id: str) -> DataFrame:

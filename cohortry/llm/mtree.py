@@ -1,14 +1,16 @@
 """Exact top-k search by inner product in M-trees.
 
-Inner products have no triangle inequality, so vectors are lifted by one component: a candidate x gets
-``sqrt(R^2 - |x|^2)``, with R the largest norm, and a query gets 0. Then ``d(q, x)^2 = |q|^2 + R^2 - 2 q.x``: the nearest
-candidates are those of the largest product, and distances obey the triangle inequality.
-
-Candidates are split into shards around sampled pivots, each with an M-tree of its own: pages of bounded size,
-each with a routing object, a covering radius and its entries' distances to the routing object. A search takes pages
-from a queue, the one with the smallest possible distance first, and ends when that can't reach the k best so far. Stored
-distances to the parent spare most of the rest: an entry whose distance to the parent differs from the query's by more
-than the current limit is never compared. Products that are compared are exact integers.
+Inner products have no triangle inequality, so vectors are lifted by one component: a candidate x
+gets ``sqrt(R^2 - |x|^2)``, with R the largest norm, and a query gets 0. Then ``d(q, x)^2 = |q|^2 +
+R^2 - 2 q.x``: the nearest candidates are those of the largest product, and distances obey the
+triangle inequality.
+
+Candidates are split into shards around sampled pivots, each with an M-tree of its own: pages of
+bounded size, each with a routing object, a covering radius and its entries' distances to the
+routing object. A search takes pages from a queue, the one with the smallest possible distance
+first, and ends when that can't reach the k best so far. Stored distances to the parent spare most
+of the rest: an entry whose distance to the parent differs from the query's by more than the
+current limit is never compared. Products that are compared are exact integers.
 """
 
 from __future__ import annotations
@@ -28,11 +30,15 @@ from cohortry.sources.results import Workspace
 
 #: Entries of a page, vectors of a shard, queries searched at once.
 PAGE, SHARD, BLOCK = 256, 8192, 512
-#: Vectors sampled by a hash of their ids: pivots are among them, and they give each query a first limit.
+#: Vectors sampled by a hash of their ids: pivots are among them, and they give each query a first
+#: limit.
 SAMPLE, PIVOTS = 2048, 256
 #: Relative rounding error that bounds allow for.
 _SLACK = 1e-9
-_PAGES = "shard int, page int, parent int, routing binary, radius double, ids binary, vectors binary, distances binary"
+_PAGES = (
+    "shard int, page int, parent int, routing binary, radius double, ids binary, vectors binary, "
+    "distances binary"
+)
 
 
 def lifted(vectors: np.ndarray, square: float) -> np.ndarray:
@@ -55,7 +61,17 @@ class Page:
     radius: float
     ids: np.ndarray
     vectors: np.ndarray
-    distances: np.ndarray  # of the entries to the routing object; of the child pages, for an inner node
+    distances: np.ndarray  # of the entries, or of an inner node's children, to the routing object
+
+
+@dataclass(frozen=True)
+class Ball:
+    """The candidates nearest to a pivot, and their shards."""
+
+    pivot: int
+    radius: float
+    first: int
+    shards: int
 
 
 def build(ids: np.ndarray, vectors: np.ndarray, square: float) -> list[Page]:
@@ -89,7 +105,9 @@ def build(ids: np.ndarray, vectors: np.ndarray, square: float) -> list[Page]:
         nearest = squares.argmin(1)
         parts = [rows[nearest == k] for k in range(count)]
         # The head first, as it routes.
-        parts = [np.concatenate([[h], p[p != h]]) for h, p in zip(heads, parts, strict=True) if h in p]
+        parts = [
+            np.concatenate([[h], p[p != h]]) for h, p in zip(heads, parts, strict=True) if h in p
+        ]
         if len(parts) < 2 or sum(map(len, parts)) < len(rows):
             return [rows[i : i + PAGE] for i in range(0, len(rows), PAGE)]
         return parts
@@ -106,13 +124,17 @@ class Tree:
         self.children: dict[int, list[int]] = {}
         for p in self.pages.values():
             self.children.setdefault(p.parent, []).append(p.number)
-        self.routing = {n: np.stack([self.pages[c].routing for c in cs]) for n, cs in self.children.items()}
-        self.radii = {n: np.array([self.pages[c].radius for c in cs]) for n, cs in self.children.items()}
+        below = {n: [self.pages[c] for c in numbers] for n, numbers in self.children.items()}
+        self.routing = {n: np.stack([p.routing for p in pages]) for n, pages in below.items()}
+        self.radii = {n: np.array([p.radius for p in pages]) for n, pages in below.items()}
 
-    def search(self, query: np.ndarray, own: int, k: int, least: float, square: float) -> tuple[np.ndarray, np.ndarray, int]:
+    def search(
+        self, query: np.ndarray, own: int, k: int, least: float, square: float
+    ) -> tuple[np.ndarray, np.ndarray, int]:
         """Ids and scores of the best ``k`` but ``own``, and how many distances were worked out.
 
-        Scores below ``least`` needn't be found: k others are known to reach it. Ties go to the smaller id.
+        Scores below ``least`` needn't be found: k others are known to reach it. Ties go to the
+        smaller id.
         """
         best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
         point = np.append(query, 0.0)
@@ -158,7 +180,8 @@ class Tree:
 
 
 def quantised(vectors: DataFrame, id: str, vector: str, scale: int) -> DataFrame:
-    """``(id, vector)`` with whole-number components; rows without id or a full, finite vector left out.
+    """``(id, vector)`` with whole-number components; rows without id or a full, finite vector left
+    out.
 
     Rows equal in id and vector are one.
     """
@@ -183,18 +206,23 @@ def top_k(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's ``k`` best candidates by inner product.
 
-    Queries are the rows whose id is divisible by ``query_every``; candidates are all rows of another id. Components
-    become ``floor(scale * x)``, which has to fit 32 bits. Null vectors, those with null or non-finite components and rows without
-    id take no part; repeated rows are one; shorter vectors count as filled up with zeros. With fewer than ``k``
-    candidates all are returned, for an empty table nothing.
+    Queries are the rows whose id is divisible by ``query_every``; candidates are all rows of
+    another id. Components become ``floor(scale * x)``, which has to fit 32 bits. Null vectors,
+    those with null or non-finite components and rows without id take no part; repeated rows are
+    one; shorter vectors count as filled up with zeros. With fewer than ``k`` candidates all are
+    returned, for an empty table nothing.
     """
     rows = work.keep(quantised(vectors, id, vector, scale), "vectors")
     square_of = F.aggregate("vector", F.lit(0).cast("long"), lambda t, x: t + x.cast("long") * x)
     facts = rows.agg(
-        F.max(square_of).alias("square"), F.max(F.size("vector")).alias("width"), F.count("*").alias("n")
+        F.max(square_of).alias("square"),
+        F.max(F.size("vector")).alias("width"),
+        F.count("*").alias("n"),
     ).first()
     if not facts["n"]:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return rows.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score long"
+        )
     square, width = float(facts["square"]), facts["width"]
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     seen_ids = np.array([r["id"] for r in sample], np.int64)
@@ -202,25 +230,24 @@ def top_k(
     pivots = lifted(np.unique(seen[: min(PIVOTS, -(-facts["n"] // SHARD))], axis=0), square)
 
     placed = work.keep(_placed(rows, pivots, width, square), "placed")
-    balls = placed.groupBy("pivot").agg(F.count("*").alias("n"), F.max("apart").alias("radius")).collect()
-    index, first, shards = {}, 0, {}
-    for ball in sorted(balls, key=lambda b: b["pivot"]):
-        pieces = -(-ball["n"] // SHARD)
-        index[ball["pivot"]] = (first, pieces, ball["radius"])
-        shards[ball["pivot"]] = (first, pieces)
-        first += pieces
-    starts = F.create_map(*(F.lit(x) for p, (at, _) in shards.items() for x in (p, at)))
-    pieces = F.create_map(*(F.lit(x) for p, (_, n) in shards.items() for x in (p, n)))
-    dealt = placed.withColumn(
-        "shard", (starts[F.col("pivot")] + F.pmod(F.xxhash64("id"), pieces[F.col("pivot")])).cast("int")
-    )
-    pages = work.keep(_pages(dealt, width, square), "pages")
+    near = placed.groupBy("pivot").agg(F.count("*").alias("n"), F.max("apart").alias("radius"))
+    balls, first = [], 0
+    for ball in sorted(near.collect(), key=lambda b: b["pivot"]):
+        balls.append(Ball(ball["pivot"], ball["radius"], first, -(-ball["n"] // SHARD)))
+        first += balls[-1].shards
+    firsts = F.create_map(*(F.lit(x) for b in balls for x in (b.pivot, b.first)))
+    counts = F.create_map(*(F.lit(x) for b in balls for x in (b.pivot, b.shards)))
+    pivot = F.col("pivot")
+    shard = firsts[pivot] + F.pmod(F.xxhash64("id"), counts[pivot])
+    pages = work.keep(_pages(placed.withColumn("shard", shard.cast("int")), width, square), "pages")
 
     asked = rows.where(F.pmod("id", F.lit(query_every)) == 0)
     blocks = max(1, -(-facts["n"] // (query_every * BLOCK)))
-    asked = _asked(asked, pivots, index, seen_ids, seen, k, width, square)
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    asked = work.keep(asked.select("id", "vector", "least", "block", F.explode("shards").alias("shard")), "queries")
+    least = _least_scores(seen_ids, seen, k)
+    asked = _asked(asked, least, pivots[[b.pivot for b in balls]], balls, width, square)
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
+    asked = asked.select("id", "vector", "least", block, F.explode("shards").alias("shard"))
+    asked = work.keep(asked, "queries")
     # Pages go to each block of queries that looks into their shard.
     meets = asked.select(F.col("shard").alias("of"), F.col("block").alias("for_block")).distinct()
     copies = pages.join(meets, F.col("shard") == F.col("of")).drop("of")
@@ -280,29 +307,41 @@ def _pages(dealt: DataFrame, width: int, square: float) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(run, _PAGES)
 
 
+def _least_scores(ids: np.ndarray, vectors: np.ndarray, k: int):
+    """For some queries, the score that ``k`` of the given candidates are known to reach."""
+    points = vectors.T.astype(float)
+
+    def least(query_ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        if len(ids) < k:
+            return np.full(len(query_ids), -np.inf)
+        scores = queries.astype(float) @ points
+        scores[query_ids[:, None] == ids] = -np.inf
+        return np.sort(scores, axis=1)[:, -k]
+
+    return least
+
+
 def _asked(
-    rows: DataFrame, pivots: np.ndarray, index: dict, seen_ids: np.ndarray, seen: np.ndarray, k: int, width: int, square: float
+    rows: DataFrame, least, centres: np.ndarray, balls: list[Ball], width: int, square: float
 ) -> DataFrame:
     """Queries with the score they are sure to reach and the shards that can reach it."""
+    radii = np.array([b.radius for b in balls])
+    shards = [range(b.first, b.first + b.shards) for b in balls]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             queries = _matrix(batch.column(1).to_pylist(), width)
-            scores = (queries.astype(float) @ seen.T.astype(float)).astype(float)
-            scores[ids[:, None] == seen_ids] = -np.inf
-            least = np.sort(scores, axis=1)[:, -k] if len(seen) >= k else np.full(len(ids), -np.inf)
-            norms = (queries.astype(float) ** 2).sum(1)
-            reach = np.sqrt(np.maximum(norms + square - 2 * least, 0)) * (1 + _SLACK) + _SLACK
+            known = least(ids, queries)
             points = np.hstack([queries, np.zeros((len(ids), 1))])
-            apart = np.sqrt(
-                np.maximum((points**2).sum(1)[:, None] + (pivots**2).sum(1) - 2 * points @ pivots.T, 0)
-            )
-            shards = [
-                [s for p, (at, n, radius) in index.items() if apart[i, p] * (1 - _SLACK) - radius - _SLACK <= reach[i] for s in range(at, at + n)]
-                for i in range(len(ids))
-            ]
-            columns = [*batch.columns, pa.array(least), pa.array(shards, pa.list_(pa.int32()))]
+            norms = (points**2).sum(1)
+            reach = np.sqrt(np.maximum(norms + square - 2 * known, 0))
+            apart = norms[:, None] + (centres**2).sum(1) - 2 * points @ centres.T
+            apart = np.sqrt(np.maximum(apart, 0))
+            slack = _SLACK * (1 + reach[:, None] + apart)
+            can = apart - radii <= reach[:, None] + slack
+            into = [[s for ball in np.flatnonzero(row) for s in shards[ball]] for row in can]
+            columns = [*batch.columns, pa.array(known), pa.array(into, pa.list_(pa.int32()))]
             yield pa.record_batch(columns, ["id", "vector", "least", "shards"])
 
     return rows.mapInArrow(run, "id long, vector array<int>, least double, shards array<int>")
@@ -325,9 +364,11 @@ def _searcher(k: int, width: int, square: float):
             for r in pages.itertuples()
         )
         parts = []
-        for id, vector, least in zip(queries["id"], _matrix(queries["vector"], width), queries["least"], strict=True):
+        vectors = _matrix(queries["vector"], width)
+        for id, vector, least in zip(queries["id"], vectors, queries["least"], strict=True):
             ids, scores, _ = tree.search(vector, id, k, least, square)
-            parts.append(pd.DataFrame({"query_id": id, "vec_id": ids, "score": scores}, dtype="int64"))
+            found = {"query_id": id, "vec_id": ids, "score": scores}
+            parts.append(pd.DataFrame(found, dtype="int64"))
         return pd.concat(parts)
 
     return run

@@ -1,20 +1,24 @@
 """Document fingerprints by a homomorphic multiset hash.
 
 A paragraph is hashed to a wide vector, and a document's fingerprint is the sum of its paragraphs'
-vectors, lane by lane modulo a power of two. So it doesn't depend on the paragraphs' order, it counts
-repeats, and a paragraph is inserted or deleted by adding or subtracting its vector, without the rest of the text.
+vectors, lane by lane modulo a power of two. So it doesn't depend on the paragraphs' order, it
+counts repeats, and a paragraph is inserted or deleted by adding or subtracting its vector, without
+the rest of the text.
 
-A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are independent hashes of the whole paragraph: they tell
-equal multisets from different ones. The ``LIKE`` lanes, modulo 2^56, estimate how much two documents share: each sentence of
-the paragraph adds +1 or -1, by its hash, to one of ``BINS`` counters, seven of them packed in a lane. In the difference of two
-fingerprints the shared sentences cancel, so the counters' sum of squares estimates how many are not shared.
+A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are independent hashes of the whole
+paragraph: they tell equal multisets from different ones. The ``LIKE`` lanes, modulo 2^56, estimate
+how much two documents share: each sentence of the paragraph adds +1 or -1, by its hash, to one of
+``BINS`` counters, seven of them packed in a lane. In the difference of two fingerprints the shared
+sentences cancel, so the counters' sum of squares estimates how many are not shared.
 
 Everything is DataFrame expressions over one row, without a shuffle.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,8 +122,8 @@ def digest(fingerprints: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """What two documents share of their sentences, estimated from fingerprints: 0 to 1.
 
-    1 for equal multisets of paragraphs, otherwise ``1 - |a - b|^2 / (|a|^2 + |b|^2)`` over the counters,
-    where negative estimates are 0.
+    1 for equal multisets of paragraphs, otherwise ``1 - |a - b|^2 / (|a|^2 + |b|^2)`` over the
+    counters, where negative estimates are 0.
     """
     equal = reduce(lambda x, y: x & y, (a[i] == b[i] for i in range(EXACT)))
     lanes = range(EXACT, EXACT + LIKE)
@@ -156,8 +160,9 @@ def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text
     Next is the next row by id, for the last one the first.
 
     Rows are dealt into slices of the id order, found by quantiles, and each slice is sorted on its
-    own; a slice's first rows are also given to the slice before as the end of its order. So one shuffle moves
-    each text once. Rows of one id go by text; rows without id come first. A null text is an empty one.
+    own; a slice's first rows are also given to the slice before as the end of its order. So one
+    shuffle moves each text once. Rows of one id go by text; rows without id come first. A null
+    text is an empty one.
     """
     rows = pick(docs, id=id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("fingerprint", fingerprint(F.col("text")))
@@ -168,25 +173,17 @@ def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text
         F.min("id").alias("min"),
         F.max(F.col("id").isNull()).alias("nulls"),
     ).first()
-    # As many numbers as there are slices. Each slice begins with a cut; the first with the smallest id, or null.
+    # A slice begins with its cut; the first with the smallest id, or with the rows without one.
     cuts = sorted(set(found["cuts"] or []) - {found["min"]})
     lowest = F.col("id").isNull() if found["nulls"] else F.col("id") == F.lit(found["min"])
-    step = max(1, int(len(cuts) ** 0.5))
-    coarse = F.array(*(F.lit(c) for c in cuts[::step])).cast("array<bigint>")
-    fine = F.array(*(F.array(*(F.lit(c) for c in cuts[k : k + step])) for k in range(0, len(cuts), step)))
-    group = F.size(F.filter(coarse, lambda c: c <= F.col("id")))
-    part = F.size(F.filter(F.get(fine.cast("array<array<bigint>>"), F.col("group") - 1), lambda c: c <= F.col("id")))
-    own = F.when(F.col("group") > 0, (F.col("group") - 1) * step + part).otherwise(0)
-    placed = rows.withColumn("group", F.when(F.col("id").isNull(), 0).otherwise(group))
-    placed = placed.withColumn("own", own.cast("int"))
-    begins = F.when(lowest, F.lit(len(cuts))).when(
-        F.array_contains(F.get(fine.cast("array<array<bigint>>"), F.col("group") - 1), F.col("id")), F.col("own") - 1
-    )
-    # False sorts before true: what is lent to the slice before comes after its own rows.
+    placed = _sliced(rows, cuts)
+    # The first rows of a slice are lent to the slice before; those of the first slice to the last.
+    before = F.when(lowest, len(cuts)).when(F.col("is_cut"), F.col("own") - 1)
+    # False sorts before true: what is lent comes after the slice's own rows.
     seats = F.array_compact(
         F.array(
             F.struct(F.col("own").alias("slice"), F.lit(False).alias("lent")),
-            F.when(begins.isNotNull(), F.struct(begins.cast("int").alias("slice"), F.lit(True).alias("lent"))),
+            F.when(before.isNotNull(), F.struct(before.alias("slice"), F.lit(True).alias("lent"))),
         )
     )
     own = ["id", "text", "fingerprint"]
@@ -194,3 +191,27 @@ def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text
     order = Window.partitionBy("slice").orderBy("lent", "id", "text")
     nexts = {f"next_{name}": F.lead(name).over(order) for name in own[1:]}
     return seated.withColumns(nexts).where("not lent").drop("slice", "lent")
+
+
+def _sliced(rows: DataFrame, cuts: list[int]) -> DataFrame:
+    """``rows`` with ``own``, the number of cuts up to the id, and whether the id ``is_cut``.
+
+    Cuts are looked up in two steps, first the run of cuts and then the cut in the run.
+    """
+    step = max(1, isqrt(len(cuts)))
+    runs = [cuts[k : k + step] for k in range(0, len(cuts), step)]
+    heads = _constant([run[0] for run in runs], "array<bigint>")
+    run = F.get(_constant(runs, "array<array<bigint>>"), F.col("run") - 1)
+    upto = F.size(F.filter(F.col("cuts"), lambda cut: cut <= F.col("id")))
+    return (
+        rows.withColumn("run", F.size(F.filter(heads, lambda cut: cut <= F.col("id"))))
+        .withColumn("cuts", F.coalesce(F.when(F.col("run") > 0, run), F.array().cast("array<bigint>")))
+        .withColumn("own", F.greatest(F.lit(0), (F.col("run") - 1) * step + upto))
+        .withColumn("is_cut", F.coalesce(F.array_contains("cuts", F.col("id")), F.lit(False)))
+        .drop("run", "cuts")
+    )
+
+
+def _constant(values: list, kind: str) -> Column:
+    """A nested list as one constant; as columns, thousands of numbers would slow planning down."""
+    return F.from_json(F.lit(json.dumps(values)), kind)

@@ -1,7 +1,7 @@
 """SQL for the queries that SQL can express.
 
-The others depend on hashes, tokenizers or trained models that SQL doesn't have; tests compare them with
-brute force.
+The others depend on hashes, tokenizers or trained models that SQL doesn't have; tests compare them
+with brute force.
 """
 
 from __future__ import annotations

@@ -1,9 +1,9 @@
 """Sharding by a hierarchical weighted hash tree.
 
-Shards are leaves under racks under regions. A row descends level by level: each child draws a number
-from the row's key and the child's name, weighted by the weight of the child's subtree, and the best
-draw wins. A child's draw depends on nothing but its own weight, so if weights change, rows
-move only into subtrees that became heavier or out of ones that became lighter.
+Shards are leaves under racks under regions. A row descends level by level: each child draws a
+number from the row's key and the child's name, weighted by the weight of the child's subtree, and
+the best draw wins. A child's draw depends on nothing but its own weight, so if weights change,
+rows move only into subtrees that became heavier or out of ones that became lighter.
 """
 
 from __future__ import annotations
@@ -50,8 +50,8 @@ class Tree:
     def grown(self, weight: float = 1.0) -> Tree:
         """The tree with one more shard, in a region of its own.
 
-        Under an existing region, that region would win rows from others, and these would come to rest in
-        any of its shards. A new region takes rows only into the new shard.
+        Under an existing region, that region would win rows from others, and these would come to
+        rest in any of its shards. A new region takes rows only into the new shard.
         """
         number = max((s.number for s in self.shards), default=-1) + 1
         return Tree((*self.shards, Shard(f"region+{number}", f"rack+{number}", number, weight)))
@@ -98,10 +98,10 @@ def assign(
 ) -> DataFrame:
     """``(id, size, text_crc32, law, shard, slot, grown_shard)`` per row of ``docs``.
 
-    ``size`` is the text's bytes and one more, ``slot`` the row's place in its shard, gapless from 0.
-    The shard depends on the id and the tree alone, so rows of one id share a shard, and rows without id, too; each
-    repeated row gets a slot of its own. A null text is an empty one. ``grown_shard`` is the shard with one more of them.
-    An empty table gives an empty result.
+    ``size`` is the text's bytes and one more, ``slot`` the row's place in its shard, gapless from
+    0. The shard depends on the id and the tree alone, so rows of one id share a shard, and rows
+    without id, too; each repeated row gets a slot of its own. A null text is an empty one.
+    ``grown_shard`` is the shard with one more of them. An empty table gives an empty result.
     """
     key = F.coalesce(F.col("id").cast("string"), F.lit(""))
     rows = pick(docs, id=id, text=text).withColumn("text", utf8("text"))

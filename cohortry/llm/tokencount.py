@@ -1,8 +1,9 @@
 """Token counts of a document's sections by offset-mapped attribution.
 
-A document is encoded once, as a whole; counting each section on its own would cut tokens differently at the seams.
-Tokens cover the text's bytes without gap or overlap, in order, so joining them with section spans is a look-up of the spans'
-bounds among token bounds. A token that crosses a section's bound is allocated by a rule:
+A document is encoded once, as a whole; counting each section on its own would cut tokens
+differently at the seams. Tokens cover the text's bytes without gap or overlap, in order, so
+joining them with section spans is a look-up of the spans' bounds among token bounds. A token that
+crosses a section's bound is allocated by a rule:
 
 - ``first``: to the sections that hold its first byte,
 - ``last``: to the sections that hold its last byte,
@@ -48,7 +49,9 @@ def character_bytes(data: bytes) -> np.ndarray:
 
 
 def token_spans(data: bytes, ids: Sequence[int], vocabulary: Vocabulary) -> list[tuple[int, int]]:
-    """Start and end of each token in characters; one that holds a part of a character spans all of it."""
+    """Start and end of each token in characters; one that holds a part of a character spans all of
+    it.
+    """
     places = character_bytes(data)
     ends = token_ends(ids, vocabulary)
     starts = np.append(0, ends[:-1]) if len(ends) else ends
@@ -57,11 +60,13 @@ def token_spans(data: bytes, ids: Sequence[int], vocabulary: Vocabulary) -> list
     return list(zip(first.tolist(), last.tolist(), strict=True))
 
 
-def attribute(data: bytes, ends: np.ndarray, spans: Sequence[Span], rule: str) -> tuple[np.ndarray, np.ndarray]:
+def attribute(
+    data: bytes, ends: np.ndarray, spans: Sequence[Span], rule: str
+) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of each span, and how many of them cross one of its bounds.
 
-    Spans are in characters and may overlap or leave gaps; what lies beyond the text counts for nothing, a
-    span without a bound or with its end before its start is empty.
+    Spans are in characters and may overlap or leave gaps; what lies beyond the text counts for
+    nothing, a span without a bound or with its end before its start is empty.
     """
     places = character_bytes(data)
     last = len(places) - 1
@@ -104,8 +109,12 @@ def lines(text: str) -> list[Span]:
     return found
 
 
-def with_fields(docs: DataFrame, fields: Sequence[str], text: str, sections: str, between: str = "\n") -> DataFrame:
-    """``docs`` with its fields joined to one ``text`` and their spans in ``sections``; null fields are empty."""
+def with_fields(
+    docs: DataFrame, fields: Sequence[str], text: str, sections: str, between: str = "\n"
+) -> DataFrame:
+    """``docs`` with its fields joined to one ``text`` and their spans in ``sections``; null fields
+    are empty.
+    """
     values = [F.coalesce(F.col(f), F.lit("")) for f in fields]
     spans, at = [], F.lit(0)
     for field, value in zip(fields, values, strict=True):
@@ -124,11 +133,13 @@ def section_tokens(
     text: str = "text",
     sections: str | None = None,
 ) -> DataFrame:
-    """``(id, section, start, end, tokens, crossing, document_tokens)`` per section of each row of ``docs``.
+    """``(id, section, start, end, tokens, crossing, document_tokens)`` per section of each row of
+    ``docs``.
 
-    ``sections`` names a column of ``array<struct<section, start, end>>`` with spans in characters; without it, sections are
-    the lines. Spans come out as given. A null text is an empty one; null or no sections give no row, null spans no tokens.
-    Repeated rows and rows without id are counted like any other.
+    ``sections`` names a column of ``array<struct<section, start, end>>`` with spans in characters;
+    without it, sections are the lines. Spans come out as given. A null text is an empty one; null
+    or no sections give no row, null spans no tokens. Repeated rows and rows without id are counted
+    like any other.
     """
     if rule not in RULES:
         raise ValueError(f"rule {rule!r} is none of {', '.join(RULES)}")
@@ -165,7 +176,10 @@ def _counted(
         if given is None:
             spans = lines(text)
         else:
-            spans = [(s["section"], s["start"], s["end"]) if s else (None, None, None) for s in given[i] or ()]
+            spans = [
+                (s["section"], s["start"], s["end"]) if s else (None, None, None)
+                for s in given[i] or ()
+            ]
         ends = token_ends(ids, encoder.vocabulary)
         tokens, crossing = attribute(text.encode(), ends, spans, rule)
         owners += [i] * len(spans)

@@ -1,8 +1,8 @@
 """URL filters: host-suffix and path-prefix expressions matched by hash prefix.
 
-Each URL is expanded into all pairs of a host suffix and a path prefix that a rule could be made of.
-Expressions meet rules by equi-join on a short prefix of their hash; the full digests then confirm the
-match, and of the confirmed rules the longest decides.
+Each URL is expanded into all pairs of a host suffix and a path prefix that a rule could be made
+of. Expressions meet rules by equi-join on a short prefix of their hash; the full digests then
+confirm the match, and of the confirmed rules the longest decides.
 """
 
 from __future__ import annotations
@@ -53,11 +53,12 @@ def _rest(url: Column) -> Column:
 def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``urls`` with its ``url_host``, ``url_path``, ``url_rule`` and ``url_verdict``.
 
-    ``rules`` has host, path and verdict; rules without host, path or verdict fit nothing. The longest rule (host and path
-    together) wins, then the one with the longer host, then, for rules given twice with both verdicts, "block".
-    Where no rule fits, the verdict is ``default`` and the rule null. A null URL, or one without ``://``, has an
-    empty host and path, which no rule fits. Rows come out as they come in, also repeated ones; columns of ``urls`` of
-    those four names are replaced.
+    ``rules`` has host, path and verdict; rules without host, path or verdict fit nothing. The
+    longest rule (host and path together) wins, then the one with the longer host, then, for rules
+    given twice with both verdicts, "block". Where no rule fits, the verdict is ``default`` and the
+    rule null. A null URL, or one without ``://``, has an empty host and path, which no rule fits.
+    Rows come out as they come in, also repeated ones; columns of ``urls`` of those four names are
+    replaced.
     """
     known = rules.where("host <> '' and path is not null and verdict is not null").select(
         "host",

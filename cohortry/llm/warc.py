@@ -1,12 +1,12 @@
 """WARC records in ZIP packages: written in bounded packages, read by range without extraction.
 
-A package is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz``, one gzip member per
-record, and ``indexes/index.cdxj``, which names each record's place in the archive. A reader parses the end of the
-file, the ZIP64 end if there is one, and the central directory; it then knows where in the file the members' bytes
-are and reads single records by offset and length.
+A package is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz``, one
+gzip member per record, and ``indexes/index.cdxj``, which names each record's place in the archive.
+A reader parses the end of the file, the ZIP64 end if there is one, and the central directory; it
+then knows where in the file the members' bytes are and reads single records by offset and length.
 
-Tasks write and read packages through ``pyarrow.fs``, so the folder is any that its file systems reach from all
-executors: a shared mount, HDFS or an object store.
+Tasks write and read packages through ``pyarrow.fs``, so the folder is any that its file systems
+reach from all executors: a shared mount, HDFS or an object store.
 """
 
 from __future__ import annotations
@@ -62,8 +62,8 @@ class Member:
 def members(file: pa.NativeFile) -> dict[str, Member]:
     """The members of a ZIP file by name, from its central directory.
 
-    Only directories are read: the end of the file and each member's local header. A compressed member is an
-    error, as its bytes can't be read by range.
+    Only directories are read: the end of the file and each member's local header. A compressed
+    member is an error, as its bytes can't be read by range.
     """
     offset, size, count = _directory(file)
     data, at, found = _range(file, offset, size), 0, {}
@@ -230,8 +230,9 @@ def read_package(file: pa.NativeFile) -> Iterator[dict]:
 def references(pages: DataFrame, min_bytes: int) -> DataFrame:
     """``(of, digest, refers_to)`` for the rows that repeat the payload of a larger id.
 
-    Of equal payloads of at least ``min_bytes`` the largest id's is the response. Only ids and digests move here; a
-    payload that very many pages share is reduced to one row per task before the shuffle.
+    Of equal payloads of at least ``min_bytes`` the largest id's is the response. Only ids and
+    digests move here; a payload that very many pages share is reduced to one row per task before
+    the shuffle.
     """
     thin = pages.where(F.octet_length("payload") >= min_bytes).select("id", "digest").distinct()
     largest = thin.groupBy(F.col("digest").alias("same")).agg(F.max("id").alias("refers_to"))
@@ -249,12 +250,14 @@ def write_packages(
     html: str = "html",
     min_bytes: int = 0,
 ) -> DataFrame:
-    """Writes a record per row of ``pages`` and returns ``(package, records)`` of the packages written.
-
-    Null html is an empty payload, a null URL is left out of its record. Rows without id get records without one, which refer to
-    the largest id with their payload or, if there is none, are responses. Repeated rows of the largest id
-    are all responses. Each task names its packages anew, and the returned table lists those of tasks
-    that succeeded, so a repeated task leaves no record twice. An empty table writes nothing.
+    """Writes a record per row of ``pages`` and returns ``(package, records)`` of the packages
+    written.
+
+    Null html is an empty payload, a null URL is left out of its record. Rows without id get
+    records without one, which refer to the largest id with their payload or, if there is none, are
+    responses. Repeated rows of the largest id are all responses. Each task names its packages
+    anew, and the returned table lists those of tasks that succeeded, so a repeated task leaves no
+    record twice. An empty table writes nothing.
     """
     rows = pick(pages, id=id, url=url, html=html)
     rows = rows.select("id", "url", utf8("html").alias("payload"))
