@@ -187,7 +187,9 @@ class Ring:
         )
 
     def keys(self, classes: DataFrame, masks: list[int]) -> DataFrame:
-        """A row per class, start and mask, with a ``key``: the start's number above the chain's bits."""
+        """A row per class, start and mask, with a ``key``: the start's number above the chain's
+        bits.
+        """
         rows = classes.withColumn("start", F.explode(F.expr(f"sequence(0L, {self.segments - 1}L)")))
         rows = rows.withColumn("mask", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))))
         low = self._turned(F.col("fp"), F.col("start")).bitwiseXOR(F.col("mask"))

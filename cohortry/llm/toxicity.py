@@ -1,10 +1,10 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences and is toxic if at least one of them is. Only
-documents are labelled, so sentence scores are trained through the noisy-or that
-combines them: ``P(document) = 1 - (1 - leak) * prod(1 - p(sentence))``. A sentence without any sign of toxicity
-has the score 0, so a text doesn't become suspicious by being long; the leak is what a text without
-any sign scores. The trained sentence scores then locate the offending sentences.
+A document is a bag of sentences and is toxic if at least one of them is. Only documents are
+labelled, so sentence scores are trained through the noisy-or that combines them: ``P(document) = 1
+- (1 - leak) * prod(1 - p(sentence))``. A sentence without any sign of toxicity has the score 0, so
+a text doesn't become suspicious by being long; the leak is what a text without any sign scores.
+The trained sentence scores then locate the offending sentences.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ _BIAS, _LEAK = -6.5, 0.01
 _SPARSITY, _RATE, _EPOCHS = 0.3, 1.0, 100
 _CACHED_WORDS = 200_000
 
+_SPAN = ("start", "end", "score")
 _PIECE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 _WORD = re.compile(r"\w+")
 
@@ -97,7 +98,8 @@ class Model:
 def fit(texts: Iterable[str], toxic: Sequence[int]) -> Model:
     """Noisy-or training by proximal AdaGrad on the documents' likelihood.
 
-    Features of fewer than five documents are left out, and weights that don't earn their place are zero.
+    Features of fewer than five documents are left out, and weights that don't earn their place are
+    zero.
     """
     cells, sizes, lengths = array("i"), array("i"), array("i")  # features of sentences of documents
     documents = np.zeros(_FEATURES, np.int32)
@@ -165,25 +167,20 @@ def train(
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, score, offending)`` per row of ``docs``.
 
-    ``offending`` lists start, end (in characters) and score of the sentences that are more
-    likely toxic than not. An empty or null text is one sentence without words and scores the leak. Rows come out as they come in, also repeated ones and those without id.
+    ``offending`` lists start, end (in characters) and score of the sentences that are more likely
+    toxic than not. An empty or null text is one sentence without words and scores the leak. Rows
+    come out as they come in, also repeated ones and those without id.
     """
     rows = pick(docs, id=id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    spans = pa.list_(
-        pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
-    )
+    kinds = pa.list_(pa.struct(list(zip(_SPAN, [pa.int32(), pa.int32(), pa.float64()]))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.judge(x) for x in batch.column(1).to_pylist()]
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array([s for s, _ in found], pa.float64()),
-                    pa.array([[dict(zip(("start", "end", "score"), x, strict=True)) for x in o] for _, o in found], spans),
-                ],
-                ["id", "score", "offending"],
-            )
+            scores = pa.array([s for s, _ in found], pa.float64())
+            offending = [[dict(zip(_SPAN, x, strict=True)) for x in spans] for _, spans in found]
+            columns = [batch.column(0), scores, pa.array(offending, kinds)]
+            yield pa.record_batch(columns, ["id", "score", "offending"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(
