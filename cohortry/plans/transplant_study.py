@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections import Counter
-from collections.abc import Callable, Collection, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -117,13 +117,13 @@ class Step:
     """A step of the study and the steps it builds on.
 
     ``build`` receives the study and the tables of ``inputs``, and reads each of
-    these ``passes`` times. A step that is ``cheap`` to derive is never stored; one that is
+    these once, or as often as ``passes`` says. A step that is ``cheap`` to derive is never stored; one that is
     ``decisive`` always is, as large tables are joined by what it turns out to be.
     """
 
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
-    passes: int = 1
+    passes: Mapping[str, int] = field(default_factory=dict)
     cheap: bool = False
     decisive: bool = False
 
@@ -178,7 +178,7 @@ def worth_keeping(*wanted: str) -> frozenset[str]:
         step = STEPS[name]
         times = reads[name] if step.cheap else min(reads[name], 1)
         for i in step.inputs:
-            reads[i] += times * step.passes
+            reads[i] += times * step.passes.get(i, 1)
     return frozenset(
         n for n, step in STEPS.items() if not step.cheap and reads[n] > (0 if step.decisive else 1)
     )
@@ -337,17 +337,21 @@ STEPS: dict[str, Step] = {
     "coded_procedures": Step((), _coded_procedures),
     "specialty_visits": Step((), _specialty_visits),
     "nephrology_visits": Step(
-        ("specialty_visits",), lambda s, v: _nephrology_visits(s, v, s.codes.in_person), passes=2
+        ("specialty_visits",),
+        lambda s, v: _nephrology_visits(s, v, s.codes.in_person),
+        passes={"specialty_visits": 2},
     ),
     "nephrology_visit_cohort": _cohort_of("nephrology_visits", cheap=False),
     "nephrology_visits_exp": Step(
         ("specialty_visits",),
         lambda s, v: _nephrology_visits(s, v, s.codes.in_person_expanded),
-        passes=2,
+        passes={"specialty_visits": 2},
     ),
     "nephrology_visit_cohort_exp": _cohort_of("nephrology_visits_exp", cheap=False),
     "glomerular_disease_cohort": Step(
-        ("coded_conditions", "coded_procedures"), _glomerular_disease_cohort, passes=2
+        ("coded_conditions", "coded_procedures"),
+        _glomerular_disease_cohort,
+        passes={"coded_conditions": 2},
     ),
     "glomerular_disease_cohort_w_neph": _seen_by_nephrology("glomerular_disease_cohort"),
     "nephrotic_subcohort": Step(
@@ -362,10 +366,12 @@ STEPS: dict[str, Step] = {
     "nephrotic_kt_src": Step(("nephrotic_subcohort", "coded_conditions"), _nephrotic_kt_src),
     "nephrotic_kt_src_cohort": _cohort_of("nephrotic_kt_src"),
     "nephrotic_kt_src_cohort_w_neph": _seen_by_nephrology("nephrotic_kt_src_cohort"),
-    "sle_conditions": Step(("coded_conditions",), _sle_conditions, passes=2),
+    "sle_conditions": Step(
+        ("coded_conditions",), _sle_conditions, passes={"coded_conditions": 2}
+    ),
     "sle_i_e_pats": _cohort_of("sle_conditions"),
     "sle_conditions_w_elig_visits": Step(
-        ("sle_conditions",), _sle_conditions_w_elig_visits, passes=2
+        ("sle_conditions",), _sle_conditions_w_elig_visits, passes={"sle_conditions": 2}
     ),
     "sle_i_e_pats_w_elig_visits": _cohort_of("sle_conditions_w_elig_visits"),
     "sle_biopsies": Step(
