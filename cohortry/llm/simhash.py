@@ -67,15 +67,29 @@ def simhash(data: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, id: str, text: str, shingle_words: int) -> DataFrame:
     """``(id, fp)`` per row, ``fp`` as a signed long."""
-    rows = pick(docs, id=id, text=text).withColumn("text", utf8("text"))
+    return _with_fingerprints(pick(docs, id=id, text=text), shingle_words)
+
+
+def _with_fingerprints(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """``rows`` with ``fp`` in place of the last column, the text."""
+    kept = rows.columns[:-1]
+    kinds = [f"{name} {rows.schema[name].dataType.simpleString()}" for name in kept]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [simhash(x, shingle_words) for x in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.int64())], ["id", "fp"])
+            found = [simhash(x, shingle_words) for x in batch.column(len(kept)).to_pylist()]
+            columns = [*batch.columns[:-1], pa.array(found, pa.int64())]
+            yield pa.record_batch(columns, [*kept, "fp"])
+
+    return rows.withColumn("text", utf8("text")).mapInArrow(run, ", ".join([*kinds, "fp long"]))
+
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, fp long")
+def row_key(id: str | Column, text: str | Column) -> Column:
+    """A digest of a row's id and text; it tells rows without id, or of one id, apart by text."""
+    name = (F.col(id) if isinstance(id, str) else id).cast("string")
+    # With its length, no id runs into the text; a row without id has neither.
+    named = F.coalesce(F.concat(F.length(name).cast("string"), F.lit(":"), name), F.lit(""))
+    return F.unhex(F.sha2(F.concat(F.concat(named, F.lit(":")).cast("binary"), utf8(text)), 256))
 
 
 def near_duplicates(
@@ -94,12 +108,7 @@ def near_duplicates(
     come in. An empty table gives an empty result.
     """
     rows = work.keep(fingerprints(docs, id, text, shingle_words), "fingerprints")
-    # Equal fingerprints are one class; a large group of copies is one row from here on.
-    classes = work.keep(rows.groupBy("fp").agg(F.min("id").alias("first")), "classes")
-    linked = _linked_classes(classes.select("fp"), work, max_distance)
-    grouped = classes.join(linked, classes["fp"] == linked["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    grouped = _grouped(rows, F.min("id"), work, max_distance)
     smallest = grouped.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("component"))
     named = work.keep(
         grouped.join(smallest, grouped["root"] == smallest["of"]).select(
@@ -110,6 +119,38 @@ def near_duplicates(
     return rows.join(named, rows["fp"] == named["class"]).select("id", "fp", "component")
 
 
+def keepers(
+    docs: DataFrame,
+    work: Workspace,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """The ``row_key`` of one row per group of near duplicates, as ``keeper``.
+
+    It is the group's row with the smallest id, of several the one with the smallest key; a row
+    without id is taken only where no row of the group has one.
+    """
+    keyed = pick(docs, id=id, text=text).select("id", row_key("id", "text").alias("key"), "text")
+    rows = work.keep(_with_fingerprints(keyed, shingle_words), "keyed")
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key"))
+    grouped = _grouped(rows, first, work, max_distance)
+    return grouped.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.key").alias("keeper")
+    )
+
+
+def _grouped(rows: DataFrame, first: Column, work: Workspace, max_distance: int) -> DataFrame:
+    """``(fp, first, root)`` per class: what of its rows comes ``first``, and its group's root."""
+    # Equal fingerprints are one class; a large group of copies is one row from here on.
+    classes = work.keep(rows.groupBy("fp").agg(first.alias("first")), "classes")
+    linked = _linked_classes(classes.select("fp"), work, max_distance)
+    return classes.join(linked, classes["fp"] == linked["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def _linked_classes(classes: DataFrame, work: Workspace, max_distance: int) -> DataFrame:
     """``(node, root)``: every class that is linked to a smaller one, with its group's root.
 

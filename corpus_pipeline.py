@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.llm import mixing, queries, simhash, toxicity
-from cohortry.llm.common import prepared, table
+from cohortry.llm.common import fresh, prepared, table
 from cohortry.sources.results import shared_folder
 
 
@@ -25,16 +25,17 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id.
 
-    Of repeated rows with that id, one stays. Groups in which no row has an id keep one row.
+    Of rows with that id the one with the smallest key stays, and of its repeats one. Groups in
+    which no row has an id keep one row. Rows are told apart by id and text, so an id with texts in
+    several groups may stay several times, as may rows without id.
     """
     work = prepared(spark)
-    found = simhash.near_duplicates(docs, work)
-    keepers = found.where(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct()
-    keepers = work.keep(keepers, "keepers")
-    # The join deals texts out by id, and repeated rows are dropped where they then are.
-    kept = docs.join(keepers, docs["doc_id"] == keepers["id"], "left_semi")
-    nameless = docs.where("doc_id is null").join(keepers.where("id is null"), how="left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(nameless.dropDuplicates(["doc_id"]))
+    keepers = work.keep(simhash.keepers(docs, work), "keepers")
+    key = fresh("key")
+    keyed = docs.withColumn(key, simhash.row_key("doc_id", "text"))
+    # The join deals texts out by key, and repeated rows are dropped where they then are.
+    kept = keyed.join(keepers, F.col(key) == F.col("keeper"), "left_semi")
+    return kept.dropDuplicates([key]).drop(key)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,3 +82,32 @@ def test_edge_documents(spark, monkeypatch, rows):
     mixed = corpus_pipeline.mix_sources(spark, clean, SF_DIR)
     assert mixed.columns == COLUMNS
     assert corpus_pipeline.encode(spark, mixed, SF_DIR).count() == mixed.count()
+
+
+NEAR = "one two three four five six seven eight nine ten eleven twelve "
+REPEATED = [
+    (3, NEAR * 9), (5, NEAR * 9 + "x"), (5, "quite another text, found nowhere else"), (5, "and a third one under that id"),
+    (None, NEAR * 9), (None, "first of those without an id"), (None, "second of those without an id, and longer"),
+    (None, "second of those without an id, and longer"), (None, None), (None, ""), (8, "a repeated row"), (8, "a repeated row"),
+]
+
+
+def test_groups_of_repeated_ids_keep_one_each(spark):
+    """A group is known by its fingerprints, not by the ids of its rows."""
+    docs = documents(spark, REPEATED).withColumn("n_chars", F.length("text")).select(*COLUMNS)
+    prints = {n: simhash.simhash((t or "").encode()) & (1 << 64) - 1 for n, (_, t) in enumerate(REPEATED)}
+    members = {}
+    for n, group in groups(prints).items():
+        members.setdefault(group, []).append(REPEATED[n])
+    assert prints[0] != prints[1] and len(members) == 7
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_near_duplicates(spark, docs, SF_DIR).collect()]
+    assert len(kept) == len(members)
+    for rows in members.values():
+        least = min((id for id, _ in rows if id is not None), default=None)
+        assert sum(row in kept for row in {(id, t) for id, t in rows if id == least}) == 1
+
+
+def test_keys_tell_ids_from_texts(spark):
+    rows = [(None, "1:2:x"), ("2", "x"), ("", "2:x"), (None, ":2:x"), ("1", "2:x"), ("1:2", "x")]
+    df = spark.createDataFrame(rows, "i string, t string")
+    assert df.select(simhash.row_key("i", "t")).distinct().count() == len(rows)
