@@ -188,6 +188,21 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     )
 
 
+def clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``THRESHOLD``, with all their columns.
+
+    Each row goes by its own text, whatever other rows of its id score. A null text is an empty one.
+    """
+    at = docs.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = (model.judge(x or "")[0] for x in batch.column(at).to_pylist())
+            yield batch.filter(pa.array([score < THRESHOLD for score in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _log_clean(signs):
     """log(1 - p) of a sentence: what its signs add to the odds of one without any."""
     return np.minimum(0.0, np.logaddexp(0, _BIAS) - np.logaddexp(0, signs + _BIAS))

@@ -13,13 +13,12 @@ from cohortry.sources.results import shared_folder
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't rejected as toxic; the model is learnt from the labels."""
-    work = prepared(spark)
-    scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir))
-    rejected = work.keep(
-        scored.where(F.col("score") >= toxicity.THRESHOLD).select("id").distinct(), "rejected"
-    )
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["id"]), "left_anti")
+    """Documents that aren't rejected as toxic, each row by its own text.
+
+    The model is learnt from the labels.
+    """
+    prepared(spark)
+    return toxicity.clean(docs, queries.toxicity_model(spark, docs, sf_dir))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

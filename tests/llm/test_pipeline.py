@@ -111,3 +111,15 @@ def test_keys_tell_ids_from_texts(spark):
     rows = [(None, "1:2:x"), ("2", "x"), ("", "2:x"), (None, ":2:x"), ("1", "2:x"), ("1:2", "x")]
     df = spark.createDataFrame(rows, "i string, t string")
     assert df.select(simhash.row_key("i", "t")).distinct().count() == len(rows)
+
+
+def test_toxic_rows_go_by_their_own_text(spark, monkeypatch):
+    model = toxicity.Model({f: 50.0 for f in toxicity.features("vile")})
+    monkeypatch.setattr(queries, "toxicity_model", lambda *_: model)
+    stay = [(None, "no id, and clean"), (None, "another clean text"), (None, None), (5, "clean"), (5, "clean"), (6, "")]
+    go = [(None, "vile words"), (5, "such vile words"), (7, "vile"), (7, "vile")]
+    docs = documents(spark, [*stay, *go]).withColumn("n_chars", F.length("text")).select(*COLUMNS)
+    kept = corpus_pipeline.reject_toxic(spark, docs, SF_DIR)
+    assert kept.columns == COLUMNS
+    expected = [(id, t, "en", "src1", None if t is None else len(t)) for id, t in stay]
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, expected))
