@@ -6,10 +6,10 @@ counts repeats, and a paragraph is inserted or deleted by adding or subtracting
 the rest of the text.
 
 A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are independent hashes of the whole
-paragraph: they tell equal multisets from different ones. The ``LIKE`` lanes, modulo 2^56, estimate
+paragraph: they tell equal multisets from different ones. The ``LIKE`` lanes, modulo 2^32 too, estimate
 how much two documents share: each sentence of the paragraph adds +1 or -1, by its hash, to one of
-``BINS`` counters, seven of them packed in a lane. In the difference of two fingerprints the shared
-sentences cancel, so the counters' sum of squares estimates how many are not shared.
+them. In the difference of two fingerprints the shared sentences cancel, so the lanes' sum of squares
+estimates how many are not shared. A text has at most 2^31 bytes, so no lane leaves its signed range.
 
 Everything is DataFrame expressions over one row, without a shuffle.
 """
@@ -17,7 +17,6 @@ Everything is DataFrame expressions over one row, without a shuffle.
 from __future__ import annotations
 
 import json
-from functools import reduce
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,10 +24,13 @@ from pyspark.sql import functions as F
 
 from cohortry.llm.common import pick
 
-EXACT, LIKE = 8, 16
-_EXACT_BITS, _COUNTER_BITS, _COUNTERS = 32, 8, 7
-_LIKE_BITS = _COUNTER_BITS * _COUNTERS
+EXACT, LIKE = 8, 128
+_BITS = 32
+#: Counters in a LIKE lane.
+_COUNTERS = 1
 BINS = LIKE * _COUNTERS
+#: Bits by which hashes are parted into bins, a few at a time, from the highest on.
+_PARTINGS = (2, 2, 3)
 #: Slices of the documents in id order, per shuffle partition.
 SLICES_PER_PARTITION = 10
 
@@ -59,37 +61,42 @@ def _once(value: Column, then) -> Column:
 
 def _lanes(whole: Column, pieces: Column) -> Column:
     """The sums of the lanes over hashes of paragraphs and of sentences."""
-    low = F.lit((1 << _EXACT_BITS) - 1)
+    low = F.lit((1 << _BITS) - 1)
     exact = [
-        _sum(whole, lambda h, i=i: F.xxhash64(h, F.lit(i)).bitwiseAND(low), _EXACT_BITS)
-        for i in range(EXACT)
+        _sum(whole, lambda h, i=i: F.xxhash64(h, F.lit(i)).bitwiseAND(low)) for i in range(EXACT)
     ]
-    like = [_sum(_of_lane(pieces, i), _counter, _LIKE_BITS) for i in range(LIKE)]
-    return F.array(*exact, *like)
+    return F.concat(F.array(*exact), F.transform(_binned(pieces), lambda bin: _sum(bin, _sign)))
 
 
-def _sum(values: Column, term, bits: int) -> Column:
+def _sum(values: Column, term) -> Column:
     # Terms are far below 2^63, so the sum can't overflow before it is reduced.
     total = F.aggregate(values, F.lit(0).cast("long"), lambda total, v: total + term(v))
-    return _modulo(total, bits)
+    return _modulo(total)
 
 
-def _of_lane(hashes: Column, lane: int) -> Column:
-    return F.filter(hashes, lambda h: F.shiftrightunsigned(h, 60) == lane)
+def _binned(hashes: Column) -> Column:
+    """The hashes of each bin, as an array of ``BINS`` arrays."""
+    parts, shift = F.array(hashes), 64
+    for bits in _PARTINGS:
+        shift -= bits
+        parts = F.flatten(F.transform(parts, _parted(shift, bits)))
+    return parts
 
 
-def _counter(h: Column) -> Column:
-    shift = ((F.shiftrightunsigned(h, 8).bitwiseAND(F.lit(0xFFFF)) % _COUNTERS) * _COUNTER_BITS).cast("int")
-    unit = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
-    return F.when(h.bitwiseAND(F.lit(1)) == 1, unit).otherwise(-unit)
+def _parted(shift: int, bits: int):
+    def of(k: int):
+        low = F.lit((1 << bits) - 1)
+        return lambda h: F.shiftrightunsigned(h, shift).bitwiseAND(low) == k
 
+    return lambda part: F.array(*(F.filter(part, of(k)) for k in range(1 << bits)))
 
-def _modulo(value: Column, bits: int) -> Column:
-    return value.bitwiseAND(F.lit((1 << bits) - 1))
 
+def _sign(h: Column) -> Column:
+    return F.lit(1) - F.shiftleft(h.bitwiseAND(F.lit(1).cast("long")), 1)
 
-def _bits(lane: int) -> int:
-    return _EXACT_BITS if lane < EXACT else _LIKE_BITS
+
+def _modulo(value: Column) -> Column:
+    return value.bitwiseAND(F.lit((1 << _BITS) - 1))
 
 
 def insert(fingerprints: Column, paragraph: Column) -> Column:
@@ -103,20 +110,13 @@ def delete(fingerprints: Column, paragraph: Column) -> Column:
 
 
 def _combined(a: Column, b: Column, sign: int) -> Column:
-    def lanes(both: Column) -> Column:
-        sums = (both["a"][i] + sign * both["b"][i] for i in range(EXACT + LIKE))
-        return F.array(*(_modulo(total, _bits(i)) for i, total in enumerate(sums)))
-
-    return _once(F.struct(a.alias("a"), b.alias("b")), lanes)
+    return F.zip_with(a, b, lambda x, y: _modulo(x + sign * y))
 
 
 def digest(fingerprints: Column) -> Column:
     """All lanes in hexadecimal, as one string."""
-    return F.lower(
-        F.concat(
-            *(F.lpad(F.hex(fingerprints[i]), _bits(i) // 4, "0") for i in range(EXACT + LIKE))
-        )
-    )
+    lanes = F.transform(fingerprints, lambda lane: F.lpad(F.hex(lane), _BITS // 4, "0"))
+    return F.lower(F.array_join(lanes, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -125,33 +125,23 @@ def likeness(a: Column, b: Column) -> Column:
     1 for equal multisets of paragraphs, otherwise ``1 - |a - b|^2 / (|a|^2 + |b|^2)`` over the
     counters, where negative estimates are 0.
     """
-    equal = reduce(lambda x, y: x & y, (a[i] == b[i] for i in range(EXACT)))
-    lanes = range(EXACT, EXACT + LIKE)
-    apart = F.array(*(_modulo(a[i] - b[i], _LIKE_BITS) for i in lanes))
+    equal = F.slice(a, 1, EXACT) == F.slice(b, 1, EXACT)
     band = lambda f: F.slice(f, EXACT + 1, LIKE)
+    apart = F.zip_with(band(a), band(b), lambda x, y: _modulo(x - y))
     both = _squares(band(a)) + _squares(band(b))
     near = F.when(both > 0, 1 - _squares(apart) / both).otherwise(0.0)
     return F.when(equal, 1.0).otherwise(F.greatest(F.least(near, F.lit(1.0)), F.lit(0.0)))
 
 
 def _squares(lanes: Column) -> Column:
-    """Sum of squares of the counters packed in lanes.
+    """Sum of squares of the counters; a lane is a signed number modulo 2^32."""
+    half = F.lit(1 << (_BITS - 1))
 
-    Counters are signed digits: a lane is their sum with powers of 2^8, modulo 2^56. Half of each
-    digit's range is added to all of them first, so that none borrows from the next.
-    """
-    half = sum(1 << (_COUNTER_BITS * (k + 1) - 1) for k in range(_COUNTERS))
-
-    def of_lane(lane: Column) -> Column:
-        raised = _modulo(lane + F.lit(half), _LIKE_BITS)
-        squares = []
-        for k in range(_COUNTERS):
-            digit = F.shiftrightunsigned(raised, _COUNTER_BITS * k).bitwiseAND(F.lit((1 << _COUNTER_BITS) - 1))
-            count = digit - F.lit(1 << (_COUNTER_BITS - 1))
-            squares.append(count * count)
-        return reduce(lambda x, y: x + y, squares)
-
-    return F.aggregate(lanes, F.lit(0).cast("long"), lambda total, lane: total + of_lane(lane)).cast("double")
+    def square(lane: Column) -> Column:
+        count = (_modulo(lane + half) - half).cast("double")
+        return count * count
+
+    return F.aggregate(lanes, F.lit(0.0), lambda total, lane: total + square(lane))
 
 
 def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -120,3 +120,17 @@ def test_table(spark):
 def test_plan_is_native(spark):
     plan = queries.op3_fingerprints(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.mark.parametrize("k", [256, 512, 65536])
+def test_repeated_sentences_count_fully(spark, k):
+    """Half of a text that repeats one line is replaced: likeness is that of the true counts."""
+    line, other = "this very line is found again and again.", "something else is written here instead."
+    texts = [(line + "\n") * k, (line + "\n") * (k // 2) + (other + "\n") * (k // 2)]
+    df = spark.createDataFrame([tuple(texts)], "a string, b string")
+    df = df.select(multiset.fingerprint(F.col("a")).alias("a"), multiset.fingerprint(F.col("b")).alias("b"))
+    row = df.select(multiset.likeness(F.col("a"), F.col("b")).alias("near"), F.slice("a", multiset.EXACT + 1, multiset.LIKE).alias("lanes")).first()
+    # |a|^2 = k^2, |b|^2 = k^2 / 2, |a - b|^2 = k^2 / 2; lines may meet in a bin.
+    assert abs(row["near"] - 2 / 3) < 0.1
+    counts = [(lane + (1 << 31)) % (1 << 32) - (1 << 31) for lane in row["lanes"]]
+    assert all(c % k == 0 for c in counts) and any(counts)
