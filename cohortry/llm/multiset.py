@@ -7,9 +7,9 @@ the rest of the text.
 
 A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are independent hashes of the whole
 paragraph: they tell equal multisets from different ones. The ``LIKE`` lanes, modulo 2^32 too, estimate
-how much two documents share: each sentence of the paragraph adds +1 or -1, by its hash, to one of
-them. In the difference of two fingerprints the shared sentences cancel, so the lanes' sum of squares
-estimates how many are not shared. A text has at most 2^31 bytes, so no lane leaves its signed range.
+how much two documents share: each run of ``RUN`` words of the paragraph adds +1 or -1, by its hash,
+to one of them. In the difference of two fingerprints the shared runs cancel, so the lanes' sum of
+squares estimates how many are not shared. A text has at most 2^31 bytes, so no lane leaves its signed range.
 
 Everything is DataFrame expressions over one row, without a shuffle.
 """
@@ -31,6 +31,10 @@ _COUNTERS = 1
 BINS = LIKE * _COUNTERS
 #: Bits by which hashes are parted into bins, a few at a time, from the highest on.
 _PARTINGS = (2, 2, 3)
+#: Words that make up a run; the last runs of a paragraph are shorter.
+RUN = 4
+#: A word, or a character of what goes on for longer without a space, as some scripts do.
+_WORD = r"\S{1,24}+(?!\S)|\S"
 #: Slices of the documents in id order, per shuffle partition.
 SLICES_PER_PARTITION = 10
 
@@ -40,18 +44,27 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda p: p != "")
 
 
-def _sentences(text: Column) -> Column:
-    return F.filter(F.split(text, "[.!?\n]+ *"), lambda s: s != "")
-
-
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text, as an array of lanes; of an empty or null one all are 0."""
-    hashes = F.struct(_hashes(paragraphs(text)).alias("whole"), _hashes(_sentences(text)).alias("pieces"))
+    lines = F.coalesce(paragraphs(text), F.array().cast("array<string>"))
+    hashes = _once(lines, lambda ps: F.struct(_hashes(ps).alias("whole"), _pieces(ps).alias("pieces")))
     return _once(hashes, lambda h: _lanes(h["whole"], h["pieces"]))
 
 
 def _hashes(texts: Column) -> Column:
-    return F.coalesce(F.transform(texts, lambda t: F.xxhash64(t)), F.array().cast("array<bigint>"))
+    return F.transform(texts, lambda t: F.xxhash64(t))
+
+
+def _pieces(paragraphs: Column) -> Column:
+    """Hashes of the runs of words that begin at each word of the paragraphs."""
+
+    def runs(words: Column) -> Column:
+        # Hashes skip nulls, which stand after the last word.
+        following = lambda i: (F.get(words, i + n) for n in range(1, RUN))
+        return F.transform(words, lambda word, i: F.xxhash64(word, *following(i)))
+
+    words = lambda p: _hashes(F.regexp_extract_all(p, F.lit(_WORD), F.lit(0)))
+    return F.flatten(F.transform(paragraphs, lambda p: _once(words(p), runs)))
 
 
 def _once(value: Column, then) -> Column:
@@ -60,7 +73,7 @@ def _once(value: Column, then) -> Column:
 
 
 def _lanes(whole: Column, pieces: Column) -> Column:
-    """The sums of the lanes over hashes of paragraphs and of sentences."""
+    """The sums of the lanes over hashes of paragraphs and of runs of words."""
     low = F.lit((1 << _BITS) - 1)
     exact = [
         _sum(whole, lambda h, i=i: F.xxhash64(h, F.lit(i)).bitwiseAND(low)) for i in range(EXACT)
@@ -120,7 +133,7 @@ def digest(fingerprints: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """What two documents share of their sentences, estimated from fingerprints: 0 to 1.
+    """What two documents share of their runs of words, estimated from fingerprints: 0 to 1.
 
     1 for equal multisets of paragraphs, otherwise ``1 - |a - b|^2 / (|a|^2 + |b|^2)`` over the
     counters, where negative estimates are 0.

@@ -134,3 +134,31 @@ def test_repeated_sentences_count_fully(spark, k):
     assert abs(row["near"] - 2 / 3) < 0.1
     counts = [(lane + (1 << 31)) % (1 << 32) - (1 << 31) for lane in row["lanes"]]
     assert all(c % k == 0 for c in counts) and any(counts)
+
+
+def likenesses(spark, pairs):
+    df = spark.createDataFrame([(n, *pair) for n, pair in enumerate(pairs)], "n int, a string, b string")
+    df = df.select("n", multiset.fingerprint(F.col("a")).alias("a"), multiset.fingerprint(F.col("b")).alias("b"))
+    rows = df.select("n", multiset.likeness(F.col("a"), F.col("b")).alias("near")).collect()
+    return [r["near"] for r in sorted(rows)]
+
+
+@pytest.mark.parametrize("mark", [" ", "; ", "\u3002", ""])
+def test_one_long_sentence_shares_its_half(spark, mark):
+    """Texts without sentence marks, or without spaces, are like their edited text."""
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz" if mark.endswith(" ") else [chr(0x4E00 + i) for i in range(2000)]
+    pairs = []
+    for _ in range(8):
+        a, b = (mark.join("".join(draw.choices(letters, k=6)) for _ in range(200)) for _ in range(2))
+        half = len(a) // 2
+        pairs += [(a, a[:half] + b[half:]), (a, b)]
+    found = likenesses(spark, pairs)
+    for edited, following in zip(found[::2], found[1::2]):
+        assert edited > following and 0.2 < edited < 0.8
+
+
+def test_documents_are_nearest_to_their_own_half(spark):
+    """Every document of the table, except where so little text has chance in it."""
+    rows = queries.op3_fingerprints(spark, "/root/testdata/sf0.01").where("n_chars >= 1000").collect()
+    assert rows and all(r["near_edited"] > r["near_next"] for r in rows if r["near_next"] < 0.3)
