@@ -5,7 +5,7 @@ vectors, lane by lane modulo a power of two. So it doesn't depend on the paragra
 counts repeats, and a paragraph is inserted or deleted by adding or subtracting its vector, without
 the rest of the text.
 
-A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are independent hashes of the whole
+A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are cut from the SHA-256 of the whole
 paragraph: they tell equal multisets from different ones. The ``LIKE`` lanes, modulo 2^32 too, estimate
 how much two documents share: each run of ``RUN`` words of the paragraph adds +1 or -1, by its hash,
 to one of them. In the difference of two fingerprints the shared runs cancel, so the lanes' sum of
@@ -47,10 +47,14 @@ def paragraphs(text: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text, as an array of lanes; of an empty or null one all are 0."""
     lines = F.coalesce(paragraphs(text), F.array().cast("array<string>"))
-    hashes = _once(lines, lambda ps: F.struct(_hashes(ps).alias("whole"), _pieces(ps).alias("pieces")))
+    hashes = _once(lines, lambda ps: F.struct(_digests(ps).alias("whole"), _pieces(ps).alias("pieces")))
     return _once(hashes, lambda h: _lanes(h["whole"], h["pieces"]))
 
 
+def _digests(texts: Column) -> Column:
+    return F.transform(texts, lambda t: F.sha2(t.cast("binary"), 256))
+
+
 def _hashes(texts: Column) -> Column:
     return F.transform(texts, lambda t: F.xxhash64(t))
 
@@ -73,14 +77,16 @@ def _once(value: Column, then) -> Column:
 
 
 def _lanes(whole: Column, pieces: Column) -> Column:
-    """The sums of the lanes over hashes of paragraphs and of runs of words."""
-    low = F.lit((1 << _BITS) - 1)
-    exact = [
-        _sum(whole, lambda h, i=i: F.xxhash64(h, F.lit(i)).bitwiseAND(low)) for i in range(EXACT)
-    ]
+    """The sums of the lanes over digests of paragraphs and hashes of runs of words."""
+    exact = [_sum(whole, lambda d, i=i: _cut(d, i)) for i in range(EXACT)]
     return F.concat(F.array(*exact), F.transform(_binned(pieces), lambda bin: _sum(bin, _sign)))
 
 
+def _cut(digest: Column, lane: int) -> Column:
+    digits = _BITS // 4
+    return F.conv(F.substring(digest, 1 + digits * lane, digits), 16, 10).cast("long")
+
+
 def _sum(values: Column, term) -> Column:
     # Terms are far below 2^63, so the sum can't overflow before it is reduced.
     total = F.aggregate(values, F.lit(0).cast("long"), lambda total, v: total + term(v))

@@ -162,3 +162,12 @@ def test_documents_are_nearest_to_their_own_half(spark):
     """Every document of the table, except where so little text has chance in it."""
     rows = queries.op3_fingerprints(spark, "/root/testdata/sf0.01").where("n_chars >= 1000").collect()
     assert rows and all(r["near_edited"] > r["near_next"] for r in rows if r["near_next"] < 0.3)
+
+
+def test_exact_lanes_are_cut_from_the_paragraphs_digest(spark):
+    import hashlib
+
+    lines = ["first line", "second", "second", "été 文字"]
+    cuts = [[int(hashlib.sha256(t.encode()).hexdigest()[8 * i : 8 * i + 8], 16) for i in range(8)] for t in lines]
+    expected = "".join(f"{sum(lanes) % (1 << 32):08x}" for lanes in zip(*cuts))
+    assert prints(spark, "\n".join(lines))[0][: len(expected)] == expected
