@@ -10,12 +10,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import bpe, mixing, mtree, multiset, sharding, simhash, tokencount, toxicity, urlfilter, warc
+from cohortry.llm import (
+    alignment,
+    bpe,
+    mixing,
+    mtree,
+    multiset,
+    resample,
+    sharding,
+    simhash,
+    substring,
+    tokencount,
+    toxicity,
+    urlfilter,
+    warc,
+)
 from cohortry.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+ALIGNED_FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 #: Labels are learnt from rows whose crc32 of the id leaves another remainder by 3.
 HELD_OUT = 1
 
@@ -163,6 +178,25 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.cut_repeats(table(spark, sf_dir, "documents"), prepared(spark))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target, prepared(spark)).withColumnRenamed("id", "doc_id")
+
+
+def tokenizer_files() -> tuple[bytes, bytes]:
+    return tuple(Path(public_tokenizers.path(name)).read_bytes() for name in ALIGNED_FILES)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, prepared(spark), *tokenizer_files()).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         name: query

@@ -1,0 +1,103 @@
+"""Resampling against plain Python."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from edge import ROWS, documents, rows_of
+
+from cohortry.llm import queries, resample
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def features(text, longest):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    grams = [" ".join(words[i : i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
+    return len(words), [zlib.crc32(g.encode()) for g in grams]
+
+
+def brute(rows, target, longest=1, buckets=10_000, seed=2024, least_words=20, percent=10):
+    rows = [(id, *features(t, longest)) for id, t in rows]
+    s, t = Counter(), Counter()
+    for _, _, grams in rows:
+        s.update(g % buckets for g in grams)
+    for text in target:
+        t.update(g % buckets for g in features(text, longest)[1])
+    total_s, total_t = sum(s.values()), sum(t.values())
+    found = []
+    for id, n_words, grams in rows:
+        weight = 0
+        for g in grams:
+            b = g % buckets
+            weight += math.floor(1000 * math.log((t[b] + 1) * (total_s + buckets) / ((s[b] + 1) * (total_t + buckets))))
+        h = int(hashlib.sha256(f"{seed}:{'' if id is None else id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        found.append([id, len(grams), weight, score, None, n_words])
+    able = sorted((r for r in found if r[5] >= least_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    for rank, row in enumerate(able[: percent * len(able) // 100], 1):
+        row[4] = rank
+    return sorted((tuple(r[:5]) for r in found), key=repr)
+
+
+def found_by(df, target, work, **options):
+    found = resample.resample(df, target, work, **options)
+    return rows_of(found, "id", "n_features", "weight", "score", "rank")
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    target = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+    expected = brute([(r["doc_id"], r["text"]) for r in docs], [r["text"] for r in target])
+    found = queries.op12_resample(spark, SF_DIR)
+    assert rows_of(found, "doc_id", "n_features", "weight", "score", "rank") == expected
+    assert sum(r[4] is not None for r in expected) > 50
+
+
+TARGET = ["one line and other words", None, "", "Words GO on"]
+
+
+@pytest.mark.parametrize("clashes, options", [
+    (False, {}), (True, {"percent": 100, "least_words": 0}), (False, {"percent": 50, "least_words": 2, "longest": 3}),
+    (False, {"percent": 0}), (True, {"buckets": 1, "percent": 100, "least_words": 1, "seed": 5}),
+])
+def test_edge_rows(spark, work, clashes, options):
+    target = spark.createDataFrame([(t,) for t in TARGET], "text string")
+    assert found_by(documents(spark, clashes=clashes), target, work, **options) == brute(ROWS, TARGET, **options)
+
+
+@pytest.mark.parametrize("rows, target", [([], TARGET), (ROWS, []), ([], [])])
+def test_empty_tables(spark, work, rows, target):
+    table = spark.createDataFrame([(t,) for t in target], "text string")
+    assert found_by(documents(spark, rows), table, work, least_words=1) == brute(rows, target, least_words=1)
+
+
+def test_many_repeated_rows_share_the_ranks(spark, work):
+    """Half of all rows are one row; each has a rank of its own, and the slices stay gapless."""
+    rows = [(3, "the same words again")] * 300 + [(id, f"text number {id} with words") for id in range(300)]
+    target = spark.createDataFrame([("the same words",)], "text string")
+    options = {"percent": 80, "least_words": 3}
+    found = found_by(documents(spark, rows).repartition(6), target, work, **options)
+    assert found == brute(rows, ["the same words"], **options)
+    assert sorted(r[4] for r in found if r[4]) == list(range(1, 481))
+
+
+@pytest.mark.parametrize("hashed", [lambda g: 0, lambda g: len(g), lambda g: 2**64 - 1])
+def test_interning_survives_colliding_hashes(hashed):
+    """Equal keys are told apart by their bytes."""
+    grams = [w.encode() for w in "a bb a cc ddd a bb e f gg a".split()]
+    found = resample.intern(grams, 7, hashed)
+    slots = dict(zip(grams, found.slots.tolist()))
+    assert [slots[g] for g in grams] == found.slots.tolist() and len(set(slots.values())) == len(slots)
+    assert {g: int(found.counts[s]) for g, s in slots.items()} == Counter(grams)
+    assert all(found.buckets[s] == zlib.crc32(g) % 7 for g, s in slots.items())
+
+
+def test_interning_nothing():
+    found = resample.intern([], 7)
+    assert not len(found.slots) and not len(found.counts) and np.array_equal(found.buckets, found.counts)

@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from cohortry.llm import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ["documents", "embeddings", "pages", "labels"]
+TABLES = ["documents", "embeddings", "pages", "labels", "benchmark"]
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def db():
 
 def test_all_are_registered():
     names = [n.split("_")[0] for n in contract.queries() if n.startswith("op")]
-    assert [f"op{n}" for n in range(1, 11)] == sorted(names, key=lambda n: int(n[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted(names, key=lambda n: int(n[2:]))
     assert "pipeline" in contract.queries()
 
 
