@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Cohorts that a mask of 64 bits has room for.
+_BITS = 62
+
 
 def counted(spark: SparkSession, persons: Mapping[str, int], *, start: str = "start") -> DataFrame:
     """The rows of :func:`attrition` for numbers known already."""
@@ -18,20 +21,27 @@ def counted(spark: SparkSession, persons: Mapping[str, int], *, start: str = "st
 def attrition(cohorts: Mapping[str, DataFrame], *, start: str = "start") -> DataFrame:
     """One row (step_no, cohort, persons) per cohort, in order, after a seed row of 0.
 
-    All cohorts are counted by one aggregation; an empty one counts 0.
+    Each person gets a mask with a bit per cohort, so one row per person is shuffled, and not one per
+    person and cohort; the bits are then counted. An empty cohort counts 0, a row without person nothing.
     """
+    words = -(-len(cohorts) // _BITS)
+
+    def masks(no: int) -> list[Column]:
+        """A mask of as many words as it takes, with the cohort's bit set."""
+        bits = (1 << no % _BITS if no // _BITS == word else 0 for word in range(words))
+        return [F.lit(bit).cast("bigint").alias(f"_{word}") for word, bit in enumerate(bits)]
+
     tagged = reduce(
         DataFrame.union,
-        (
-            df.select(F.lit(no).alias("step_no"), "person_id")
-            for no, df in enumerate(cohorts.values(), start=1)
-        ),
+        (df.select("person_id", *masks(no)) for no, df in enumerate(cohorts.values())),
     )
-    counts = tagged.groupBy("step_no").agg(F.countDistinct("person_id").alias("persons"))
-    names = F.array(F.lit(start), *(F.lit(name) for name in cohorts))
-    steps = tagged.sparkSession.range(1).select(F.posexplode(names).alias("step_no", "cohort"))
-    return (
-        steps.join(counts, "step_no", "left")
-        .select("step_no", "cohort", F.coalesce("persons", F.lit(0)).alias("persons"))
-        .orderBy("step_no")
+    persons = (
+        tagged.where("person_id IS NOT NULL")
+        .groupBy("person_id")
+        .agg(*(F.bit_or(f"_{word}").alias(f"_{word}") for word in range(words)))
     )
+    has = (F.col(f"_{no // _BITS}").bitwiseAND(F.lit(1 << no % _BITS)) != 0 for no in range(len(cohorts)))
+    counts = persons.agg(F.array(F.lit(0).cast("bigint"), *(F.count_if(bit) for bit in has)).alias("persons"))
+    names = F.array(F.lit(start), *(F.lit(name) for name in cohorts))
+    rows = counts.select(F.posexplode(F.arrays_zip(names.alias("cohort"), "persons")).alias("step_no", "row"))
+    return rows.select("step_no", F.col("row.cohort").alias("cohort"), F.col("row.persons").alias("persons"))

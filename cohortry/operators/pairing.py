@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions import of_persons, own_shuffle
+from cohortry.sources.results import Keep, keep_aside
 
 _COLUMNS = [
     "condition_occurrence_id",
@@ -23,7 +24,9 @@ _COLUMNS = [
 ]
 
 
-def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
+def same_date_pair(
+    conditions: DataFrame, codeset: DataFrame, *, keep: Keep = keep_aside
+) -> DataFrame:
     """Listed conditions on dates when the person has a kidney-related and an SLE one.
 
     ``codeset`` marks its entries with 0/1 in ``kidney_related`` and ``sle``; one
@@ -32,11 +35,12 @@ def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
 
     The dates that qualify are found by aggregation, which reduces a crowded date
     to one row before it is matched with the condition rows. A null date is a date of its own.
+    The listed conditions are stored by ``keep``, so that conditions are read once.
     """
     listed = codeset.select(
         F.col("concept_id").alias("condition_concept_id"), "kidney_related", "sle"
     )
-    rows = conditions.join(listed, "condition_concept_id").select(*_COLUMNS)
+    rows = keep(conditions.join(listed, "condition_concept_id").select(*_COLUMNS), "listed_conditions")
     paired = (
         rows.groupBy("person_id", "condition_start_date")
         .agg(
@@ -61,10 +65,10 @@ def same_date_pair(conditions: DataFrame, codeset: DataFrame) -> DataFrame:
 
 
 def same_date_pair_for_cohort(
-    cohort: DataFrame, conditions: DataFrame, codeset: DataFrame
+    cohort: DataFrame, conditions: DataFrame, codeset: DataFrame, *, keep: Keep = keep_aside
 ) -> DataFrame:
     """:func:`same_date_pair` among the conditions of a cohort.
 
     A pair concerns a single person, so the cohort is applied first.
     """
-    return same_date_pair(of_persons(conditions, cohort), codeset)
+    return same_date_pair(of_persons(conditions, cohort), codeset, keep=keep)

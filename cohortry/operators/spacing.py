@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.defaults import WINDOW_END, WINDOW_START
@@ -18,6 +18,7 @@ from cohortry.functions import (
     within,
 )
 from cohortry.operators.specialty import at_specialty
+from cohortry.sources.results import Keep, keep_aside
 
 
 def spaced_specialty_visits(
@@ -31,6 +32,7 @@ def spaced_specialty_visits(
     last_day: dt.date = WINDOW_END,
     min_visits: int = 3,
     gap_days: int = 7,
+    keep: Keep = keep_aside,
 ) -> DataFrame:
     """Specialty visits of persons who were seen often and spaced out enough.
 
@@ -39,29 +41,39 @@ def spaced_specialty_visits(
     dates beyond the third need no spacing of their own. Returns all columns of
     the person's visits in the window, of a listed type, at a listed specialty,
     and ``distinct_dates``. Rows come in no order; a result table is sorted where it is written.
+    The specialty visits of the window are stored by ``keep``, so that visits are read and looked up once.
     """
     in_window = in_codes(
         visits.where(within("visit_start_date", first_day, last_day)),
         "visit_concept_id",
         visit_types,
     )
-    dates = at_specialty(
-        in_window.select("person_id", "visit_start_date", "provider_id", "care_site_id"),
-        provider,
-        care_site,
-        specialties,
-    )
-    # Narrow to the qualifying persons before the specialty look-ups.
-    theirs = _of_spaced_persons(in_window, dates, min_visits, gap_days)
-    return at_specialty(theirs, provider, care_site, specialties)
+    found = keep(at_specialty(in_window, provider, care_site, specialties), "specialty_visits")
+    return spaced_visits(found, min_visits=min_visits, gap_days=gap_days)
 
 
 def spaced_visits(visits: DataFrame, *, min_visits: int = 3, gap_days: int = 7) -> DataFrame:
     """:func:`spaced_specialty_visits` on visits known to be in the window, of type and specialty.
 
-    Reads ``visits`` twice, so they are better stored.
+    Reads ``visits`` twice, so they are better stored. A person's days are gathered as a set, which is no
+    longer than the calendar, however many visits there are; the rule is then put to the set.
     """
-    return _of_spaced_persons(visits, visits, min_visits, gap_days)
+    days = visits.groupBy("person_id").agg(F.array_sort(F.collect_set("visit_start_date")).alias("_days"))
+    days = days.where(F.size("_days") >= min_visits)
+    days = days.withColumns({"_first": F.get("_days", F.lit(0)), "_last": F.element_at("_days", -1)})
+
+    def is_middle(day: Column) -> Column:
+        return (F.datediff(day, "_first") >= gap) & (F.datediff("_last", day) >= gap)
+
+    gap = max(gap_days, 1)  # neither the first nor the last day
+    seen = days.where(F.exists("_days", is_middle))
+    seen = own_shuffle(seen.select("person_id", F.size("_days").cast("bigint").alias("distinct_dates")), "person_id")
+    return visits.join(seen, "person_id").select(
+        "person_id",
+        "visit_occurrence_id",
+        "distinct_dates",
+        *(c for c in visits.columns if c not in ("person_id", "visit_occurrence_id")),
+    )
 
 
 def two_codes_spread(conditions: DataFrame, *, min_days: int = 60) -> DataFrame:
@@ -102,25 +114,6 @@ def followup_at_least(visits: DataFrame, cohort: DataFrame, *, min_days: int = 6
     )
 
 
-def _of_spaced_persons(
-    visits: DataFrame, dates: DataFrame, min_visits: int, gap_days: int
-) -> DataFrame:
-    """Visits of the persons whose ``dates`` are many and spaced enough, with their number."""
-    seen = (
-        _date_spans(dates, ["person_id"], "visit_start_date")
-        .where(F.col("distinct_dates") >= min_visits)
-        .where(is_middle_date("visit_start_date", "first_date", "last_date", gap_days))
-        .select("person_id", "distinct_dates")
-        .distinct()
-    )
-    return visits.join(own_shuffle(seen, "person_id"), "person_id").select(
-        "person_id",
-        "visit_occurrence_id",
-        "distinct_dates",
-        *(c for c in visits.columns if c not in ("person_id", "visit_occurrence_id")),
-    )
-
-
 def _date_spans(rows: DataFrame, by: list[str], date: str) -> DataFrame:
     """One row per group and distinct date, with the group's first and last date and count.
 

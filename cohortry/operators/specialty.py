@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions import Codes, in_codes, of_persons, own_shuffle
+from cohortry.sources.results import Keep, keep_aside
 
 _VISIT_SPECIALTY = [
     "person_id",
@@ -77,10 +78,12 @@ def eligible_visits(
     visit_types: Codes,
     *,
     min_visits: int = 2,
+    keep: Keep = keep_aside,
 ) -> DataFrame:
     """Cohort visits of a listed type and specialty, for persons with enough of them.
 
-    Adds ``n_visits``, the person's distinct visits.
+    Adds ``n_visits``, the person's distinct visits. The visits found are stored by ``keep`` before they
+    are counted, so that visits are read and looked up once.
     """
     found = (
         _specialty_origins(
@@ -98,7 +101,7 @@ def eligible_visits(
         )
         .distinct()
     )
-    return _with_visit_count(found, min_visits)
+    return _with_visit_count(keep(found, "eligible_visits"), min_visits)
 
 
 def population_eligible_visits(
@@ -109,10 +112,12 @@ def population_eligible_visits(
     visit_types: Codes,
     *,
     min_visits: int = 2,
+    keep: Keep = keep_aside,
 ) -> DataFrame:
     """All visits of a listed type and specialty, for persons with enough of them.
 
-    One row per visit and origin; keeps the provider and care site ids.
+    One row per visit and origin; keeps the provider and care site ids. Stored as in
+    :func:`eligible_visits`.
     """
     columns = [
         "person_id",
@@ -133,7 +138,7 @@ def population_eligible_visits(
         .distinct()
         .select(*columns)
     )
-    return _with_visit_count(found, min_visits)
+    return _with_visit_count(keep(found, "population_eligible_visits"), min_visits)
 
 
 def persons_with_eligible_visits(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import time
 from collections import Counter
 from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -32,6 +33,7 @@ from cohortry.operators.spacing import spaced_visits
 from cohortry.operators.specialty import at_specialty
 from cohortry.sources import Cdm, ResultStore, TableStore, Workspace, codes_where, load_codeset
 from cohortry.sources.lazy import OpenedOnUse
+from cohortry.sources.results import Keep, as_stored, keep_aside
 
 
 class StudyCodes(OpenedOnUse[Codes]):
@@ -162,6 +164,10 @@ class TransplantStudy:
             self._tables[name] = self._keep(df, name) if name in self._kept else df
         return self._tables[name]
 
+    def storing(self, name: str) -> Keep:
+        """How an operator on a step stores rows that it reads twice: not at all if the step is kept."""
+        return as_stored if name in self._kept else keep_aside
+
     def attrition(self) -> DataFrame:
         """Persons left after each step, in one aggregation."""
         return attrition({name: self.table(name) for name in ATTRITION})
@@ -274,7 +280,9 @@ def _nephrotic_kt_src(s: TransplantStudy, cohort: DataFrame, conditions: DataFra
 
 
 def _sle_conditions(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
-    return incl_excl_conditions(conditions, s.codes.sle_included, s.codes.sle_excluded)
+    return incl_excl_conditions(
+        conditions, s.codes.sle_included, s.codes.sle_excluded, keep=s.storing("coded_conditions")
+    )
 
 
 def _sle_conditions_w_elig_visits(s: TransplantStudy, conditions: DataFrame) -> DataFrame:
@@ -439,7 +447,8 @@ def run_study(
 
     Each step reads the stored results of earlier ones. What is stored but is no result goes to a
     work folder that is removed at the end. The attrition table is written anew whenever
-    a counted step ends, so that a run that breaks off leaves the counts so far.
+    a counted step ends, so that a run that breaks off leaves the counts so far; with it a table
+    ``timing`` of the seconds that each step took, in order, with what was stored for it.
     """
     cdm.open_all()
     codes.open_all()
@@ -454,14 +463,21 @@ def run_study(
     kept = worth_keeping(*RESULTS, *ATTRITION) | set(RESULTS)
     study = TransplantStudy(cdm, codes, parameters, keep=keep, kept=kept)
     persons: dict[str, int] = {}
+    timing: list[tuple[int, str, float]] = []
     try:
         for name in (n for n in STEPS if n in RESULTS or n in ATTRITION):
             _log.info("step %s", name)
+            started = time.monotonic()
             rows = study.table(name)
             if name in ATTRITION:
                 persons[name] = rows.select("person_id").distinct().count()
+            timing.append((len(timing) + 1, name, time.monotonic() - started))
+            _log.info("%s: %.1f seconds", name, timing[-1][-1])
+            if name in ATTRITION:
                 _log.info("%s: %d persons", name, persons[name])
                 log = results.write(counted(spark, persons), "attrition")
+                seconds = spark.createDataFrame(timing, "step_no int, step string, seconds double")
+                results.write(seconds.coalesce(1), "timing")
         return log
     finally:
         work.close()

@@ -1,5 +1,5 @@
 from cohortry.sources.cdm import Cdm
-from cohortry.sources.codesets import codes_where, inline_codes, load_codeset
+from cohortry.sources.codesets import codes_where, inline_codes, load_codeset, unreadable_cells
 from cohortry.sources.results import ResultStore, TableStore, Workspace
 
 __all__ = [
@@ -10,4 +10,5 @@ __all__ = [
     "codes_where",
     "inline_codes",
     "load_codeset",
+    "unreadable_cells",
 ]

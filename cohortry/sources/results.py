@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +109,13 @@ class Workspace(ResultStore):
         self._kept[name] = df.schema
         return self.write(df, name)
 
+    def drop(self, name: str) -> None:
+        """Remove one table; DataFrames read from it can't be used any more."""
+        if found := self._folder():
+            path, files = found
+            files.delete(path.suffix(f"/{name}"), True)
+            self._kept.pop(name, None)
+
     def close(self) -> None:
         """Remove the tables; DataFrames read from them can't be used any more."""
         if found := self._folder():
@@ -131,6 +138,20 @@ class Workspace(ResultStore):
         return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
+#: How an operator stores rows that it reads more than once.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def keep_aside(df: DataFrame, name: str) -> DataFrame:
+    """Store ``df`` in a workspace of its own, which is removed when the application ends."""
+    return Workspace(df.sparkSession).keep(df, name)
+
+
+def as_stored(df: DataFrame, name: str) -> DataFrame:
+    """For rows that come from a stored table: reading it twice costs less than writing them again."""
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder or, where none is set, one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -621,5 +621,6 @@ def query_sql(name: str) -> str:
                 needed.append(word)
 
     visit(name)
-    chain = ",\n".join(f"{r} AS (\n{RELATIONS[r]}\n)" for r in needed)
+    # Materialized, so that a relation that many others name is worked out once.
+    chain = ",\n".join(f"{r} AS MATERIALIZED (\n{RELATIONS[r]}\n)" for r in needed)
     return f"WITH {chain}\n{RELATIONS[name]}" if needed else RELATIONS[name]

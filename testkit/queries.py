@@ -12,7 +12,8 @@ from cohortry.operators import disease, events, lupus, membership, pairing, spac
 from cohortry.plans import TransplantStudy
 from cohortry.plans.transplant_study import ATTRITION, STEPS, worth_keeping
 from cohortry.session import configure
-from cohortry.sources import Workspace, codes_where, load_codeset
+from cohortry.sources import Cdm, Workspace, codes_where, load_codeset
+from cohortry.sources.schema import CDM_COLUMNS
 from testkit import commerce
 from testkit.commerce import PARAMETERS
 
@@ -110,6 +111,18 @@ def result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workspace.read("visits")
 
 
+def _read_from_folder(name: str) -> Callable[[TransplantStudy], DataFrame]:
+    """A clinical table written to a folder and read as users read theirs."""
+
+    def read(s: TransplantStudy) -> DataFrame:
+        table = getattr(s.cdm, name)
+        workspace = Workspace(table.sparkSession)
+        workspace.write(table, name)
+        return getattr(Cdm.from_folder(table.sparkSession, workspace.root), name)
+
+    return read
+
+
 # Cohorts the operators are shown on.
 
 
@@ -140,13 +153,7 @@ def _nephritis_rows(s: TransplantStudy) -> DataFrame:
 
 
 _OPERATORS: dict[str, Callable[[TransplantStudy], DataFrame]] = {
-    "cdm_person": lambda s: s.cdm.person,
-    "cdm_visit_occurrence": lambda s: s.cdm.visit_occurrence,
-    "cdm_condition_occurrence": lambda s: s.cdm.condition_occurrence,
-    "cdm_procedure_occurrence": lambda s: s.cdm.procedure_occurrence,
-    "cdm_drug_exposure": lambda s: s.cdm.drug_exposure,
-    "cdm_provider": lambda s: s.cdm.provider,
-    "cdm_care_site": lambda s: s.cdm.care_site,
+    **{f"cdm_{name}": _read_from_folder(name) for name in CDM_COLUMNS},
     "add_site": lambda s: add_site(_biopsied(s), s.cdm.person),
     "spaced_specialty_visits": lambda s: spacing.spaced_specialty_visits(
         s.cdm.visit_occurrence,

@@ -7,6 +7,22 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+@pytest.fixture
+def kept(monkeypatch):
+    """The DataFrames that operators store while the test runs, after they were executed."""
+    from cohortry.sources import Workspace
+
+    found, keep = [], Workspace.keep
+
+    def recording(self, df, name):
+        df.collect()
+        found.append(df)
+        return keep(self, df, name)
+
+    monkeypatch.setattr(Workspace, "keep", recording)
+    return found
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     scratch = tmp_path_factory.mktemp("spark")

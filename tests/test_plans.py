@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from cohortry.operators import disease, events, membership, spacing, specialty
+from cohortry.operators import disease, events, membership, pairing, spacing, specialty
+from cohortry.operators.attrition import attrition
 from cohortry.sources import Cdm, Workspace
 from cohortry.sources.schema import CDM_COLUMNS
 from tests.tables import NEPHROLOGY, cdm, persons
@@ -31,7 +32,8 @@ def stored(spark):
 def _scans(df, table):
     """(pushed filters, columns read) of every scan of a table."""
     found = []
-    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    for line in plan.splitlines():
         if "FileScan parquet" in line and re.search(rf"paths\)\[[^\]]*/{table}\]", line):
             columns = re.search(r"FileScan parquet \[([^\]]*)\]", line)[1]
             pushed = re.search(r"PushedFilters: \[(.*)\], ReadSchema", line)[1]
@@ -39,18 +41,78 @@ def _scans(df, table):
     return found
 
 
-def test_window_and_columns_reach_the_visit_scan(spark, stored):
+def test_window_reaches_the_only_visit_scan(spark, stored, kept):
     df = spacing.spaced_specialty_visits(
         stored.visit_occurrence, stored.provider, stored.care_site, NEPHROLOGY, [9202]
     )
-    scans = _scans(df, "visit_occurrence")
-    assert len(scans) == 2
-    for pushed, _ in scans:
-        assert "GreaterThanOrEqual(visit_start_date,2009-01-01)" in pushed
-        assert "LessThanOrEqual(visit_start_date,2021-01-01)" in pushed
-    assert {"person_id", "visit_start_date", "visit_concept_id", "provider_id", "care_site_id"} in [
-        columns for _, columns in scans
-    ]
+    ((pushed, _),) = [scan for d in [*kept, df] for scan in _scans(d, "visit_occurrence")]
+    assert "GreaterThanOrEqual(visit_start_date,2009-01-01)" in pushed
+    assert "LessThanOrEqual(visit_start_date,2021-01-01)" in pushed
+
+
+def test_spacing_shuffles_days_once(spark, stored):
+    """One exchange gathers a person's days; the join needs one for each side."""
+    plan = spacing.spaced_visits(stored.visit_occurrence)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan.split("== Initial Plan ==")[-1])) <= 3
+    assert "Window" not in plan
+
+
+FLAGGED = "concept_id long, kidney_related int, sle int"
+READ_ONCE = {
+    "eligible_visits": lambda s, spark: specialty.eligible_visits(
+        s.visit_occurrence, persons(spark, 1), s.provider, s.care_site, NEPHROLOGY, [9202]
+    ),
+    "population_eligible_visits": lambda s, spark: specialty.population_eligible_visits(
+        s.visit_occurrence, s.provider, s.care_site, NEPHROLOGY, [9202]
+    ),
+    "incl_excl_conditions": lambda s, spark: membership.incl_excl_conditions(
+        s.condition_occurrence, [100], [200]
+    ),
+    "same_date_pair": lambda s, spark: pairing.same_date_pair(
+        s.condition_occurrence, spark.createDataFrame([(100, 1, 1)], FLAGGED)
+    ),
+    "same_date_pair_for_cohort": lambda s, spark: pairing.same_date_pair_for_cohort(
+        persons(spark, 1), s.condition_occurrence, spark.createDataFrame([(100, 1, 1)], FLAGGED)
+    ),
+}
+
+
+@pytest.mark.parametrize("name", READ_ONCE)
+def test_tables_are_read_once(spark, stored, kept, name):
+    df = READ_ONCE[name](stored, spark)
+    reads = [t for t in CDM_COLUMNS for d in [*kept, df] for _ in _scans(d, t)]
+    assert {"visit_occurrence", "condition_occurrence"} & set(reads)
+    assert len(reads) == len(set(reads))
+
+
+def _shuffled(df):
+    """Rows that each exchange of an executed plan wrote."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_attrition_shuffles_a_row_per_person(spark):
+    """Twenty cohorts of the same thousand persons, in two tasks: not twenty rows per person."""
+    everyone = Workspace(spark).keep(spark.range(1000).selectExpr("id AS person_id"), "everyone")
+    cohorts = {f"c{no}": everyone.where(f"person_id % {no + 1} = 0") for no in range(70)}
+    log = attrition({**cohorts, "none": everyone.where("person_id < 0")})
+    rows = [tuple(r) for r in log.collect()]
+    assert rows[0] == (0, "start", 0) and rows[-1] == (71, "none", 0)
+    assert [r[2] for r in rows[1:-1]] == [-(-1000 // (no + 1)) for no in range(70)]
+    # A person per cohort and task at most before they are merged, one row per task after.
+    assert log.columns == ["step_no", "cohort", "persons"]
+    assert sum(_shuffled(log)) <= sum(r[2] for r in rows) + 100
 
 
 def test_disease_cohort_scans(spark, stored):

@@ -166,7 +166,11 @@ def test_run_study_writes_every_result(spark, study, tmp_path):
         if name in persons and name in ATTRITION:
             assert persons[name] == len(stored)
     assert store.read("attrition").count() == len(ATTRITION) + 1
-    assert {p.name for p in (tmp_path / "results").iterdir()} == {*RESULTS, "attrition"}
+    assert {p.name for p in (tmp_path / "results").iterdir()} == {*RESULTS, "attrition", "timing"}
+    timing = store.read("timing").orderBy("step_no").collect()
+    steps = [name for name in STEPS if name in RESULTS or name in ATTRITION]
+    counted = [n for n, name in enumerate(steps, 1) if name in ATTRITION]
+    assert [r.step for r in timing] == steps[: counted[-1]] and all(r.seconds > 0 for r in timing)
     assert [r.cohort for r in log.orderBy("step_no").collect()] == ["start", *ATTRITION]
 
 

@@ -11,6 +11,7 @@ from cohortry.sources import (
     codes_where,
     inline_codes,
     load_codeset,
+    unreadable_cells,
 )
 from cohortry.sources.results import shared_folder
 from cohortry.sources.schema import conform
@@ -36,7 +37,7 @@ def test_quotes_line_ends_and_letters(spark, tmp_path):
         "q",
         '"concept_id","concept_name"\r\n"2000000469","Sjögren, ""primary"""\r\n"x","bad id"\r\n',
     )
-    assert rows_of(load_codeset(spark, str(tmp_path), "q")) == [
+    assert rows_of(load_codeset(spark, str(tmp_path), "q", allow_unreadable=True)) == [
         (2000000469, 'Sjögren, "primary"'),
         (None, "bad id"),
     ]
@@ -58,6 +59,29 @@ def test_column_type_letters(spark, tmp_path):
         load_codeset(spark, str(tmp_path), "t", "x")
 
 
+UNREADABLE = "concept_id,concept_name,other_code_req\n1,ok,1\n2x,bad id,0\n,no id,\n3,bad flag,yes\n"
+
+
+def test_unreadable_cells_are_an_error(spark, tmp_path):
+    """A list must not shrink without a word."""
+    _csv(tmp_path, "u", UNREADABLE)
+    with pytest.raises(ValueError, match="'u' has unreadable cells: '2x' in concept_id, 'yes' in other_code_req"):
+        load_codeset(spark, str(tmp_path), "u")
+    found = load_codeset(spark, str(tmp_path), "u", allow_unreadable=True)
+    assert rows_of(found, "concept_id", "other_code_req") == rows_of(
+        spark.createDataFrame([(1, 1), (None, 0), (None, None), (3, None)], "concept_id long, other_code_req int")
+    )
+    cells = rows_of(unreadable_cells(spark, str(tmp_path), "u"))
+    assert cells == [("2x", "concept_id", "bigint", "2x"), ("3", "other_code_req", "int", "yes")]
+
+
+def test_many_unreadable_cells_are_summed_up(spark, tmp_path):
+    _csv(tmp_path, "m", "concept_id\n" + "x\n" * 20)
+    with pytest.raises(ValueError, match="and others"):
+        load_codeset(spark, str(tmp_path), "m")
+    assert unreadable_cells(spark, str(tmp_path), "m").count() == 20
+
+
 def test_missing_list_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="codeset_hydroxychloroquine"):
         load_codeset(spark, str(tmp_path), "codeset_hydroxychloroquine")
