@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cohortry.functions import Codes, add_site, flag_codes, in_codes, of_persons, without_persons
+from cohortry.functions import Codes, add_site, in_any_codes, in_codes, of_persons, without_persons
 from cohortry.operators.specialty import persons_with_eligible_visits
 from cohortry.sources.results import Keep, keep_aside
 
@@ -23,17 +22,19 @@ CONDITION_ROW = [
 
 
 def incl_excl_conditions(
-    conditions: DataFrame, included: Codes, excluded: Codes, *, keep: Keep = keep_aside
+    conditions: DataFrame, included: Codes, excluded: Codes, *, keep: Keep | None = keep_aside
 ) -> DataFrame:
     """Distinct rows of included conditions, for persons with no excluded one ever.
 
-    Rows of either list are marked in one pass and stored by ``keep``; both sides read these.
+    Rows of either list are found in one pass and stored by ``keep``. Without it, as for conditions
+    that are stored and few already, these are read twice.
     """
-    flags = flag_codes(conditions.sparkSession, _included=included, _excluded=excluded)
-    listed = conditions.join(flags, F.col("condition_concept_id") == F.col("concept_id"))
-    listed = keep(listed.select(*CONDITION_ROW, "_included", "_excluded"), "listed_conditions")
-    rows = listed.where("_included").select(*CONDITION_ROW)
-    return without_persons(rows, listed.where("_excluded")).distinct()
+    if keep:
+        listed = in_any_codes(conditions, condition_concept_id=[included, excluded])
+        conditions = keep(listed.select(*CONDITION_ROW), "listed_conditions")
+    rows = in_codes(conditions, "condition_concept_id", included).select(*CONDITION_ROW)
+    barred = in_codes(conditions, "condition_concept_id", excluded)
+    return without_persons(rows, barred).distinct()
 
 
 def conditions_with_eligible_visits(

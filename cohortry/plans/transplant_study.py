@@ -33,7 +33,7 @@ from cohortry.operators.spacing import spaced_visits
 from cohortry.operators.specialty import at_specialty
 from cohortry.sources import Cdm, ResultStore, TableStore, Workspace, codes_where, load_codeset
 from cohortry.sources.lazy import OpenedOnUse
-from cohortry.sources.results import Keep, as_stored, keep_aside
+from cohortry.sources.results import Keep, keep_aside
 
 
 class StudyCodes(OpenedOnUse[Codes]):
@@ -164,9 +164,9 @@ class TransplantStudy:
             self._tables[name] = self._keep(df, name) if name in self._kept else df
         return self._tables[name]
 
-    def storing(self, name: str) -> Keep:
+    def storing(self, name: str) -> Keep | None:
         """How an operator on a step stores rows that it reads twice: not at all if the step is kept."""
-        return as_stored if name in self._kept else keep_aside
+        return None if name in self._kept else keep_aside
 
     def attrition(self) -> DataFrame:
         """Persons left after each step, in one aggregation."""

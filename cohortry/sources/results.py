@@ -147,11 +147,6 @@ def keep_aside(df: DataFrame, name: str) -> DataFrame:
     return Workspace(df.sparkSession).keep(df, name)
 
 
-def as_stored(df: DataFrame, name: str) -> DataFrame:
-    """For rows that come from a stored table: reading it twice costs less than writing them again."""
-    return df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder or, where none is set, one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
