@@ -1,16 +1,16 @@
 """Sharding by a hierarchical weighted hash tree.
 
-Shards are leaves under racks under regions. A row descends level by level: each child draws a
-number from the row's key and the child's name, weighted by the weight of the child's subtree, and
-the best draw wins. A child's draw depends on nothing but its own weight, so if weights change,
-rows move only into subtrees that became heavier or out of ones that became lighter.
+Shards are leaves under racks under regions. Each shard draws a number from the row's key and its own
+name, weighted by its own weight; a rack's draw is the best below it, a region's the best of its racks,
+so a subtree wins in proportion to the weight below it. A row descends from level to level into the
+child of the best draw. A draw depends on nothing but the key and the shard, so if weights change, rows
+move only into shards that became heavier or out of ones that became lighter, wherever these stand.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +20,10 @@ from cohortry.sources.results import Workspace
 
 #: Parts of a shard in which slots are counted on their own.
 PARTS = 1024
+#: Shards of a rack and racks of a region, where nothing else is said.
+PER_RACK, RACKS = 4, 2
 _LAW = "key"
+_LEVELS = ("region", "rack", "number")
 
 
 @dataclass(frozen=True)
@@ -38,54 +41,48 @@ class Tree:
     shards: tuple[Shard, ...]
 
     @staticmethod
-    def even(shards: int, per_rack: int = 4, racks: int = 2) -> Tree:
-        """Shards of weight 1, in racks of ``per_rack`` and regions of ``racks``."""
-        return Tree(
-            tuple(
-                Shard(f"region{n // per_rack // racks}", f"rack{n // per_rack}", n)
-                for n in range(shards)
-            )
-        )
+    def even(shards: int) -> Tree:
+        """So many shards of weight 1; the tree of one more is this one grown."""
+        tree = Tree(())
+        while len(tree.shards) < shards:
+            tree = tree.grown()
+        return tree
 
     def grown(self, weight: float = 1.0) -> Tree:
-        """The tree with one more shard, in a region of its own.
+        """The tree with one more shard, which takes rows into itself only.
 
-        Under an existing region, that region would win rows from others, and these would come to
-        rest in any of its shards. A new region takes rows only into the new shard.
+        It stands where its number says: racks and regions are filled one after the other.
         """
         number = max((s.number for s in self.shards), default=-1) + 1
-        return Tree((*self.shards, Shard(f"region+{number}", f"rack+{number}", number, weight)))
+        rack = number // PER_RACK
+        return Tree((*self.shards, Shard(f"region{rack // RACKS}", f"rack{rack}", number, weight)))
 
     def shard_of(self, key: Column) -> Column:
         """The shard a key descends to; null if the tree has no weight."""
-        return self._descend(key, [s for s in self.shards if s.weight > 0], ("region", "rack", "number"))
-
-    def _descend(self, key: Column, shards: Sequence[Shard], levels: Sequence[str]) -> Column:
-        if not levels:
-            return F.lit(shards[0].number)
-        children: dict[object, list[Shard]] = {}
-        for shard in shards:
-            children.setdefault(getattr(shard, levels[0]), []).append(shard)
-        if not children:
-            return F.lit(None).cast("int")
-        below = {name: self._descend(key, own, levels[1:]) for name, own in children.items()}
-        if len(children) == 1:
-            return next(iter(below.values()))
+        best = _best(key, [s for s in self.shards if s.weight > 0], _LEVELS)
+        return F.lit(None).cast("int") if best is None else best["number"]
+
+
+def _best(key: Column, shards: Sequence[Shard], levels: Sequence[str]) -> Column | None:
+    """The best draw below a node, with the shard that made it: the best of its children's."""
+    children: dict[object, list[Shard]] = {}
+    for shard in shards:
+        children.setdefault(getattr(shard, levels[0]), []).append(shard)
+    if levels[1:]:
+        draws = [_best(key, below, levels[1:]) for below in children.values()]
+    else:
         draws = [
-            F.struct(
-                _draw(key, f"{levels[0]}:{name}", sum(s.weight for s in own)).alias("draw"),
-                F.lit(i).alias("child"),
-            )
-            for i, (name, own) in enumerate(children.items())
+            F.struct(_draw(key, number, sum(s.weight for s in own)).alias("draw"), F.lit(number).alias("number"))
+            for number, own in children.items()
         ]
-        best = F.greatest(*draws)["child"]
-        first, *rest = enumerate(below.values())
-        return reduce(lambda c, x: c.when(best == x[0], x[1]), rest, F.when(best == first[0], first[1]))
+    if not draws:
+        return None
+    return F.greatest(*draws) if len(draws) > 1 else draws[0]
 
 
-def _draw(key: Column, node: str, weight: float) -> Column:
+def _draw(key: Column, shard: int, weight: float) -> Column:
     """ln(u) / weight for a uniform u: the largest of several wins in proportion to its weight."""
-    uniform = (F.shiftrightunsigned(F.xxhash64(key, F.lit(node)), 11) + F.lit(0.5)) / F.lit(2.0**53)
+    uniform = (F.shiftrightunsigned(F.xxhash64(key, F.lit(f"shard:{shard}")), 11) + F.lit(0.5)) / F.lit(2.0**53)
     return F.log(uniform) / F.lit(float(weight))
 
 
@@ -99,7 +96,7 @@ def assign(
     """``(id, size, text_crc32, law, shard, slot, grown_shard)`` per row of ``docs``.
 
     ``size`` is the text's bytes and one more, ``slot`` the row's place in its shard, gapless from
-    0. The shard depends on the id and the tree alone, so rows of one id share a shard, and rows
+    0. The shard depends on the id and the tree alone, for even shards on the id and their count, so rows of one id share a shard, and rows
     without id, too; each repeated row gets a slot of its own. A null text is an empty one.
     ``grown_shard`` is the shard with one more of them. An empty table gives an empty result.
     """

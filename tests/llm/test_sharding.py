@@ -1,12 +1,14 @@
 """Placement by the key law, and what moves when the tree changes."""
 
+import math
 import zlib
 
 import pytest
+import xxhash
 from edge import ROWS, documents
 from pyspark.sql import functions as F
 
-from cohortry.llm.sharding import Shard, Tree, assign
+from cohortry.llm.sharding import PER_RACK, RACKS, Shard, Tree, assign
 
 
 def placed(spark, tree, keys=range(4000)):
@@ -14,6 +16,41 @@ def placed(spark, tree, keys=range(4000)):
     return {r["k"]: r["s"] for r in df.select("k", tree.shard_of(F.col("k")).alias("s")).collect()}
 
 
+def descend(tree, key):
+    """The same descent in plain Python: best region, best rack in it, best shard in that."""
+
+    def draw(shard):
+        start = xxhash.xxh64_intdigest(key.encode(), 42)
+        uniform = (xxhash.xxh64_intdigest(f"shard:{shard.number}".encode(), start) >> 11) + 0.5
+        return math.log(uniform / 2.0**53) / shard.weight
+
+    left = [s for s in tree.shards if s.weight > 0]
+    for level in ("region", "rack", "number"):
+        names = {getattr(s, level) for s in left}
+        best = max(names, key=lambda name: max(draw(s) for s in left if getattr(s, level) == name))
+        left = [s for s in left if getattr(s, level) == best]
+    return left[0].number
+
+
+def test_plain_descent_agrees(spark):
+    uneven = Tree((Shard("a", "x", 0, 1), Shard("a", "y", 1, 2), Shard("b", "z", 2, 4), Shard("b", "z", 3, 0.5), Shard("b", "w", 4, 0)))
+    for tree in (uneven, Tree.even(1), Tree.even(16), Tree.even(23)):
+        for key, shard in placed(spark, tree, range(300)).items():
+            assert shard == descend(tree, key)
+
+
+def test_one_law_by_shard_count(spark):
+    """The placement by n + 1 shards is what n shards grow to, and rows move only into the new one."""
+    assert all(Tree.even(n).grown() == Tree.even(n + 1) for n in range(41))
+    assert len({s.region for s in Tree.even(40).shards}) == -(-40 // (PER_RACK * RACKS))
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    trees = [Tree.even(n).shard_of(F.col("k")).alias(f"n{n}") for n in range(1, 42)]
+    rows = df.select("k", *trees).collect()
+    for n in range(1, 41):
+        moved = {r[f"n{n + 1}"] for r in rows if r[f"n{n}"] != r[f"n{n + 1}"]}
+        assert moved == {n}
+
+
 def test_shares_follow_weights(spark):
     tree = Tree((Shard("a", "x", 0, 1), Shard("a", "y", 1, 2), Shard("b", "z", 2, 4), Shard("b", "z", 3, 1), Shard("b", "w", 4, 0)))
     found = list(placed(spark, tree).values())
