@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortry.functions import own_shuffle
 from cohortry.llm.common import fresh
 
-#: Hexadecimal digits of a digest that rules and expressions are joined on.
+#: Hexadecimal digits of a digest that rules and expressions are joined on, as a number.
 PREFIX_DIGITS = 8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,7 +59,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     given twice with both verdicts, "block". Where no rule fits, the verdict is ``default`` and the
     rule null. A null URL, or one without ``://``, has an empty host and path, which no rule fits.
     Rows come out as they come in, also repeated ones; columns of ``urls`` of those four names are
-    replaced.
+    replaced. Of a URL as many expressions are made as there are pairs of a number of labels and a path
+    length among the rules, as far as the URL has them.
     """
     known = rules.where("host <> '' and path is not null and verdict is not null").select(
         "host",
@@ -71,13 +73,17 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     lengths = [r[0] for r in known.select(F.length("path")).distinct().collect()]
     parsed = urls.withColumns({"url_host": host_of(F.col(url)), "url_path": path_of(F.col(url))})
     parsed = parsed.drop("url_rule", "url_verdict")
+    # An empty host fits no rule, and all such rows would meet in one place.
+    without = parsed.where("url_host = ''").withColumns(
+        {"url_rule": F.lit(None).cast("string"), "url_verdict": F.lit(default)}
+    )
+    parsed = parsed.where("url_host <> ''")
     # The verdict depends on host and path alone, so repeated ones are judged once.
     places = parsed.select(F.col("url_host").alias("h"), F.col("url_path").alias("p")).distinct()
-    hits = _expressions(places, labels, lengths).join(
-        known.select("host", "path", "verdict", F.col("digest").alias("of"), _prefix("digest")),
-        "prefix",
-    )
-    hits = hits.where("digest = of")
+    found = _expressions(places, labels, lengths)
+    hits = found.join(known.select("host", "path", "verdict", F.col("digest").alias("of"), _prefix("digest")), "prefix")
+    # Confirmed after the join: an equality would become one more key of it. Digests are of one length.
+    hits = hits.where(F.startswith("digest", "of"))
     strength = F.struct(
         (F.length("host") + F.length("path")).alias("length"),
         F.length("host").alias("of_host"),
@@ -85,18 +91,22 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
         F.concat("host", "path").alias("rule"),
     )
     best = hits.groupBy("h", "p").agg(F.max(strength).alias("best"))
-    h, p, rule, verdict = (fresh(n) for n in ("h", "p", "rule", "verdict"))
+    h, p, place, rule, verdict = (fresh(n) for n in ("h", "p", "place", "rule", "verdict"))
     best = best.select(
         F.col("h").alias(h),
         F.col("p").alias(p),
+        F.xxhash64("h", "p").alias(place),
         F.col("best.rule").alias(rule),
         F.col("best.verdict").alias(verdict),
     )
-    judged = parsed.join(best, (F.col("url_host") == F.col(h)) & (F.col("url_path") == F.col(p)), "left")
+    # Joined on the places' hashes, in a shuffle of their own, so that a frequent URL's rows can be split.
+    same = F.xxhash64("url_host", "url_path") == F.col(place)
+    same &= (F.col("url_host") == F.col(h)) & (F.col("url_path") == F.col(p))
+    judged = parsed.join(own_shuffle(best, place), same, "left")
     judged = judged.withColumns(
         {"url_rule": F.col(rule), "url_verdict": F.coalesce(F.col(verdict), F.lit(default))}
     )
-    return judged.drop(h, p, rule, verdict)
+    return judged.drop(h, p, place, rule, verdict).unionByName(without)
 
 
 def _expressions(places: DataFrame, labels: Sequence[int], lengths: Sequence[int]) -> DataFrame:
@@ -120,7 +130,7 @@ def _expression(host: Column, path: Column) -> Column:
 
 
 def _prefix(digest: str) -> Column:
-    return F.substring(digest, 1, PREFIX_DIGITS).alias("prefix")
+    return F.conv(F.substring(digest, 1, PREFIX_DIGITS), 16, 10).cast("long").alias("prefix")
 
 
 def _literals(numbers: Sequence[int]) -> Column:
