@@ -27,11 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortry.functions import own_shuffle
 from cohortry.llm.common import pick, utf8
 from cohortry.sources.results import Workspace
 
 #: A package is closed once its records take so many bytes, so memory and tasks stay bounded.
 PACKAGE_BYTES = 16 << 20
+#: Tasks that read packages, for each shuffle partition of the session, at most.
+TASKS_PER_PARTITION = 4
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 RECORDS = (
     "record_id string, uri string, type string, refers_to string, payload_digest string, "
@@ -232,16 +235,29 @@ def references(pages: DataFrame, min_bytes: int) -> DataFrame:
 
     Of equal payloads of at least ``min_bytes`` the largest id's is the response. Only ids and
     digests move here; a payload that very many pages share is reduced to one row per task before
-    the shuffle.
+    the shuffle, and its pages' rows meet the response in a join that can be split.
     """
     thin = pages.where(F.octet_length("payload") >= min_bytes).select("id", "digest").distinct()
     largest = thin.groupBy(F.col("digest").alias("same")).agg(F.max("id").alias("refers_to"))
-    repeats = thin.join(largest.where("refers_to is not null"), F.col("digest") == F.col("same"))
+    largest = largest.where("refers_to is not null").withColumn("place", F.xxhash64("same"))
+    same = (F.xxhash64("digest") == F.col("place")) & (F.col("digest") == F.col("same"))
+    repeats = thin.join(own_shuffle(largest, "place"), same)
     return repeats.where("id is null or id <> refers_to").select(
         F.col("id").alias("of"), F.col("digest").alias("its"), "refers_to"
     )
 
 
+def known_uri(uri: str) -> str:
+    """The URI by the one name that S3 has outside of Spark."""
+    scheme, mark, rest = uri.partition("://")
+    return f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri
+
+
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a URI."""
+    return fs.FileSystem.from_uri(known_uri(uri))
+
+
 def write_packages(
     pages: DataFrame,
     work: Workspace,
@@ -269,7 +285,7 @@ def write_packages(
     folder = f"{work.root}/packages"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = store_of(folder)
         store.create_dir(root)
         task, held, size, number = TaskContext.get(), [], 0, 0
 
@@ -295,12 +311,15 @@ def write_packages(
 
 
 def read_packages(packages: DataFrame) -> DataFrame:
-    """The records of all packages that the column ``package`` names, one row each."""
+    """The records of all packages that the column ``package`` names, one row each.
+
+    Each task reads its packages one after the other, so memory doesn't grow with their number.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                store, place = fs.FileSystem.from_uri(path)
+                store, place = store_of(path)
                 with store.open_input_file(place) as file:
                     rows, size = [], 0
                     for row in read_package(file):
@@ -312,9 +331,11 @@ def read_packages(packages: DataFrame) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    # A package a task; Spark would put such few short rows into one.
-    each = packages.select("package").repartition(max(1, packages.count()))
-    return each.mapInArrow(run, RECORDS)
+    # Spark would put such few short rows into one task. Packages are of similar size, so dealing
+    # them out by number is fair.
+    partitions = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(packages.count(), TASKS_PER_PARTITION * partitions))
+    return packages.select("package").repartition(tasks).mapInArrow(run, RECORDS)
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:

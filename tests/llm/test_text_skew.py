@@ -1,0 +1,74 @@
+"""A third of all rows on one URL, payload or nothing: no task gets them all."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortry.llm import queries, urlfilter, warc
+from cohortry.llm.common import prepared
+
+# Small enough for the test data to count as skewed; no side may be broadcast.
+SMALL_SCALE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.shuffle.partitions": "32",
+}
+
+
+@pytest.fixture
+def small_scale(spark):
+    before = {k: spark.conf.get(k, None) for k in SMALL_SCALE}
+    for k, v in SMALL_SCALE.items():
+        spark.conf.set(k, v)
+    yield prepared(spark)
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def urls(spark, hot):
+    other = F.concat(F.lit("http://h"), F.col("id") % 5000, F.lit(".example.org/es/"), F.col("id"))
+    url = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(other)
+    return spark.range(0, 60_000, 1, 8).select(F.col("id").alias("page_id"), url.alias("url"))
+
+
+@pytest.mark.parametrize("hot", ["http://www.example.org/es/hot", None])
+def test_a_frequent_url_is_split(spark, small_scale, hot):
+    rules = urlfilter.rule_table(spark, queries.URL_RULES)
+    judged = urlfilter.judge(urls(spark, hot), rules)
+    plan = plan_of(judged)
+    if hot:  # rows without a host aren't joined at all
+        assert "Join(skew=true)" in plan, plan
+    found = {r[0]: (r[1], r[2]) for r in judged.groupBy(F.col("page_id") % 3 == 0).agg(F.min("url_verdict"), F.count("*")).collect()}
+    assert found == {True: ("block" if hot else "allow", 20_000), False: ("block", 40_000)}
+
+
+def test_rows_without_a_host_are_not_shuffled(spark, small_scale):
+    judged = urlfilter.judge(urls(spark, None), urlfilter.rule_table(spark, queries.URL_RULES))
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    left, right = plan.split("Join LeftOuter")[0], plan.split("Join LeftOuter")[1]
+    assert "Union" in left and re.search(r"Filter .*NOT|Filter .*<>", right)
+
+
+def test_only_the_short_prefix_is_the_join_key(spark, small_scale):
+    """The full digests are compared after the join."""
+    judged = urlfilter.judge(urls(spark, None), urlfilter.rule_table(spark, queries.URL_RULES))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Join \[(prefix#[^\]]*)\], \[(prefix#[^\]]*)\]", plan)
+    assert keys and all("," not in side for pair in keys for side in pair), plan
+
+
+def test_a_frequent_payload_is_split(spark, small_scale):
+    ids = spark.range(0, 60_000, 1, 8)
+    payload = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).cast("binary")
+    pages = ids.select("id", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
+    known = warc.references(pages, 0)
+    assert "Join(skew=true)" in plan_of(known)
+    assert known.agg(F.count("*"), F.countDistinct("refers_to"), F.max("refers_to")).first() == (19_999, 1, 59_997)

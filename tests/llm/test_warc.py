@@ -132,6 +132,28 @@ def test_round_trip(spark, work, monkeypatch, clashes, min_bytes, size):
     assert sorted(found, key=repr) == expected(ROWS, min_bytes)
 
 
+def test_many_packages_are_read_in_few_tasks(spark, work, monkeypatch):
+    """A thousand packages of a record each, by tasks whose number depends on the session alone."""
+    monkeypatch.setattr(warc, "PACKAGE_BYTES", 1)
+    pages = spark.range(0, 1000, 1, 4).selectExpr("id AS page_id", "'u' AS url", "concat('page ', id) AS html")
+    packages = warc.write_packages(pages, work)
+    assert packages.count() == 1000
+    read = warc.read_packages(packages)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert read.rdd.getNumPartitions() <= warc.TASKS_PER_PARTITION * partitions
+    assert read.select("record_id").distinct().count() == 1000
+
+
+@pytest.mark.parametrize("uri", ["s3a://bucket/a/b.zip", "s3n://bucket/a/b.zip", "s3://bucket/a/b.zip"])
+def test_names_of_s3(uri):
+    assert warc.known_uri(uri) == "s3://bucket/a/b.zip"
+
+
+def test_local_paths(tmp_path):
+    for uri in (str(tmp_path), f"file://{tmp_path}"):
+        assert warc.store_of(uri)[1] == str(tmp_path)
+
+
 def test_empty_table(spark, work):
     packages = warc.write_packages(spark.createDataFrame([], "page_id long, url string, html string"), work)
     assert packages.collect() == [] and warc.read_packages(packages).collect() == []
