@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from cohortry.sources.results import Workspace
 
-#: Rows handed to Python at once. Texts may be long, and Spark counts rows, not bytes.
-ROWS_PER_BATCH = 1000
+#: Rows and bytes handed to Python at once; a longer row goes alone.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, 8 << 20
 
 _shipped: set[str] = set()
 
@@ -24,6 +24,7 @@ def prepared(spark: SparkSession) -> Workspace:
     """A folder for stored intermediates, in a session set up for long texts."""
     _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return Workspace(spark)
 
