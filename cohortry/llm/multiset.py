@@ -17,10 +17,13 @@ Everything is DataFrame expressions over one row, without a shuffle.
 from __future__ import annotations
 
 import json
+from collections import Counter
+from itertools import accumulate
 from math import isqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from cohortry.llm.common import pick
 
@@ -166,59 +169,83 @@ def _squares(lanes: Column) -> Column:
 def fingerprint_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, text, fingerprint, next_text, next_fingerprint)`` per row of ``docs``.
 
-    Next is the next row by id, for the last one the first.
+    Next is the next row by id, for the last one the first. Ids are whole numbers; others are refused.
 
-    Rows are dealt into slices of the id order, found by quantiles, and each slice is sorted on its
-    own; a slice's first rows are also given to the slice before as the end of its order. So one
-    shuffle moves each text once. Rows of one id go by text; rows without id come first. A null
-    text is an empty one.
+    Rows are dealt into slices of the order, found by quantiles of the ids, and each slice is sorted on
+    its own; the first row of a slice is also given to the slice before as the end of its order. So one
+    shuffle moves each text once. Rows of one id go by a hash of the text, then the text, and rows
+    without id come first; where these are many, slices part them by the hash. Only rows equal in both
+    id and text stay together. A null text is an empty one.
     """
     rows = pick(docs, id=id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("fingerprint", fingerprint(F.col("text")))
+    if not isinstance(rows.schema["id"].dataType, IntegralType):
+        raise TypeError(f"ids have to be whole numbers, not {rows.schema['id'].dataType.simpleString()}")
+    rows = rows.select(F.col("id").cast("long"), "text", F.xxhash64("text").alias("place"))
     spark = docs.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions")) * SLICES_PER_PARTITION
+    sliced = _sliced(rows, slices)
+    first = F.min(F.struct(F.col("id").isNotNull().alias("has_id"), "id", "place"))
+    firsts = sorted(sliced.groupBy("own").agg(first.alias("first")).collect())
+    # One row per slice: as many as the quantiles asked for.
+    size = 1 + max((f["own"] for f in firsts), default=0)
+    before, ids, places = ([None] * size for _ in range(3))
+    for k, f in enumerate(firsts):
+        before[f["own"]] = firsts[k - 1]["own"]  # the last slice is before the first
+        ids[f["own"]], places[f["own"]] = f["first"]["id"], f["first"]["place"]
+
+    def of_slice(values: list) -> Column:
+        return F.get(_constant(values, "array<bigint>"), F.col("own"))
+
+    is_first = F.col("id").eqNullSafe(of_slice(ids)) & (F.col("place") == of_slice(places))
+    lent = sliced.where(is_first).groupBy("own", "id", "place").agg(F.min("text").alias("text"))
+    own = sliced.select("id", "text", "place", F.col("own").alias("slice"), F.lit(False).alias("lent"))
+    lent = lent.select("id", "text", "place", of_slice(before).alias("slice"), F.lit(True).alias("lent"))
+    # False sorts before true: what is lent comes after the slice's own rows.
+    seated = own.union(lent).withColumn("fingerprint", fingerprint(F.col("text")))
+    order = Window.partitionBy("slice").orderBy("lent", "id", "place", "text")
+    nexts = {f"next_{name}": F.lead(name).over(order) for name in ("text", "fingerprint")}
+    done = seated.withColumns(nexts).where("not lent")
+    return done.select("id", "text", "fingerprint", "next_text", "next_fingerprint")
+
+
+def _sliced(rows: DataFrame, slices: int) -> DataFrame:
+    """``rows`` with ``own``, the slice of each."""
     found = rows.agg(
         F.percentile_approx("id", [k / slices for k in range(1, slices)], 50 * slices).alias("cuts"),
         F.min("id").alias("min"),
-        F.max(F.col("id").isNull()).alias("nulls"),
+        F.count_if(F.col("id").isNull()).alias("nulls"),
+        F.count("*").alias("rows"),
     ).first()
-    # A slice begins with its cut; the first with the smallest id, or with the rows without one.
-    cuts = sorted(set(found["cuts"] or []) - {found["min"]})
-    lowest = F.col("id").isNull() if found["nulls"] else F.col("id") == F.lit(found["min"])
-    placed = _sliced(rows, cuts)
-    # The first rows of a slice are lent to the slice before; those of the first slice to the last.
-    before = F.when(lowest, len(cuts)).when(F.col("is_cut"), F.col("own") - 1)
-    # False sorts before true: what is lent comes after the slice's own rows.
-    seats = F.array_compact(
-        F.array(
-            F.struct(F.col("own").alias("slice"), F.lit(False).alias("lent")),
-            F.when(before.isNotNull(), F.struct(before.alias("slice"), F.lit(True).alias("lent"))),
-        )
-    )
-    own = ["id", "text", "fingerprint"]
-    seated = placed.select(*own, F.explode(seats).alias("seat")).select(*own, "seat.*")
-    order = Window.partitionBy("slice").orderBy("lent", "id", "text")
-    nexts = {f"next_{name}": F.lead(name).over(order) for name in own[1:]}
-    return seated.withColumns(nexts).where("not lent").drop("slice", "lent")
-
-
-def _sliced(rows: DataFrame, cuts: list[int]) -> DataFrame:
-    """``rows`` with ``own``, the number of cuts up to the id, and whether the id ``is_cut``.
-
-    Cuts are looked up in two steps, first the run of cuts and then the cut in the run.
+    return rows.withColumn("own", _slice(found, slices))
+
+
+def _slice(found: Row, slices: int) -> Column:
+    """The slice of a row, ascending along the order.
+
+    An id that several quantiles fall on has so many slices, parted by the text's hash; so have the rows
+    without id by their share. Other ids are in the last slice of the cut before them.
     """
+    times = Counter(found["cuts"] or [])
+    cuts = sorted({found["min"], *times} - {None})
+    parts = [max(1, times[cut]) for cut in cuts]
+    nameless = -(-found["nulls"] * slices // max(1, found["rows"]))
+    begin = [nameless, *accumulate(parts, initial=nameless)][1:]
+    # Cuts are looked up in two steps, first the run of cuts and then the cut in the run.
     step = max(1, isqrt(len(cuts)))
     runs = [cuts[k : k + step] for k in range(0, len(cuts), step)]
-    heads = _constant([run[0] for run in runs], "array<bigint>")
-    run = F.get(_constant(runs, "array<array<bigint>>"), F.col("run") - 1)
-    upto = F.size(F.filter(F.col("cuts"), lambda cut: cut <= F.col("id")))
-    return (
-        rows.withColumn("run", F.size(F.filter(heads, lambda cut: cut <= F.col("id"))))
-        .withColumn("cuts", F.coalesce(F.when(F.col("run") > 0, run), F.array().cast("array<bigint>")))
-        .withColumn("own", F.greatest(F.lit(0), (F.col("run") - 1) * step + upto))
-        .withColumn("is_cut", F.coalesce(F.array_contains("cuts", F.col("id")), F.lit(False)))
-        .drop("run", "cuts")
-    )
+    run = F.size(F.filter(_constant([r[0] for r in runs], "array<bigint>"), lambda cut: cut <= F.col("id"))) - 1
+    in_run = F.get(_constant(runs, "array<array<bigint>>"), run)
+    at = run * step + F.size(F.filter(in_run, lambda cut: cut <= F.col("id"))) - 1
+    is_cut = F.get(_constant(cuts, "array<bigint>"), at) == F.col("id")
+    many = F.get(_constant(parts, "array<bigint>"), at)
+    own = F.get(_constant(begin, "array<bigint>"), at) + F.when(is_cut, _part(many)).otherwise(many - 1)
+    return F.when(F.col("id").isNull(), _part(F.lit(nameless))).otherwise(own).cast("int")
+
+
+def _part(parts: Column) -> Column:
+    """One of so many parts of the range of hashes, ascending with the hash."""
+    share = F.col("place") / F.lit(2.0**64) + F.lit(0.5)
+    return F.least(F.floor(share * parts), parts - 1).cast("bigint")
 
 
 def _constant(values: list, kind: str) -> Column:

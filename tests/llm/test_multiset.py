@@ -3,6 +3,7 @@
 import random
 
 import pytest
+import xxhash
 from edge import ROWS, documents
 from pyspark.sql import functions as F
 
@@ -66,15 +67,42 @@ def test_negative_counters_do_not_borrow(spark):
         assert sum(c * c for c in counts) == row["squares"]
 
 
+def place(text):
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64 if value >> 63 else 0)
+
+
 def check_next(found, rows):
-    """Repeated ids may come in any order of their texts; nulls come first."""
-    order = sorted(((id is not None, id or 0, t or "") for id, t in rows))
+    """Rows of one id go by their texts' hashes; nulls come first."""
+    order = sorted(((id is not None, id or 0, place(t or ""), t or "") for id, t in rows))
     expected = [
-        (id if known else None, text, order[(i + 1) % len(order)][2]) for i, (known, id, text) in enumerate(order)
+        (id if known else None, text, order[(i + 1) % len(order)][3]) for i, (known, id, _, text) in enumerate(order)
     ]
     assert sorted(map(repr, found)) == sorted(map(repr, expected))
 
 
+HOT = [(draw % 3 and (7 if draw % 3 == 1 else draw) or None, f"text {draw}") for draw in range(900)]
+
+
+@pytest.mark.parametrize("rows", [HOT, HOT[:300] + [(7, "same")] * 200, [(None, str(n)) for n in range(200)], [(7, str(n)) for n in range(200)]])
+def test_next_of_frequent_ids(spark, rows):
+    """A third of the rows without id and a third of one id: both are parted by the texts' hashes."""
+    found = multiset.fingerprint_documents(documents(spark, rows)).collect()
+    check_next([(r["id"], r["text"], r["next_text"]) for r in found], rows)
+
+
+def test_frequent_ids_are_many_slices(spark):
+    rows = documents(spark, HOT).selectExpr("doc_id AS id", "xxhash64(text) AS place")
+    sizes = [r["count"] for r in multiset._sliced(rows, 60).groupBy("own").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) <= 3 * 900 / 60
+
+
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_ids_have_to_be_whole_numbers(spark, kind):
+    with pytest.raises(TypeError, match="whole numbers"):
+        multiset.fingerprint_documents(documents(spark).withColumn("doc_id", F.col("doc_id").cast(kind)))
+
+
 @pytest.mark.parametrize("clashes", [False, True])
 def test_next_rows(spark, clashes):
     df = multiset.fingerprint_documents(documents(spark, clashes=clashes))
