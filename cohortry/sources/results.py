@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +97,17 @@ class Workspace(ResultStore):
         while cls._open:
             cls._open[-1].close()
 
+    @classmethod
+    @contextmanager
+    def scope(cls) -> Iterator[None]:
+        """Close at the end what was opened within; for work whose result is written elsewhere."""
+        before = list(cls._open)
+        try:
+            yield
+        finally:
+            for workspace in [w for w in cls._open if w not in before]:
+                workspace.close()
+
     def __init__(self, spark: SparkSession) -> None:
         super().__init__(spark, f"{shared_folder(spark)}/cohortry-{uuid.uuid4().hex}")
         self._open.append(self)

@@ -154,6 +154,20 @@ def test_skipped_and_guessed_columns(spark, tmp_path):
     assert df.dtypes == [("concept_id", "bigint"), ("other_code_req", "int"), ("at", "timestamp")]
 
 
+def test_a_scope_closes_what_was_opened_in_it(spark):
+    outer = Workspace(spark)
+    with Workspace.scope():
+        inner = Workspace(spark)
+        kept = outer.keep(inner.keep(spark.range(3), "x"), "y")
+    outer.keep(spark.range(2), "z")
+    outer.drop("z")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(outer.root).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert [files.exists(path(p)) for p in (inner.root, f"{outer.root}/y", f"{outer.root}/z")] == [False, True, False]
+    assert kept.count() == 3
+    outer.close()
+
+
 def test_closing_a_workspace_removes_it(spark):
     work = Workspace(spark)
     work.keep(spark.range(3), "x")
