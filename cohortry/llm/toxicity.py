@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.llm.common import pick
@@ -26,8 +26,9 @@ from cohortry.llm.common import pick
 THRESHOLD = 0.7
 #: Sentences this likely to be toxic are reported.
 OFFENDING = 0.5
-#: Bounds of the training sample: documents of each label, characters of a document.
-TOXIC_SAMPLE, CLEAN_SAMPLE, SAMPLE_CHARS = 800, 3200, 50_000
+#: Bounds of the training sample: documents of each label, characters of a document, and of all
+#: documents of a label, for each of those that it may have.
+TOXIC_SAMPLE, CLEAN_SAMPLE, SAMPLE_CHARS, MEAN_CHARS = 800, 3200, 50_000, 5_000
 #: A sentence has so many words at least; shorter ones are joined to the next, so that
 #: a text cut into many scraps isn't many chances to be toxic.
 SENTENCE_WORDS = 8
@@ -141,8 +142,8 @@ def train(
 ) -> Model:
     """Fit a model to a bounded sample of labelled documents.
 
-    The sample takes each label's first documents by a hash of the id and leaves out very
-    long ones. A document labelled both ways counts as toxic, null labels not at
+    The sample takes each label's first documents by a hash of the id, as far as their characters
+    keep within the bound for all, and leaves out very long ones. A document labelled both ways counts as toxic, null labels not at
     all, repeated ids once. Without documents of both labels the model knows
     no word and gives every document the same small score.
     """
@@ -158,8 +159,12 @@ def train(
         texts.join(F.broadcast(sample), F.col("id") == F.col("of"))
         .groupBy("id")
         .agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
-        .collect()
     )
+    # As many rows as the sample has at most.
+    upto = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("upto", F.sum(F.length("text")).over(upto))
+    most = F.when(F.col("toxic") == 1, TOXIC_SAMPLE).otherwise(CLEAN_SAMPLE) * MEAN_CHARS
+    found = found.where(F.col("upto") <= most).collect()
     found.sort(key=lambda r: r["id"])
     return fit((r["text"] for r in found), [r["toxic"] for r in found])
 

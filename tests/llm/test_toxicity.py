@@ -1,7 +1,9 @@
 """Noisy-or training and location, on made and on labelled documents."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -108,3 +110,62 @@ def test_labels_of_held_out_rows_are_not_read(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "train", lambda docs, labels: seen.extend(labels.collect()))
     queries.toxicity_model(spark, None, "/root/testdata/sf0.001")
     assert seen and all(zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 for r in seen)
+
+
+def test_sample_keeps_within_its_characters(spark, monkeypatch):
+    """However long the labelled documents are, a bounded number of characters is fitted."""
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: fitted.extend(zip(map(len, texts), labels)))
+    for name, value in {"TOXIC_SAMPLE": 10, "CLEAN_SAMPLE": 30, "SAMPLE_CHARS": 1000, "MEAN_CHARS": 100}.items():
+        monkeypatch.setattr(toxicity, name, value)
+    docs = spark.createDataFrame([(i, "word " * (i % 250)) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    for label, most in ((1, 1000), (0, 3000)):
+        sizes = [n for n, of in fitted if of == label]
+        assert sizes and max(sizes) <= 1000 and sum(sizes) <= most
+
+
+def sigmoid(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def log_clean(signs):
+    """Log of the chance that a sentence isn't toxic; one without signs isn't."""
+    return math.log((1 + math.exp(toxicity._BIAS)) / (1 + math.exp(max(signs, 0.0) + toxicity._BIAS)))
+
+
+def plain_fit(texts, labels):
+    """The same steps sentence by sentence, in dictionaries."""
+    bags = [[{f for w in words for f in toxicity.features(w)} for _, _, words in toxicity.sentences(t)] for t in texts]
+    held = Counter(f for bag in bags for f in set().union(*bag))
+    names = {f for f, n in held.items() if n >= toxicity._RARE}
+    weights, past = dict.fromkeys(names, 0.0), dict.fromkeys(names, 1e-6)
+    for _ in range(toxicity._EPOCHS):
+        slope = dict.fromkeys(names, 0.0)
+        for bag, label in zip(bags, labels):
+            signs = [sum(weights[f] for f in sentence if f in names) for sentence in bag]
+            clean = math.exp(math.log1p(-toxicity._LEAK) + sum(map(log_clean, signs)))
+            pull = clean / (1 - clean) if label else -1.0
+            for sentence, sign in zip(bag, signs):
+                for f in sentence & names:
+                    slope[f] += pull * sigmoid(sign + toxicity._BIAS) * (sign >= 0)
+        for f in names:
+            past[f] += slope[f] ** 2
+            step = toxicity._RATE / math.sqrt(past[f])
+            moved = weights[f] + step * slope[f]
+            weights[f] = math.copysign(max(0.0, abs(moved) - step * toxicity._SPARSITY), moved)
+    return {f: w for f, w in weights.items() if w}
+
+
+def test_fit_and_score_against_plain_python():
+    texts, labels = made(60, 11)
+    model, expected = toxicity.fit(texts, labels), plain_fit(texts, labels)
+    assert set(model.weights) == set(expected) and expected
+    assert all(model.weights[f] == pytest.approx(w, rel=1e-6, abs=1e-6) for f, w in expected.items())
+    for text in [*texts, *made(10, 12)[0], "", "nothing known"]:
+        clean = 1 - toxicity._LEAK
+        for _, _, words in toxicity.sentences(text):
+            hits = {f for w in words for f in toxicity.features(w)} & set(expected)
+            clean *= math.exp(log_clean(sum(expected[f] for f in hits)))
+        assert model.judge(text)[0] == pytest.approx(1 - clean, rel=1e-6, abs=1e-6)
