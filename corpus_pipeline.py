@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.llm import mixing, queries, simhash, toxicity
 from cohortry.llm.common import fresh, prepared, table
-from cohortry.sources.results import shared_folder
+from cohortry.sources.results import Workspace
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +58,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each keeps is written and read again."""
-    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    """All stages over ``documents``; what each keeps is written and read again.
+
+    What only a stage needed, and what the stages before the last kept, is removed on the way.
+    """
+    work, before = prepared(spark), None
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        with Workspace.scope():
+            docs = work.keep(stage(spark, docs, sf_dir), name)
+        if before:
+            work.drop(before)
+        before = name
     return docs
