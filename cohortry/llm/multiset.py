@@ -6,7 +6,9 @@ counts repeats, and a paragraph is inserted or deleted by adding or subtracting
 the rest of the text.
 
 A vector has two bands. The ``EXACT`` lanes, modulo 2^32, are cut from the SHA-256 of the whole
-paragraph: they tell equal multisets from different ones. The ``LIKE`` lanes, modulo 2^32 too, estimate
+paragraph: they tell equal multisets from different ones, but for chance collisions of 256 bits. They
+don't resist paragraphs chosen to collide, since sums modulo a power of two can be solved bit by bit;
+that takes many more lanes. The ``LIKE`` lanes, modulo 2^32 too, estimate
 how much two documents share: each run of ``RUN`` words of the paragraph adds +1 or -1, by its hash,
 to one of them. In the difference of two fingerprints the shared runs cancel, so the lanes' sum of
 squares estimates how many are not shared. A text has at most 2^31 bytes, so no lane leaves its signed range.
