@@ -67,13 +67,21 @@ def test_run_equals_the_stages(spark, stages):
     assert found == sorted(map(tuple, stages["byte_bpe"].collect()))
 
 
-@pytest.mark.parametrize("rows", [ROWS, [], [(None, None), (None, "x")], [(3, "same"), (3, "same")]])
-def test_edge_documents(spark, monkeypatch, rows):
+EDGES = [ROWS, [], [(None, None), (None, "x")], [(3, "same"), (3, "same")]]
+
+
+@pytest.mark.parametrize("rows, clashes", [*((rows, False) for rows in EDGES), (ROWS, True), ([], True)])
+def test_edge_documents(spark, monkeypatch, rows, clashes):
+    """Columns of other names, also of those that stages use inside, go through as they are."""
     monkeypatch.setattr(queries, "toxicity_model", lambda *_: toxicity.Model())
-    docs = documents(spark, rows).withColumn("n_chars", F.length("text")).select(*COLUMNS)
+    docs = documents(spark, rows, clashes).withColumn("n_chars", F.length("text"))
+    docs = docs.select(*COLUMNS, *(c for c in docs.columns if c not in COLUMNS))
     clean = corpus_pipeline.reject_toxic(spark, docs, SF_DIR)
     assert sorted(map(repr, map(tuple, clean.collect()))) == sorted(map(repr, map(tuple, docs.collect())))
-    kept = corpus_pipeline.one_of_near_duplicates(spark, clean, SF_DIR).collect()
+    kept = corpus_pipeline.one_of_near_duplicates(spark, clean, SF_DIR)
+    assert kept.columns == docs.columns
+    kept = kept.collect()
+    assert set(kept) <= set(docs.collect())
     by_row = {n: simhash.simhash((t or "").encode()) & (1 << 64) - 1 for n, (_, t) in enumerate(rows)}
     assert len(kept) == len(set(groups(by_row).values()))
     prints = {(id, simhash.simhash((t or "").encode()) & (1 << 64) - 1) for id, t in rows}
@@ -81,8 +89,11 @@ def test_edge_documents(spark, monkeypatch, rows):
     if len(known) == sum(id is not None for id, _ in prints):
         assert {r["doc_id"] for r in kept} - {None} == set(groups(known).values())
     mixed = corpus_pipeline.mix_sources(spark, clean, SF_DIR)
-    assert mixed.columns == COLUMNS
-    assert corpus_pipeline.encode(spark, mixed, SF_DIR).count() == mixed.count()
+    assert mixed.columns == docs.columns
+    assert set(mixed.collect()) <= set(docs.collect())
+    encoded = corpus_pipeline.encode(spark, mixed, SF_DIR)
+    assert encoded.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert Counter(ids(encoded)) == Counter(ids(mixed))
 
 
 NEAR = "one two three four five six seven eight nine ten eleven twelve "
