@@ -179,3 +179,46 @@ def test_a_null_date_is_a_date_of_its_own(spark):
     cohort = spark.createDataFrame([(2,)], "person_id long")
     found = same_date_pair_for_cohort(cohort, tables.condition_occurrence, flags)
     assert sorted(r["person_id"] for r in found.collect()) == [2, 2]
+
+
+def _codes(spark, ids):
+    return spark.createDataFrame([(i,) for i in ids], "concept_id long")
+
+
+def test_marked_rows_are_picked_as_by_their_lists(spark):
+    from cohortry.functions import Marked, flagged, in_any_codes, in_codes, mark_codes
+
+    rows = spark.createDataFrame(
+        [(n, c, s) for n, (c, s) in enumerate((c, s) for c in (1, 2, 3, 4, None) for s in (2, 7, None))],
+        "id int, code long, source long",
+    )
+    a, b, c = _codes(spark, [1, 2, 2]), [2, 3], _codes(spark, [7, None])
+    marked = mark_codes(rows, code={"_a": a, "_b": b, "_none": []}, source={"_c": c})
+    listed = in_any_codes(rows, code=[a, b], source=[c])
+    assert rows_of(marked.select(*rows.columns)) == rows_of(listed)
+    assert marked.where("_a IS NULL OR _b IS NULL OR _c IS NULL OR _none").isEmpty()
+    for mark, column, codes in (("_a", "code", a), ("_b", "code", b), ("_c", "source", c)):
+        picked = in_codes(marked, column, Marked(mark))
+        assert rows_of(picked.select(*rows.columns)) == rows_of(in_codes(rows, column, codes))
+    expected = rows_of(flagged(rows, "code", a=a, b=b))
+    for lists in ({"a": Marked("_a"), "b": Marked("_b")}, {"a": Marked("_a"), "b": b}):
+        assert rows_of(flagged(marked, "code", **lists).select(*rows.columns, "a", "b")) == expected
+    either = in_any_codes(marked, code=[Marked("_a")], source=[c])
+    assert rows_of(either.select(*rows.columns)) == rows_of(in_any_codes(rows, code=[a], source=[c]))
+
+
+def test_incl_excl_by_marks(spark):
+    from cohortry.functions import Marked, mark_codes
+
+    conditions = cdm(
+        spark,
+        condition_occurrence=[
+            dict(person_id=p, condition_concept_id=c)
+            for p, c in ((1, 100), (1, 101), (2, 100), (2, 200), (3, 200), (4, 999), (5, 101), (5, None))
+        ],
+    ).condition_occurrence
+    marked = mark_codes(conditions, condition_concept_id={"_in": [100, 101], "_ex": [200]})
+    expected = rows_of(membership.incl_excl_conditions(conditions, [100, 101], [200]))
+    assert {r[1] for r in membership.incl_excl_conditions(conditions, [100, 101], [200]).collect()} == {1, 5}
+    for keep in ({}, {"keep": None}):
+        assert rows_of(membership.incl_excl_conditions(marked, Marked("_in"), Marked("_ex"), **keep)) == expected

@@ -218,3 +218,51 @@ def test_codes_filter_before_persons(spark, stored):
 def test_literal_codes_reach_the_scan(spark, stored):
     df = membership.persons_exposed_to_drug(persons(spark, 1), stored.drug_exposure, [900, 901])
     assert "In(drug_concept_id, [900,901])" in _scans(df, "drug_exposure")[0][0]
+
+
+@pytest.fixture(scope="module")
+def steps_of_attrition(spark):
+    """What the attrition query stores, by name, and how often the clinical tables' sources are scanned."""
+    from cohortry.plans import TransplantStudy
+    from cohortry.plans.transplant_study import ATTRITION, worth_keeping
+    from testkit import commerce
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    sf_dir, work, found = "/root/testdata/sf0.001", Workspace(spark), {}
+
+    def keep(df, name):
+        found[name] = df
+        return work.keep(df, name)
+
+    study = TransplantStudy(
+        commerce.clinical_tables(spark, sf_dir, work), commerce.codes(spark, sf_dir),
+        commerce.PARAMETERS, keep=keep, kept=worth_keeping(*ATTRITION),
+    )
+    study.attrition()
+    yield found
+    work.close()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_stored_rows_carry_their_lists(steps_of_attrition):
+    """Code lists, parts here, are joined to the coded rows once, and not in every step that picks from them."""
+    for name in (
+        "glomerular_disease_cohort",
+        "nephrotic_subcohort",
+        "nephrotic_kt",
+        "nephrotic_kt_src",
+        "sle_conditions",
+        "sle_biopsies",
+    ):
+        assert _scans(steps_of_attrition[name], "coded_(conditions|procedures)")
+        assert not _scans(steps_of_attrition[name], "part.parquet"), name
+    assert not [c for c in steps_of_attrition["nephrotic_kt_src"].columns if c.startswith("_in_")]
+
+
+@pytest.mark.parametrize("name, kind", [("coded_conditions", "R"), ("coded_procedures", "A")])
+def test_events_join_the_stored_visits(steps_of_attrition, name, kind):
+    """Line items of the wanted kind alone are read, and not joined to orders and customers again."""
+    ((pushed, _),) = _scans(steps_of_attrition[name], "lineitem.parquet")
+    assert f"EqualTo(l_returnflag,{kind})" in pushed
+    assert len(_scans(steps_of_attrition[name], "visits")) == 1
+    assert not _scans(steps_of_attrition[name], "(orders|customer).parquet")
